@@ -95,27 +95,29 @@ def top_k_lists(scored: DataFrame, k: int) -> DataFrame:
 def pad_lists(lists: DataFrame, catalog: DataFrame, query_items: DataFrame, k: int) -> DataFrame:
     """Q23: complete each query item's list to ``k`` with similarity-0 items.
 
-    ``lists`` holds positive-similarity neighbours only (rank 1..n).  The pad
-    items of a list are the smallest catalog ids not in it and not the item
-    itself, so they lie among the first ``k + 1`` catalog ids; that bounded id
-    list is inlined as a literal array (no join against the catalog).
+    ``lists`` holds positive-similarity neighbours only (rank 1..n <= k).  The
+    pad items of a list are the smallest catalog ids not in it and not the
+    item itself, so they lie among the first ``k + 1`` catalog ids; that
+    bounded id list is inlined as a literal array.  Each list is gathered
+    into one array of at most ``k`` entries (bounded by construction), the
+    pads are appended with higher-order functions, and the array is exploded
+    again -- one pass over ``lists``, no join against the catalog.
     """
     first_ids = [r[ITEM] for r in catalog.select(ITEM).orderBy(ITEM).limit(k + 1).collect()]
-    if not first_ids:
-        return lists
-    have = lists.groupBy(ITEM).agg(F.count(F.lit(1)).alias("n_pos"))
-    short = (query_items.select(ITEM).distinct().join(have, ITEM, "left")
-             .withColumn("n_pos", F.coalesce(F.col("n_pos"), F.lit(0)))
-             .where(F.col("n_pos") < k))
-    cands = (short.select(ITEM, "n_pos", F.explode(F.array(*[F.lit(x) for x in first_ids])).alias("neighbor_id"))
-             .where(F.col("neighbor_id") != F.col(ITEM))
-             .join(lists.select(ITEM, "neighbor_id"), [ITEM, "neighbor_id"], "left_anti"))
-    w = Window.partitionBy(ITEM).orderBy(F.col("neighbor_id").asc())
-    pads = (cands.withColumn("pos", F.row_number().over(w))
-            .where(F.col("pos") <= F.lit(k) - F.col("n_pos"))
-            .select(ITEM, "neighbor_id", (F.col("n_pos") + F.col("pos")).cast("bigint").alias("rank"),
-                    F.lit(0.0).alias("similarity")))
-    return lists.unionByName(pads)
+    entry = F.struct(F.col("rank"), F.col("neighbor_id"), F.col("similarity"))
+    gathered = lists.groupBy(ITEM).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    full = (query_items.select(ITEM).distinct().join(gathered, ITEM, "left")
+            .withColumn("entries", F.coalesce(F.col("entries"), F.array().cast(gathered.schema["entries"].dataType))))
+    taken = F.transform(F.col("entries"), lambda e: e["neighbor_id"])
+    free = F.filter(F.array(*[F.lit(x).cast("bigint") for x in first_ids]) if first_ids else F.array().cast("array<bigint>"),
+                    lambda x: (x != F.col(ITEM)) & ~F.array_contains(taken, x))
+    n_pos = F.size(F.col("entries"))
+    pads = F.transform(F.slice(free, 1, F.greatest(F.lit(k) - n_pos, F.lit(0))),
+                       lambda x, pos: F.struct((n_pos + pos + 1).cast("bigint").alias("rank"),
+                                               x.alias("neighbor_id"), F.lit(0.0).alias("similarity")))
+    return (full.select(ITEM, F.explode(F.concat(F.col("entries"), pads)).alias("e"))
+            .select(ITEM, F.col("e.neighbor_id").alias("neighbor_id"), F.col("e.rank").alias("rank"),
+                    F.col("e.similarity").alias("similarity")))
 
 
 def item_neighbors(cells: DataFrame, k: int = 10, seeds: DataFrame | None = None, pad: bool = True,
@@ -131,9 +133,10 @@ def item_neighbors(cells: DataFrame, k: int = 10, seeds: DataFrame | None = None
     unit = unit_ratings(cells)
     if seeds is None:
         dots = pair_dots(unit, block_items)
-        scored = dots.select(F.col("i").alias(ITEM), F.col("j").alias("neighbor_id"), score("dot").alias("similarity"))
-        scored = scored.unionByName(
-            dots.select(F.col("j").alias(ITEM), F.col("i").alias("neighbor_id"), score("dot").alias("similarity")))
+        both = F.explode(F.array(F.struct(F.col("i").alias("a"), F.col("j").alias("b")),
+                                 F.struct(F.col("j").alias("a"), F.col("i").alias("b"))))
+        scored = (dots.select(both.alias("p"), score("dot").alias("similarity"))
+                  .select(F.col("p.a").alias(ITEM), F.col("p.b").alias("neighbor_id"), "similarity"))
         query_items = cells.select(ITEM)
     else:
         dots = seed_dots(unit, seeds, block_items)
@@ -143,3 +146,18 @@ def item_neighbors(cells: DataFrame, k: int = 10, seeds: DataFrame | None = None
     if not pad:
         return lists
     return pad_lists(lists, cells.select(ITEM).distinct(), query_items, k)
+
+
+def content_neighbors(features: DataFrame, catalog: DataFrame, seeds: DataFrame, k: int = 20,
+                      max_seeds: int | None = None) -> DataFrame:
+    """Top-``k`` content neighbours of the seed items by the block
+    cosine of Q21 (each item's vector scaled by 1/sqrt(non-empty blocks)).
+
+    ``features``: long form of ``features.content_features``; ``catalog``:
+    every item that may be recommended (items without features score 0).
+    """
+    from shelfwise.operators.vector_knn import DEFAULT_MAX_SEEDS, sparse_cosine_topk
+
+    entries = features.select(ITEM, F.concat_ws("\u0001", "block", "feature").alias("key"), "value")
+    scale = features.groupBy(ITEM).agg((F.lit(1.0) / F.sqrt(F.countDistinct("block"))).alias("scale"))
+    return sparse_cosine_topk(entries, scale, catalog, seeds, k, max_seeds or DEFAULT_MAX_SEEDS)

@@ -40,3 +40,104 @@ def knn_sql(query_items: str, k: int) -> str:
            ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY similarity DESC, neighbor_id) AS rank
     FROM scored)
 """
+
+# Flattened metadata of the catalog (restates fixtures.raw_books followed by
+# operators.metadata.flatten_metadata, relationally).  Needs CTE ``inter``.
+META = """
+  catalog AS (SELECT DISTINCT item_id FROM inter),
+  lines AS (
+    SELECT l.l_partkey AS item_id, l.l_suppkey, CAST(l.l_quantity AS BIGINT) % 6 AS rating, o.o_orderdate,
+           lower(o.o_orderpriority) AS pri, lower(c.c_mktsegment) AS seg
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey),
+  lstats AS (SELECT item_id, COUNT(*) AS n_lines, FLOOR(AVG(rating) * 100 + 0.5) / 100 AS avg_rating,
+                    YEAR(MIN(o_orderdate)) AS first_year FROM lines GROUP BY item_id),
+  shelf_rows AS (SELECT item_id, name, COUNT(*) AS cnt
+                 FROM (SELECT item_id, seg AS name FROM lines UNION ALL SELECT item_id, pri AS name FROM lines)
+                 GROUP BY item_id, name),
+  shelf_top AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY cnt DESC, name) AS pos
+                               FROM shelf_rows) WHERE pos <= 10),
+  shelf_agg AS (SELECT item_id,
+                       string_agg(name, ',' ORDER BY pos) FILTER (WHERE name <> '') AS shelves,
+                       string_agg(CAST(cnt AS VARCHAR), ',' ORDER BY pos) AS shelf_counts,
+                       COUNT(*) FILTER (WHERE name <> '') AS num_shelves
+                FROM shelf_top GROUP BY item_id),
+  auth AS (SELECT DISTINCT item_id, l_suppkey FROM lines),
+  auth_agg AS (SELECT a.item_id, string_agg(s.s_name, ', ' ORDER BY a.l_suppkey) AS authors,
+                      string_agg(CAST(a.l_suppkey AS VARCHAR), ',' ORDER BY a.l_suppkey) AS author_ids,
+                      COUNT(*) AS num_authors
+               FROM auth a JOIN supplier s ON a.l_suppkey = s.s_suppkey GROUP BY a.item_id),
+  meta AS (
+    SELECT p.p_partkey AS item_id, SUBSTR(p.p_name, 1, 500) AS title,
+           COALESCE(SUBSTR(au.authors, 1, 500), '') AS authors, COALESCE(au.author_ids, '') AS author_ids,
+           CAST(COALESCE(au.num_authors, 0) AS BIGINT) AS num_authors,
+           COALESCE(sh.shelves, '') AS shelves, COALESCE(sh.shelf_counts, '') AS shelf_counts,
+           CAST(COALESCE(sh.num_shelves, 0) AS BIGINT) AS num_shelves,
+           CAST(COALESCE(st.avg_rating, 0) AS DOUBLE) AS average_rating,
+           CAST(COALESCE(st.n_lines, 0) AS BIGINT) AS ratings_count,
+           CAST(COALESCE(st.first_year, 0) AS BIGINT) AS publication_year,
+           CAST(COALESCE(p.p_size, 0) AS BIGINT) AS num_pages,
+           SUBSTR(lower(p.p_type) || '-' || lower(p.p_brand), 1, 10) AS language_code
+    FROM part p LEFT JOIN lstats st ON st.item_id = p.p_partkey LEFT JOIN shelf_agg sh ON sh.item_id = p.p_partkey
+         LEFT JOIN auth_agg au ON au.item_id = p.p_partkey
+    WHERE p.p_partkey IN (SELECT item_id FROM catalog))
+"""
+
+# Long-form content features over META (restates operators.features).
+FEATURES = f"""
+  {META},
+  docs AS (SELECT c.item_id, m.shelves, m.author_ids, m.title, m.ratings_count, m.average_rating,
+                  m.publication_year, m.num_pages
+           FROM catalog c LEFT JOIN meta m USING (item_id)),
+  tokens AS (SELECT item_id, unnest(regexp_extract_all(lower(replace(COALESCE(shelves, ''), ',', ' ')),
+                                                      '[a-z][a-z0-9\\-]+')) AS term FROM docs),
+  tf AS (SELECT item_id, term, CAST(COUNT(*) AS DOUBLE) AS tf FROM tokens GROUP BY item_id, term),
+  tstats AS (SELECT term, COUNT(*) AS df, SUM(tf) AS total FROM tf GROUP BY term),
+  vocab AS (SELECT term, df, total, LN((1.0 + (SELECT COUNT(*) FROM docs)) / (df + 1.0)) + 1.0 AS idf
+            FROM tstats WHERE df >= 3 ORDER BY total DESC, term LIMIT 500),
+  shelf_w AS (SELECT tf.item_id, tf.term, tf.tf * v.idf AS w FROM tf JOIN vocab v USING (term)),
+  shelf_f AS (SELECT item_id, 'shelf' AS block, term AS feature,
+                     w / SQRT(SUM(w * w) OVER (PARTITION BY item_id)) AS value FROM shelf_w),
+  apairs AS (SELECT DISTINCT item_id, feature
+             FROM (SELECT item_id, unnest(string_split(COALESCE(author_ids, ''), ',')) AS feature FROM docs)
+             WHERE feature <> ''),
+  akeep AS (SELECT feature FROM apairs GROUP BY feature HAVING COUNT(*) >= 2),
+  author_f AS (SELECT item_id, 'author' AS block, feature,
+                      1.0 / SQRT(COUNT(*) OVER (PARTITION BY item_id)) AS value
+               FROM apairs WHERE feature IN (SELECT feature FROM akeep)),
+  nraw AS (SELECT item_id, LN(1 + CAST(ratings_count AS DOUBLE)) AS f1, average_rating / 5.0 AS f2,
+                  CASE WHEN publication_year > 0 THEN (publication_year - 1900) / CAST(100.0 AS DOUBLE)
+                       ELSE 0.0 END AS f3,
+                  LN(1 + CAST(num_pages AS DOUBLE)) / 10.0 AS f4
+           FROM docs WHERE title IS NOT NULL),
+  nlong AS (SELECT *, SQRT(f1 * f1 + f2 * f2 + f3 * f3 + f4 * f4) AS norm FROM nraw),
+  numeric_f AS (
+    SELECT item_id, 'numeric' AS block, feature, v / norm AS value FROM (
+      SELECT item_id, norm, 'log_ratings_count' AS feature, f1 AS v FROM nlong UNION ALL
+      SELECT item_id, norm, 'rating_over_5', f2 FROM nlong UNION ALL
+      SELECT item_id, norm, 'year_offset', f3 FROM nlong UNION ALL
+      SELECT item_id, norm, 'log_pages', f4 FROM nlong)
+    WHERE v <> 0 AND norm > 0),
+  features AS (SELECT * FROM shelf_f UNION ALL SELECT * FROM author_f UNION ALL SELECT * FROM numeric_f)
+"""
+
+
+def content_knn_sql(query_items: str) -> str:
+    """Padded content cosine (Q21) of the items of CTE ``query_items(item_id)``
+    against the whole catalog, brute force.  Needs FEATURES."""
+    return f"""
+  nb AS (SELECT item_id, COUNT(DISTINCT block) AS nb FROM features GROUP BY item_id),
+  cdots AS (SELECT a.item_id AS item_id, b.item_id AS neighbor_id, SUM(a.value * b.value) AS dot
+            FROM features a JOIN features b ON a.block = b.block AND a.feature = b.feature
+            WHERE a.item_id IN (SELECT item_id FROM {query_items})
+            GROUP BY 1, 2),
+  cscored AS (
+    SELECT q.item_id, c.item_id AS neighbor_id,
+           COALESCE(ROUND(d.dot / SQRT(CAST(na.nb AS DOUBLE) * nc.nb), 6), 0.0) AS similarity
+    FROM (SELECT DISTINCT item_id FROM {query_items}) q JOIN catalog c ON q.item_id <> c.item_id
+    LEFT JOIN cdots d ON d.item_id = q.item_id AND d.neighbor_id = c.item_id
+    LEFT JOIN nb na ON na.item_id = q.item_id LEFT JOIN nb nc ON nc.item_id = c.item_id),
+  cknn AS (
+    SELECT item_id, neighbor_id, similarity,
+           ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY similarity DESC, neighbor_id) AS rank
+    FROM cscored)
+"""

@@ -52,7 +52,8 @@ def raw_books(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     stats = lines.groupBy("l_partkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.round(F.avg(F.col("l_quantity").cast("bigint") % 6), 2).alias("avg_rating"),
+        # two decimals as floor(x * 100 + 0.5) / 100: the same IEEE steps in any engine
+        (F.floor(F.avg(F.col("l_quantity").cast("bigint") % 6) * 100 + 0.5) / 100).alias("avg_rating"),
         F.year(F.min("o_orderdate")).alias("first_year"),
     )
     shelf_rows = (
