@@ -30,10 +30,10 @@ def knn_sql(query_items: str, k: int) -> str:
            FROM unit a JOIN unit b ON a.user_id = b.user_id AND a.item_id <> b.item_id
            WHERE a.item_id IN (SELECT item_id FROM {query_items})
            GROUP BY 1, 2),
-  catalog AS (SELECT DISTINCT item_id FROM cells),
+  kcatalog AS (SELECT DISTINCT item_id FROM cells),
   scored AS (
     SELECT q.item_id, c.item_id AS neighbor_id, COALESCE(ROUND(d.dot, 6), 0.0) AS similarity
-    FROM (SELECT DISTINCT item_id FROM {query_items}) q JOIN catalog c ON q.item_id <> c.item_id
+    FROM (SELECT DISTINCT item_id FROM {query_items}) q JOIN kcatalog c ON q.item_id <> c.item_id
     LEFT JOIN dots d ON d.item_id = q.item_id AND d.neighbor_id = c.item_id),
   knn AS (
     SELECT item_id, neighbor_id, similarity,
