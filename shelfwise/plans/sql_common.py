@@ -141,3 +141,25 @@ def content_knn_sql(query_items: str) -> str:
            ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY similarity DESC, neighbor_id) AS rank
     FROM cscored)
 """
+
+
+def duck_lcs(a: str, b: str) -> str:
+    """DuckDB: LCS length by the classic row-by-row dynamic programme (an
+    independent formulation of what the Spark side computes bit-parallel)."""
+    return (f"list_reduce(string_split({a}, ''), lambda prev, ch: list_reduce(range(1, len({b}) + 1), "
+            f"lambda acc, j: list_append(acc, CASE WHEN substr({b}, j::BIGINT, 1) = ch THEN prev[j] + 1 "
+            f"ELSE greatest(prev[j + 1], acc[j]) END), [0]), "
+            f"list_transform(range(0, len({b}) + 1), lambda x: 0))[len({b}) + 1]")
+
+
+def duck_ratio(a: str, b: str) -> str:
+    return (f"CASE WHEN len({a}) = 0 OR len({b}) = 0 THEN 0 ELSE CAST(round_even(CAST(100 AS DOUBLE) * "
+            f"(CAST(2 * {duck_lcs(a, b)} AS DOUBLE) / CAST(len({a}) + len({b}) AS DOUBLE)), 0) AS INTEGER) END")
+
+
+def duck_partial(a: str, b: str) -> str:
+    s = f"(CASE WHEN len({a}) <= len({b}) THEN {a} ELSE {b} END)"
+    l_ = f"(CASE WHEN len({a}) <= len({b}) THEN {b} ELSE {a} END)"
+    best = f"list_max(list_transform(range(1, len({l_}) - len({s}) + 2), lambda pos: {duck_lcs(s, f'substr({l_}, pos::BIGINT, len({s}))')}))"
+    return (f"CASE WHEN len({a}) = 0 OR len({b}) = 0 THEN 0 ELSE CAST(round_even(CAST(100 AS DOUBLE) * "
+            f"(CAST(2 * {best} AS DOUBLE) / CAST(2 * len({s}) AS DOUBLE)), 0) AS INTEGER) END")
