@@ -94,8 +94,8 @@ def per_query_metrics(recs: DataFrame, holdouts: DataFrame, positives: DataFrame
         "recommender", USER, "k", "n_positives",
         F.when(F.col("k") > 0, hits_c / F.col("k")).otherwise(0.0).alias("precision"),
         F.when(npos > 0, hits_c / npos).otherwise(0.0).alias("recall"),
-        F.when(npos > 0, F.coalesce(F.col("dcg"), F.lit(0.0)) / idcg).otherwise(0.0).alias("ndcg"),
-        F.when(npos > 0, F.coalesce(F.col("ap_sum"), F.lit(0.0)) / denom).otherwise(0.0).alias("map"),
+        F.when(denom > 0, F.coalesce(F.col("dcg"), F.lit(0.0)) / idcg).otherwise(0.0).alias("ndcg"),
+        F.when(denom > 0, F.coalesce(F.col("ap_sum"), F.lit(0.0)) / denom).otherwise(0.0).alias("map"),
         F.coalesce(F.col("any_hit"), F.lit(0)).cast("double").alias("hit_rate"),
     )
 

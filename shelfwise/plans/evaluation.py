@@ -120,8 +120,8 @@ REPORT_SQL = f"""
     SELECT b.recommender, b.user_id, b.k, b.n_positives,
            CASE WHEN b.k > 0 THEN COALESCE(a.hits, 0) / b.k ELSE 0.0 END AS precision,
            CASE WHEN b.n_positives > 0 THEN COALESCE(a.hits, 0) / b.n_positives ELSE 0.0 END AS recall,
-           CASE WHEN b.n_positives > 0 THEN COALESCE(a.dcg, 0.0) / ig.idcg ELSE 0.0 END AS ndcg,
-           CASE WHEN b.n_positives > 0 THEN COALESCE(a.ap_sum, 0.0) / LEAST(b.n_positives, b.k) ELSE 0.0 END AS map,
+           CASE WHEN LEAST(b.n_positives, b.k) > 0 THEN COALESCE(a.dcg, 0.0) / ig.idcg ELSE 0.0 END AS ndcg,
+           CASE WHEN LEAST(b.n_positives, b.k) > 0 THEN COALESCE(a.ap_sum, 0.0) / LEAST(b.n_positives, b.k) ELSE 0.0 END AS map,
            CAST(COALESCE(a.any_hit, 0) AS DOUBLE) AS hit_rate
     FROM base b LEFT JOIN agg a ON a.recommender = b.recommender AND a.user_id = b.user_id AND a.k = b.k
     LEFT JOIN idcg ig ON ig.n = GREATEST(LEAST(b.n_positives, b.k), 1)),
