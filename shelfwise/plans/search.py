@@ -34,10 +34,10 @@ _WORDS = ("words AS (SELECT DISTINCT query FROM (SELECT unnest(string_split(p_na
 def _search_sql(score_sql: str, threshold: int, max_results: int) -> str:
     return f"""
 WITH {_TITLES}, {_WORDS},
-pairs AS (SELECT w.query, lower(w.query) AS a, t.title, t.item_id, lower(t.title) AS b FROM words w, titles t),
-scored AS (SELECT query, title, item_id, {score_sql} AS score FROM pairs),
+spairs AS (SELECT w.query, lower(w.query) AS a, t.title, t.item_id, lower(t.title) AS b FROM words w, titles t),
+sscored AS (SELECT query, title, item_id, {score_sql} AS score FROM spairs),
 ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY query ORDER BY score DESC, item_id) AS rank
-           FROM scored WHERE score >= {threshold})
+           FROM sscored WHERE score >= {threshold})
 SELECT query, CAST(rank AS BIGINT) AS rank, title, item_id, score FROM ranked WHERE rank <= {max_results}
 """
 
