@@ -125,7 +125,9 @@ def q_consolidated_cells(spark, sf_dir):
 class Sweep:
     """Seeds found by title search, hybrid lists for six weightings."""
 
-    def __init__(self, spark, sf_dir):
+    def __init__(self, spark, sf_dir, n: int = SWEEP_N, weights=SWEEP_WEIGHTS):
+        self.n, self.weights = n, weights
+        n_cand = 3 * n
         self.cells = _cells(spark, sf_dir)
         self.catalog = catalog_of(spark, sf_dir)
         self.titles = fixtures.title_table(spark, sf_dir)
@@ -134,8 +136,8 @@ class Sweep:
         self.best = cut_lineage(search.best_match(self.titles, words, SEARCH_THRESHOLD))
         seeds = self.best.select("item_id")
         feats = cut_lineage(feat.content_features(self.metadata, self.catalog))
-        self.collab_nb = cut_lineage(neighbors.item_neighbors(self.cells, k=SWEEP_CANDIDATES, seeds=seeds))
-        self.content_nb = cut_lineage(neighbors.content_neighbors(feats, self.catalog, seeds, k=SWEEP_CANDIDATES))
+        self.collab_nb = cut_lineage(neighbors.item_neighbors(self.cells, k=n_cand, seeds=seeds))
+        self.content_nb = cut_lineage(neighbors.content_neighbors(feats, self.catalog, seeds, k=n_cand))
 
     def _per_query(self, nb):
         q = self.best.select("query_id", F.col("item_id").alias("seed_item"))
@@ -143,8 +145,8 @@ class Sweep:
             "query_id", F.col("neighbor_id").alias("item_id"), "similarity")
 
     def recs(self):
-        return hybrid.hybrid(self._per_query(self.collab_nb), self._per_query(self.content_nb), SWEEP_WEIGHTS,
-                             SWEEP_N, query_col="query_id")
+        return hybrid.hybrid(self._per_query(self.collab_nb), self._per_query(self.content_nb), self.weights,
+                             self.n, query_col="query_id")
 
     def list_metrics(self):
         pop = analytics.item_popularity(self.cells)
@@ -152,10 +154,11 @@ class Sweep:
         return analytics.list_metrics(self.recs(), self.metadata, pop, n_cat)
 
 
-_sweep_grid = ", ".join(f"('{hybrid.weight_name(a, b)}', CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"
-                        for a, b in SWEEP_WEIGHTS)
-
-SWEEP_SQL = f"""
+def title_hybrid_sql(weights, n, n_cand) -> str:
+    """CTEs up to ``recs``: title-word queries -> best title match -> padded
+    collaborative and content candidates -> weighted hybrids."""
+    grid = ", ".join(f"('{hybrid.weight_name(a, b)}', CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))" for a, b in weights)
+    return f"""
   {UNIT}, {FEATURES}, {_TITLES}, {_WORDS},
   wq AS (SELECT query, CAST(ROW_NUMBER() OVER (ORDER BY query) - 1 AS BIGINT) AS query_id FROM words),
   spairs AS (SELECT w.query_id, lower(w.query) AS a, t.title, t.item_id, lower(t.title) AS b FROM wq w, titles t),
@@ -164,20 +167,24 @@ SWEEP_SQL = f"""
              SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS r
              FROM sscored WHERE score >= {SEARCH_THRESHOLD}) WHERE r = 1),
   seeds AS (SELECT DISTINCT item_id FROM best),
-  {knn_sql("seeds", SWEEP_CANDIDATES)},
+  {knn_sql("seeds", n_cand)},
   {content_knn_sql("seeds")},
   cc AS (SELECT b.query_id, k.neighbor_id AS item_id, k.similarity FROM best b JOIN knn k ON k.item_id = b.item_id
-         WHERE k.rank <= {SWEEP_CANDIDATES}),
+         WHERE k.rank <= {n_cand}),
   tc AS (SELECT b.query_id, k.neighbor_id AS item_id, k.similarity FROM best b JOIN cknn k ON k.item_id = b.item_id
-         WHERE k.rank <= {SWEEP_CANDIDATES}),
+         WHERE k.rank <= {n_cand}),
   merged AS (SELECT COALESCE(cc.query_id, tc.query_id) AS query_id, COALESCE(cc.item_id, tc.item_id) AS item_id,
                     COALESCE(cc.similarity, 0.0) AS collab_score, COALESCE(tc.similarity, 0.0) AS content_score
              FROM cc FULL OUTER JOIN tc ON cc.query_id = tc.query_id AND cc.item_id = tc.item_id),
-  grid AS (SELECT * FROM (VALUES {_sweep_grid}) g(recommender, wc, wt)),
+  grid AS (SELECT * FROM (VALUES {grid}) g(recommender, wc, wt)),
   hs AS (SELECT g.recommender, m.query_id, m.item_id, g.wc * m.collab_score + g.wt * m.content_score AS score,
                 m.collab_score, m.content_score FROM merged m, grid g),
   recs AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY recommender, query_id ORDER BY score DESC, item_id) AS rank
-                          FROM hs) WHERE rank <= {SWEEP_N}),
+                          FROM hs) WHERE rank <= {n})
+"""
+
+
+SWEEP_SQL = title_hybrid_sql(SWEEP_WEIGHTS, SWEEP_N, SWEEP_CANDIDATES) + """,
   pop AS (SELECT item_id, CAST(SUM(rating) AS DOUBLE) AS popularity FROM cells GROUP BY item_id),
   genres AS (SELECT item_id, string_split(shelves, ',')[1:5] AS genres FROM meta WHERE COALESCE(shelves, '') <> ''),
   lbase AS (SELECT r.recommender, r.query_id, AVG(CAST(ROUND(r.score * 1e7) AS BIGINT)) / 1e7 AS mean_score,
@@ -268,3 +275,25 @@ FROM recs WHERE rank <= 10
 """)
 def q_sweep_score_breakdown(spark, sf_dir):
     return analytics.score_breakdown(Sweep(spark, sf_dir).recs())
+
+
+@register("recommend_by_title", "R7 F2 J6 J12 P16 R3", f"""
+WITH {title_hybrid_sql([(0.6, 0.4)], 5, 15)},
+t AS (SELECT MAX(p_partkey) AS tid, p_name AS title FROM part GROUP BY p_name),
+t2 AS (SELECT m.p_partkey AS item_id, MAX(t.title) AS title FROM t JOIN part m ON m.p_partkey = t.tid GROUP BY m.p_partkey)
+SELECT w.query, CAST(r.rank AS BIGINT) AS rank, r.item_id,
+       COALESCE(t2.title, 'Book ID: ' || CAST(r.item_id AS VARCHAR)) AS title,
+       r.score, r.collab_score, r.content_score, m.authors,
+       array_to_string(string_split(m.shelves, ',')[1:3], ', ') AS top_shelves
+FROM recs r JOIN wq w USING (query_id) LEFT JOIN t2 USING (item_id) LEFT JOIN meta m USING (item_id)
+""")
+def q_recommend_by_title(spark, sf_dir):
+    s = Sweep(spark, sf_dir, n=5, weights=[(0.6, 0.4)])
+    recs = s.recs()
+    titled = search.titles_with_fallback(recs, s.titles, fixtures.id_map(spark, sf_dir))
+    meta = s.metadata.select("item_id", "authors", F.array_join(F.slice(F.split("shelves", ","), 1, 3), ", ")
+                             .alias("top_shelves"))
+    words = title_words(spark, sf_dir)
+    return (titled.join(words, "query_id").join(meta, "item_id", "left")
+            .select("query", "rank", "item_id", "title", "score", "collab_score", "content_score", "authors",
+                    "top_shelves"))
