@@ -10,7 +10,7 @@ from shelfwise.operators import features as feat
 from shelfwise.plans.content import book_metadata, catalog_of
 from shelfwise.plans.registry import register
 from shelfwise.plans.search import _TITLES, _WORDS, title_words
-from shelfwise.plans.sql_common import CELLS, FEATURES, INTERACTIONS, UNIT, content_knn_sql, duck_partial, knn_sql
+from shelfwise.plans.sql_common import CELLS, FEATURES, INTERACTIONS, META as META_ONLY, UNIT, content_knn_sql, duck_partial, knn_sql
 from shelfwise.session import cut_lineage
 from shelfwise.sources import fixtures
 
@@ -297,3 +297,38 @@ def q_recommend_by_title(spark, sf_dir):
     return (titled.join(words, "query_id").join(meta, "item_id", "left")
             .select("query", "rank", "item_id", "title", "score", "collab_score", "content_score", "authors",
                     "top_shelves"))
+
+
+@register("book_details", "P16 J4", f"""
+WITH inter AS ({INTERACTIONS}), {META_ONLY}
+SELECT item_id, concat_ws(' | ',
+    CASE WHEN publication_year <> 0 THEN CAST(publication_year AS VARCHAR) END,
+    CASE WHEN average_rating <> 0 THEN printf('%.2f', average_rating) END,
+    CASE WHEN ratings_count <> 0 THEN printf('%,d', ratings_count) || ' ratings' END,
+    CASE WHEN num_pages <> 0 THEN CAST(num_pages AS VARCHAR) || ' pages' END) AS details
+FROM meta
+""")
+def q_book_details(spark, sf_dir):
+    return analytics.detail_line(book_metadata(spark, sf_dir))
+
+
+_CONFIGS = sorted(SWEEP_NAMES)
+
+
+@register("config_comparison", "R12", f"""
+WITH {SWEEP_SQL},
+t AS (SELECT MAX(p_partkey) AS tid, p_name AS title FROM part GROUP BY p_name),
+t2 AS (SELECT m.p_partkey AS item_id, MAX(t.title) AS title FROM t JOIN part m ON m.p_partkey = t.tid GROUP BY m.p_partkey),
+cells5 AS (SELECT r.query_id, r.rank, r.recommender,
+                  COALESCE(t2.title, 'Book ID: ' || CAST(r.item_id AS VARCHAR)) ||
+                  CASE WHEN COALESCE(m.shelves, '') <> ''
+                       THEN ' [' || array_to_string(string_split(m.shelves, ',')[1:3], ', ') || ']' ELSE '' END AS cell
+           FROM recs r LEFT JOIN t2 USING (item_id) LEFT JOIN meta m USING (item_id) WHERE r.rank <= 5)
+SELECT query_id, CAST(rank AS BIGINT) AS rank,
+       {", ".join(f'MAX(cell) FILTER (WHERE recommender = {chr(39)}{c}{chr(39)}) AS "{c}"' for c in _CONFIGS)}
+FROM cells5 GROUP BY query_id, rank
+""")
+def q_config_comparison(spark, sf_dir):
+    s = Sweep(spark, sf_dir)
+    t = search.titles_with_fallback(s.catalog, s.titles).select("item_id", "title")
+    return analytics.comparison_table(s.recs(), t, s.metadata, 5)

@@ -202,3 +202,36 @@ SELECT recommender, CAST(k AS INTEGER) AS k, metric, ROUND(value, 6) AS value FR
 """)
 def q_eval_metrics(spark, sf_dir):
     return EvalInputs(spark, sf_dir).report()
+
+
+_PIVOT = ", ".join(f"MAX(value) FILTER (WHERE metric = '{m}') AS {m}" for m in ev.METRICS + ["catalog_coverage",
+                                                                                           "intra_list_diversity"])
+
+
+@register("metrics_by_k", "E13 A25", f"""
+WITH {REPORT_SQL},
+t2 AS (SELECT recommender, CAST(k AS INTEGER) AS k, metric, ROUND(value, 6) AS value FROM tidy)
+SELECT recommender, k, {_PIVOT} FROM t2
+WHERE metric IN ('precision', 'recall', 'ndcg', 'map', 'hit_rate', 'catalog_coverage', 'intra_list_diversity')
+GROUP BY recommender, k
+""")
+def q_metrics_by_k(spark, sf_dir):
+    return ev.metrics_by_k(EvalInputs(spark, sf_dir).report())
+
+
+_KMID = sorted(K_VALUES)[len(K_VALUES) // 2]
+
+
+@register("leaderboard", "E12 W7", f"""
+WITH {REPORT_SQL},
+t2 AS (SELECT recommender, CAST(k AS INTEGER) AS k, metric, ROUND(value, 6) AS value FROM tidy),
+w AS (SELECT recommender, k, {", ".join(f"MAX(value) FILTER (WHERE metric = '{m}') AS {m}" for m in ev.METRICS)}
+      FROM t2 WHERE k = {_KMID} GROUP BY recommender, k),
+c AS (SELECT recommender, value AS catalog_coverage FROM t2 WHERE metric = 'catalog_coverage'),
+d AS (SELECT recommender, value AS intra_list_diversity FROM t2 WHERE metric = 'intra_list_diversity')
+SELECT w.*, c.catalog_coverage, d.intra_list_diversity,
+       CAST(ROW_NUMBER() OVER (ORDER BY w.ndcg DESC, w.recommender) AS BIGINT) AS position
+FROM w LEFT JOIN c USING (recommender) LEFT JOIN d USING (recommender)
+""")
+def q_leaderboard(spark, sf_dir):
+    return ev.leaderboard(EvalInputs(spark, sf_dir).report(), K_VALUES)
