@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.common import score
+from shelfwise.session import cut_lineage
 
 USER, ITEM, RATING = "user_id", "item_id", "rating"
 
@@ -130,7 +131,9 @@ def item_neighbors(cells: DataFrame, k: int = 10, seeds: DataFrame | None = None
     Returns (item_id, neighbor_id, rank, similarity).  The query item itself
     is never its own neighbour (dropped by id, Q24).
     """
-    unit = unit_ratings(cells)
+    # Written once to the checkpoint folder: both join sides and the degree
+    # count read it, and the quadratic pair step restarts from it after a loss.
+    unit = cut_lineage(unit_ratings(cells))
     if seeds is None:
         dots = pair_dots(unit, block_items)
         both = F.explode(F.array(F.struct(F.col("i").alias("a"), F.col("j").alias("b")),

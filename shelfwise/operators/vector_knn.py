@@ -33,7 +33,8 @@ from shelfwise.functions.common import SCORE_DIGITS
 
 ITEM = "item_id"
 DEFAULT_MAX_SEEDS = 4096
-SUB_BATCH = 1024
+# Doubles per dense scoring block (rows x seed-dictionary size), ~32 MB.
+DENSE_CELLS = 4_000_000
 
 OUT_SCHEMA = T.StructType([
     T.StructField("seed_id", T.LongType(), False),
@@ -43,8 +44,14 @@ OUT_SCHEMA = T.StructType([
 
 
 def _kernel(seed_ids: np.ndarray, seed_t: np.ndarray, k: int):
-    """mapInPandas body: rows (item_id, cols array<int>, vals array<double>, scale double)."""
+    """mapInPandas body: rows (item_id, cols array<int>, vals array<double>, scale double).
+
+    Each sub-batch of items becomes a dense block over the seed dictionary
+    (at most ``DENSE_CELLS`` doubles) and is scored by one matrix product.
+    """
     n_seeds = len(seed_ids)
+    dims = seed_t.shape[0]
+    rows_per_block = int(max(64, min(8192, DENSE_CELLS // max(dims, 1))))
 
     def run(batches):
         best_sc = np.empty((0, n_seeds))
@@ -52,20 +59,27 @@ def _kernel(seed_ids: np.ndarray, seed_t: np.ndarray, k: int):
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            for lo in range(0, len(pdf), SUB_BATCH):
-                part = pdf.iloc[lo:lo + SUB_BATCH]
+            for lo in range(0, len(pdf), rows_per_block):
+                part = pdf.iloc[lo:lo + rows_per_block]
                 ids = part[ITEM].to_numpy(dtype=np.int64)
-                lens = np.fromiter((len(c) for c in part["cols"]), dtype=np.int64, count=len(part))
-                scores = np.zeros((len(part), n_seeds))
-                rows = np.flatnonzero(lens)
-                if len(rows):
-                    cols = np.concatenate([np.asarray(part["cols"].iloc[r], dtype=np.int64) for r in rows])
-                    vals = np.concatenate([np.asarray(part["vals"].iloc[r], dtype=np.float64) for r in rows])
-                    starts = np.concatenate([[0], np.cumsum(lens[rows])[:-1]])
-                    scores[rows] = np.add.reduceat(seed_t[cols] * vals[:, None], starts, axis=0)
+                cols_list = part["cols"].to_list()
+                lens = np.fromiter((len(c) for c in cols_list), dtype=np.int64, count=len(part))
+                block = np.zeros((len(part), dims))
+                if lens.sum():
+                    r_idx = np.repeat(np.arange(len(part)), lens)
+                    c_idx = np.concatenate([np.asarray(c, dtype=np.int64) for c in cols_list if len(c)])
+                    v = np.concatenate([np.asarray(x, dtype=np.float64) for x in part["vals"].to_list() if len(x)])
+                    np.add.at(block, (r_idx, c_idx), v)
+                scores = block @ seed_t
                 scores *= part["scale"].to_numpy(dtype=np.float64)[:, None]
                 scores = np.round(scores, SCORE_DIGITS) + 0.0
                 scores[ids[:, None] == seed_ids[None, :]] = -np.inf  # never its own neighbour
+                if len(part) > k:
+                    # keep, per seed, the rows that can still enter the top-k:
+                    # score above the k-th largest, or equal to it (ties break on id)
+                    kth = -np.partition(-scores, k - 1, axis=0)[k - 1]
+                    cand = np.flatnonzero((scores >= kth[None, :]).any(axis=1))
+                    scores, ids = scores[cand], ids[cand]
                 all_sc = np.vstack([best_sc, scores])
                 all_id = np.vstack([best_id, np.broadcast_to(ids[:, None], scores.shape)])
                 order = np.lexsort((all_id, -all_sc), axis=0)[:k]
@@ -95,10 +109,11 @@ def sparse_cosine_topk(entries: DataFrame, scale: DataFrame, catalog: DataFrame,
     ``catalog``: (item_id) every candidate item.  ``seeds``: (item_id).
     """
     seed_ids_df = seeds.select(ITEM).distinct()
-    n = seed_ids_df.count()
-    if n == 0:
+    seed_list = sorted(r[ITEM] for r in seed_ids_df.limit(max_seeds + 1).collect())
+    if not seed_list:
         return _top_k(entries.sparkSession.createDataFrame([], OUT_SCHEMA), k)
-    if n > max_seeds:
+    if len(seed_list) > max_seeds:
+        n = seed_ids_df.count()
         # Deterministic batches by hash; each batch is bounded.
         n_batches = -(-n // max_seeds)
         out = None
@@ -108,9 +123,10 @@ def sparse_cosine_topk(entries: DataFrame, scale: DataFrame, catalog: DataFrame,
             out = res if out is None else out.unionByName(res)
         return out
 
-    seed_rows = (entries.join(F.broadcast(seed_ids_df), ITEM, "left_semi")
+    spark = entries.sparkSession
+    seed_df = spark.createDataFrame([(x,) for x in seed_list], f"{ITEM} bigint")  # at most max_seeds rows
+    seed_rows = (entries.join(F.broadcast(seed_df), ITEM, "left_semi")
                  .join(scale, ITEM).select(ITEM, "key", (F.col("value") * F.col("scale")).alias("v")).collect())
-    seed_list = sorted(r[ITEM] for r in seed_ids_df.collect())
     seed_pos = {s: i for i, s in enumerate(seed_list)}
     keys = sorted({r["key"] for r in seed_rows})
     key_pos = {kk: i for i, kk in enumerate(keys)}
@@ -118,7 +134,6 @@ def sparse_cosine_topk(entries: DataFrame, scale: DataFrame, catalog: DataFrame,
     for r in seed_rows:
         seed_t[key_pos[r["key"]], seed_pos[r[ITEM]]] += r["v"]
 
-    spark = entries.sparkSession
     key_df = spark.createDataFrame([(kk, i) for kk, i in key_pos.items()], "key string, col int")
     restricted = (entries.join(F.broadcast(key_df), "key")  # dictionary size bounded by the seed batch
                   .groupBy(ITEM).agg(F.collect_list(F.struct("col", "value")).alias("e")))

@@ -184,8 +184,7 @@ WITH {HOLDOUTS_SQL}, {FEATURES}, {content_knn_sql("seeds")}
 SELECT item_id, neighbor_id, CAST(rank AS BIGINT) AS rank, similarity FROM cknn WHERE rank <= {CAND_K}
 """)
 def q_content_candidates(spark, sf_dir):
-    inputs = EvalInputs(spark, sf_dir, cut=False)
-    return inputs.content_nb
+    return EvalInputs(spark, sf_dir).content_nb
 
 
 @register("hybrid_recs", "R3 R4 J11 T1 L4 P15 Q26", f"""
