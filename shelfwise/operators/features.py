@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators.metadata import split_list
 from shelfwise.operators.ordering import global_index
+from shelfwise.session import cut_lineage
 
 ITEM = "item_id"
 
@@ -94,10 +95,19 @@ def numeric_block(metadata: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def content_features(metadata: DataFrame, catalog: DataFrame, max_terms: int = MAX_TERMS, min_df: int = MIN_DF,
                      min_author_items: int = MIN_AUTHOR_ITEMS) -> DataFrame:
-    """The three normalised blocks stacked in long form."""
-    return (shelf_block(metadata, catalog, max_terms, min_df)
-            .unionByName(author_block(metadata, catalog, min_author_items))
-            .unionByName(numeric_block(metadata, catalog)))
+    """The three normalised blocks stacked in long form.
+
+    The catalog-aligned metadata (one row per catalog item) feeds the three
+    blocks, the vocabulary and the document count; it is written once to the
+    checkpoint folder instead of being derived five times.
+    """
+    cols = ["title", "shelves", "author_ids", "num_authors", "ratings_count", "average_rating",
+            "publication_year", "num_pages"]
+    docs = cut_lineage(_docs(metadata.select(ITEM, *cols), catalog))
+    cat = docs.select(ITEM)
+    return (shelf_block(docs, cat, max_terms, min_df)
+            .unionByName(author_block(docs, cat, min_author_items))
+            .unionByName(numeric_block(docs, cat)))
 
 
 def feature_mapping(metadata: DataFrame, catalog: DataFrame) -> DataFrame:
