@@ -148,3 +148,19 @@ def block_counts(features: DataFrame) -> DataFrame:
     """(item_id, n_blocks): number of non-empty blocks, the squared norm of
     the concatenated vector."""
     return features.groupBy(ITEM).agg(F.countDistinct("block").alias("n_blocks"))
+
+
+def catalog_alignment(catalog: DataFrame, features: DataFrame, metadata: DataFrame) -> DataFrame:
+    """How much of the collaborative catalog has content features and
+    metadata (the hybrid's index-mapping and metadata coverage)."""
+    cat = catalog.select(ITEM).distinct()
+    fi = features.select(ITEM).distinct()
+    n = F.count(F.lit(1)).cast("bigint")
+    n_cat = cat.select(n).scalar()
+    aligned = cat.join(fi, ITEM).select(n).scalar()
+    with_meta = cat.join(metadata.select(ITEM), ITEM).select(n).scalar()
+    return cat.agg(n.alias("n_collab")).select(
+        "n_collab", fi.select(n).scalar().alias("n_content"), aligned.alias("n_aligned"),
+        with_meta.alias("n_with_metadata"),
+        F.round(F.lit(100.0) * aligned / n_cat, 6).alias("pct_aligned"),
+        F.round(F.lit(100.0) * with_meta / n_cat, 6).alias("pct_with_metadata"))

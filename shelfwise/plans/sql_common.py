@@ -163,3 +163,21 @@ def duck_partial(a: str, b: str) -> str:
     best = f"list_max(list_transform(range(1, len({l_}) - len({s}) + 2), lambda pos: {duck_lcs(s, f'substr({l_}, pos::BIGINT, len({s}))')}))"
     return (f"CASE WHEN len({a}) = 0 OR len({b}) = 0 THEN 0 ELSE CAST(round_even(CAST(100 AS DOUBLE) * "
             f"(CAST(2 * {best} AS DOUBLE) / CAST(2 * len({s}) AS DOUBLE)), 0) AS INTEGER) END")
+
+
+def duck_token_sort(a: str) -> str:
+    return f"array_to_string(list_sort(list_filter(string_split({a}, ' '), lambda x: x <> '')), ' ')"
+
+
+def duck_weighted(a: str, b: str) -> str:
+    """DuckDB restatement of functions.text.weighted_ratio_sql."""
+    la, lb = f"len({a})", f"len({b})"
+    lr = f"(CAST(greatest({la}, {lb}) AS DOUBLE) / CAST(least({la}, {lb}) AS DOUBLE))"
+    scale = f"(CASE WHEN {lr} > 8 THEN CAST(0.6 AS DOUBLE) ELSE CAST(0.9 AS DOUBLE) END)"
+    ta, tb = duck_token_sort(a), duck_token_sort(b)
+    p95 = "CAST(0.95 AS DOUBLE)"
+    partial = (f"greatest(CAST({duck_ratio(a, b)} AS DOUBLE), {duck_partial(a, b)} * {scale}, "
+               f"{duck_partial(ta, tb)} * {p95} * {scale})")
+    full = f"greatest(CAST({duck_ratio(a, b)} AS DOUBLE), {duck_ratio(ta, tb)} * {p95})"
+    return (f"CASE WHEN {la} = 0 OR {lb} = 0 THEN 0 "
+            f"ELSE CAST(round_even(CASE WHEN {lr} < 1.5 THEN {full} ELSE {partial} END, 0) AS INTEGER) END")
