@@ -6,8 +6,8 @@ Collaborative similarity is a sparse self-join of the ratings on the user:
    product, so they are dropped here (they still count in ``matrix_stats``);
 2. each rating is divided by its item's L2 norm, so the summed products *are*
    the cosine and no norm join follows the pair aggregation;
-3. for all-pairs, only ``i < j`` is generated and the result is mirrored
-   after the aggregation;
+3. for all-pairs, only ``i < j`` is generated; after the aggregation each
+   side of a pair is cut to its top-k separately and the halves are merged;
 4. a user with more than ``block_items`` rated items is a hot key: its items
    are split into ``ceil(degree / block_items)`` hash blocks and the join key
    becomes (user, left block, right block), so no task ever multiplies more
@@ -135,11 +135,14 @@ def item_neighbors(cells: DataFrame, k: int = 10, seeds: DataFrame | None = None
     # count read it, and the quadratic pair step restarts from it after a loss.
     unit = cut_lineage(unit_ratings(cells))
     if seeds is None:
-        dots = pair_dots(unit, block_items)
-        both = F.explode(F.array(F.struct(F.col("i").alias("a"), F.col("j").alias("b")),
-                                 F.struct(F.col("j").alias("a"), F.col("i").alias("b"))))
-        scored = (dots.select(both.alias("p"), score("dot").alias("similarity"))
-                  .select(F.col("p.a").alias(ITEM), F.col("p.b").alias("neighbor_id"), "similarity"))
+        dots = pair_dots(unit, block_items).where(score("dot") > 0)
+        # Each side of an (i < j) pair is cut to its own top-k first (partial
+        # WindowGroupLimit before each shuffle), then the two halves merge.
+        fwd = top_k_lists(dots.select(F.col("i").alias(ITEM), F.col("j").alias("neighbor_id"),
+                                      score("dot").alias("similarity")), k).drop("rank")
+        bwd = top_k_lists(dots.select(F.col("j").alias(ITEM), F.col("i").alias("neighbor_id"),
+                                      score("dot").alias("similarity")), k).drop("rank")
+        scored = fwd.unionByName(bwd)
         query_items = cells.select(ITEM)
     else:
         dots = seed_dots(unit, seeds, block_items)

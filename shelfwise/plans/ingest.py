@@ -41,8 +41,9 @@ def q_book_titles(spark, sf_dir):
 
 @register("extra_features_csv", "P1 P7 S6 Q40", f"""
 WITH inter AS ({INTERACTIONS}), {META},
-aj AS (SELECT a.item_id, to_json(list({{'author_id': CAST(a.l_suppkey AS VARCHAR), 'name': s.s_name}} ORDER BY a.l_suppkey))
-              AS authors
+aj AS (SELECT a.item_id,
+              CAST(to_json(list({{'author_id': CAST(a.l_suppkey AS VARCHAR), 'name': s.s_name}} ORDER BY a.l_suppkey))
+                   AS VARCHAR) AS authors
        FROM auth a JOIN supplier s ON a.l_suppkey = s.s_suppkey GROUP BY a.item_id)
 SELECT p.p_partkey AS book_id, p.p_type || ' ' || p.p_brand AS description, p.p_type AS format, p.p_name AS title,
        p.p_name AS title_without_series, lower(p.p_type) || '-' || lower(p.p_brand) AS language_code,
