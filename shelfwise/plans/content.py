@@ -102,3 +102,27 @@ FROM b, n
 """)
 def q_feature_stats(spark, sf_dir):
     return features.feature_stats(content_features(spark, sf_dir), catalog_of(spark, sf_dir))
+
+
+def documents_as_text(spark, sf_dir):
+    """(item_id, shelves) view of the documents table: whole texts as the corpus."""
+    docs = fixtures.table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("item_id"), F.col("text").alias("shelves"))
+
+
+@register("document_tfidf", "C2 A13 A15 Q15 Q16 Q17", """
+WITH docs AS (SELECT doc_id AS item_id, text AS shelves FROM documents),
+tokens AS (SELECT item_id, unnest(regexp_extract_all(lower(replace(COALESCE(shelves, ''), ',', ' ')),
+                                                    '[a-z][a-z0-9\\-]+')) AS term FROM docs),
+tf AS (SELECT item_id, term, CAST(COUNT(*) AS DOUBLE) AS tf FROM tokens GROUP BY item_id, term),
+tstats AS (SELECT term, COUNT(*) AS df, SUM(tf) AS total FROM tf GROUP BY term),
+vocab AS (SELECT term, df, total, LN((1.0 + (SELECT COUNT(*) FROM docs)) / (df + 1.0)) + 1.0 AS idf
+          FROM tstats WHERE df >= 3 ORDER BY total DESC, term LIMIT 500),
+w AS (SELECT tf.item_id, tf.term, tf.tf * v.idf AS w FROM tf JOIN vocab v USING (term))
+SELECT item_id, 'shelf' AS block, term AS feature, ROUND(w / SQRT(SUM(w * w) OVER (PARTITION BY item_id)), 6) AS value
+FROM w
+""")
+def q_document_tfidf(spark, sf_dir):
+    docs = documents_as_text(spark, sf_dir)
+    return features.shelf_block(docs, docs.select("item_id")).select(
+        "item_id", "block", "feature", score("value").alias("value"))
