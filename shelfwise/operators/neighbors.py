@@ -28,13 +28,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.common import score
+from shelfwise.functions.common import bounded_broadcast, score
 from shelfwise.session import cut_lineage
 
 USER, ITEM, RATING = "user_id", "item_id", "rating"
 
 # Items of one user handled by a single join task (see 4. above).
 DEFAULT_BLOCK_ITEMS = 4096
+# Largest seed set joined by broadcast; larger ones use a shuffled semi join.
+MAX_BROADCAST_SEEDS = 200_000
 
 
 def unit_ratings(cells: DataFrame) -> DataFrame:
@@ -78,7 +80,10 @@ def pair_dots(unit: DataFrame, block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFr
 def seed_dots(unit: DataFrame, seed_items: DataFrame, block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFrame:
     """(i, j, dot) for seed items i against every co-rated item j != i."""
     blocked = _with_blocks(unit, block_items)
-    left = (blocked.join(seed_items.select(ITEM).distinct(), ITEM, "left_semi")
+    # Seed batches are bounded by the caller's parameters (e.g. users sampled
+    # for evaluation); broadcast them only when the count check proves it.
+    seeds = bounded_broadcast(seed_items.select(ITEM).distinct(), MAX_BROADCAST_SEEDS)
+    left = (blocked.join(seeds, ITEM, "left_semi")
             .select(USER, F.col(ITEM).alias("i"), F.col("w").alias("wi"), _fan_out().alias("br")))
     right = blocked.select(USER, F.col(ITEM).alias("j"), F.col("w").alias("wj"), _block_of(ITEM).alias("br"))
     pairs = left.join(right, [USER, "br"]).where(F.col("i") != F.col("j"))
