@@ -55,7 +55,10 @@ class EvalInputs:
         return out.select("recommender", "user_id", "rank", "item_id")
 
     def report(self):
-        return ev.evaluate(self.recs(), self.holdouts, self.positives, RECOMMENDERS, K_VALUES, self.catalog,
+        # The lists (users x recommenders x K rows) feed five aggregations;
+        # written once they are not re-derived from the candidates each time.
+        recs = cut_lineage(self.recs())
+        return ev.evaluate(recs, self.holdouts, self.positives, RECOMMENDERS, K_VALUES, self.catalog,
                            self.features)
 
 
