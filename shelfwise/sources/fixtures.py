@@ -117,3 +117,11 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings")
     return emb.select(F.col("vec_id").alias("item_id"),
                       F.transform("embedding", lambda x: x.cast("double")).alias("vector"))
+
+
+def event_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second interaction source: every event is an implicit rating 1 of the
+    item named by its ``k`` property."""
+    ev = table(spark, sf_dir, "events").select("user_id", "props")
+    return ev.select("user_id", F.get_json_object("props", "$.k").cast("bigint").alias("item_id"),
+                     F.lit(1).cast("bigint").alias("rating")).where(F.col("item_id").isNotNull())
