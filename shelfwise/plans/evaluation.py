@@ -24,19 +24,46 @@ RECOMMENDERS = ["collaborative", "content"] + [hybrid.weight_name(a, b) for a, b
 
 
 class EvalInputs:
-    """Everything the offline report needs, with lineage cut where a table is
-    reused by several recommenders (holdouts, features, candidates)."""
+    """Everything the offline report needs.  Each table is built on first use
+    and, when ``cut``, written once to the checkpoint folder because several
+    recommenders reuse it (holdouts, features, candidate lists)."""
 
     def __init__(self, spark, sf_dir, cut: bool = True):
-        keep = cut_lineage if cut else (lambda d: d)
+        self.spark, self.sf_dir = spark, sf_dir
+        self._keep = cut_lineage if cut else (lambda d: d)
+        self._cache = {}
         self.cells = prepare.rating_cells(fixtures.interactions(spark, sf_dir))
         self.catalog = catalog_of(spark, sf_dir)
-        self.holdouts = keep(ev.sample_holdouts(self.cells, N_USERS, MIN_INTERACTIONS, SEED))
-        self.positives = ev.holdout_positives(self.cells, self.holdouts)
-        seeds = self.holdouts.select(F.col("seed_item").alias("item_id"))
-        self.features = keep(feat.content_features(book_metadata(spark, sf_dir), self.catalog))
-        self.collab_nb = keep(neighbors.item_neighbors(self.cells, k=CAND_K, seeds=seeds))
-        self.content_nb = keep(neighbors.content_neighbors(self.features, self.catalog, seeds, k=CAND_K))
+
+    def _once(self, key, build):
+        if key not in self._cache:
+            self._cache[key] = self._keep(build())
+        return self._cache[key]
+
+    @property
+    def holdouts(self):
+        return self._once("holdouts", lambda: ev.sample_holdouts(self.cells, N_USERS, MIN_INTERACTIONS, SEED))
+
+    @property
+    def positives(self):
+        return ev.holdout_positives(self.cells, self.holdouts)
+
+    def _seeds(self):
+        return self.holdouts.select(F.col("seed_item").alias("item_id"))
+
+    @property
+    def features(self):
+        return self._once("features", lambda: feat.content_features(book_metadata(self.spark, self.sf_dir),
+                                                                   self.catalog))
+
+    @property
+    def collab_nb(self):
+        return self._once("collab", lambda: neighbors.item_neighbors(self.cells, k=CAND_K, seeds=self._seeds()))
+
+    @property
+    def content_nb(self):
+        return self._once("content", lambda: neighbors.content_neighbors(self.features, self.catalog,
+                                                                        self._seeds(), k=CAND_K))
 
     def per_query(self, nb):
         q = self.holdouts.select("user_id", F.col("seed_item"))
@@ -177,9 +204,7 @@ WITH {HOLDOUTS_SQL}, {knn_sql("seeds", CAND_K)}
 SELECT item_id, neighbor_id, CAST(rank AS BIGINT) AS rank, similarity FROM knn WHERE rank <= {CAND_K}
 """)
 def q_collab_candidates(spark, sf_dir):
-    cells = prepare.rating_cells(fixtures.interactions(spark, sf_dir))
-    seeds = ev.sample_holdouts(cells, N_USERS, MIN_INTERACTIONS, SEED).select(F.col("seed_item").alias("item_id"))
-    return neighbors.item_neighbors(cells, k=CAND_K, seeds=seeds)
+    return EvalInputs(spark, sf_dir).collab_nb
 
 
 @register("content_candidates", "R2 R6 J8 J10 J15 Q21 Q25 Q27", f"""
