@@ -35,6 +35,8 @@ ITEM = "item_id"
 DEFAULT_MAX_SEEDS = 4096
 # Doubles per dense scoring block (rows x seed-dictionary size), ~32 MB.
 DENSE_CELLS = 4_000_000
+# Budget of the broadcast seed matrix (dictionary x seeds), ~256 MB.
+MAX_SEED_CELLS = 32_000_000
 
 OUT_SCHEMA = T.StructType([
     T.StructField("seed_id", T.LongType(), False),
@@ -43,17 +45,19 @@ OUT_SCHEMA = T.StructType([
 ])
 
 
-def _kernel(seed_ids: np.ndarray, seed_t: np.ndarray, k: int):
+def _kernel(seed_ids: np.ndarray, seed_bc, dims: int, k: int):
     """mapInPandas body: rows (item_id, cols array<int>, vals array<double>, scale double).
 
-    Each sub-batch of items becomes a dense block over the seed dictionary
-    (at most ``DENSE_CELLS`` doubles) and is scored by one matrix product.
+    ``seed_bc`` is a broadcast variable holding the (dims x seeds) matrix, read
+    once per Python worker.  Each sub-batch of items becomes a dense block over
+    the seed dictionary (at most ``DENSE_CELLS`` doubles) and is scored by one
+    matrix product.
     """
     n_seeds = len(seed_ids)
-    dims = seed_t.shape[0]
     rows_per_block = int(max(64, min(8192, DENSE_CELLS // max(dims, 1))))
 
     def run(batches):
+        seed_t = seed_bc.value
         best_sc = np.empty((0, n_seeds))
         best_id = np.empty((0, n_seeds), dtype=np.int64)
         for pdf in batches:
@@ -130,9 +134,18 @@ def sparse_cosine_topk(entries: DataFrame, scale: DataFrame, catalog: DataFrame,
     seed_pos = {s: i for i, s in enumerate(seed_list)}
     keys = sorted({r["key"] for r in seed_rows})
     key_pos = {kk: i for i, kk in enumerate(keys)}
+    if len(keys) * len(seed_list) > MAX_SEED_CELLS and len(seed_list) > 1:
+        # The seed matrix would exceed its memory budget: score two halves.
+        half = len(seed_list) // 2
+        parts = [seed_list[:half], seed_list[half:]]
+        outs = [sparse_cosine_topk(entries, scale, catalog,
+                                   entries.sparkSession.createDataFrame([(x,) for x in p], f"{ITEM} bigint"),
+                                   k, max_seeds) for p in parts]
+        return outs[0].unionByName(outs[1])
     seed_t = np.zeros((max(len(keys), 1), len(seed_list)))
     for r in seed_rows:
         seed_t[key_pos[r["key"]], seed_pos[r[ITEM]]] += r["v"]
+    seed_bc = spark.sparkContext.broadcast(seed_t)
 
     key_df = spark.createDataFrame([(kk, i) for kk, i in key_pos.items()], "key string, col int")
     restricted = (entries.join(F.broadcast(key_df), "key")  # dictionary size bounded by the seed batch
@@ -142,7 +155,8 @@ def sparse_cosine_topk(entries: DataFrame, scale: DataFrame, catalog: DataFrame,
                        F.coalesce(F.transform("e", lambda x: x["col"]), F.array().cast("array<int>")).alias("cols"),
                        F.coalesce(F.transform("e", lambda x: x["value"]), F.array().cast("array<double>")).alias("vals"),
                        F.coalesce(F.col("scale"), F.lit(0.0)).alias("scale")))
-    cands = vectors.mapInPandas(_kernel(np.asarray(seed_list, dtype=np.int64), seed_t, k), OUT_SCHEMA)
+    cands = vectors.mapInPandas(_kernel(np.asarray(seed_list, dtype=np.int64), seed_bc, seed_t.shape[0], k),
+                                OUT_SCHEMA)
     return _top_k(cands, k)
 
 

@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of collected lineage-cut tables are removed with them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

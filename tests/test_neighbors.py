@@ -137,3 +137,16 @@ def test_dense_vectors(spark):
                 for j in range(30) if j != q]
         exp = sorted(sims, key=lambda t: (-t[0], t[1]))[:5]
         assert got[q] == [(j, pytest.approx(s, abs=1e-6)) for s, j in exp]
+
+
+def test_seed_matrix_budget_split_gives_same_result(spark, monkeypatch):
+    from shelfwise.operators import vector_knn
+
+    rows = [(i, "shelf", str((i * j) % 11), 1.0 + j) for i in range(20) for j in range(4)]
+    feats = spark.createDataFrame(rows, "item_id bigint, block string, feature string, value double")
+    catalog = feats.select("item_id").distinct()
+    seeds = spark.createDataFrame([(i,) for i in range(0, 20, 3)], "item_id bigint")
+    whole = sorted(nb.content_neighbors(feats, catalog, seeds, k=5).collect())
+    monkeypatch.setattr(vector_knn, "MAX_SEED_CELLS", 10)
+    split = sorted(nb.content_neighbors(feats, catalog, seeds, k=5).collect())
+    assert whole == split
