@@ -191,3 +191,12 @@ def leaderboard(tidy: DataFrame, k_values: Sequence[int]) -> DataFrame:
             .join(div, "recommender", "left")
             .withColumnRenamed("cov", "catalog_coverage").withColumnRenamed("div", "intra_list_diversity")
             .withColumn("position", F.row_number().over(w).cast("bigint")))
+
+
+def write_report(tidy: DataFrame, path: str, config: dict, fmt: str = "json") -> None:
+    """Persist the tidy metrics with the run configuration attached as
+    literal columns (``config_<name>``), one small file per recommender."""
+    cols = [F.lit(str(v) if isinstance(v, (list, tuple, dict)) else v).alias(f"config_{k}")
+            for k, v in sorted(config.items())]
+    out = tidy.select("*", *cols).repartition("recommender")
+    out.write.mode("overwrite").format(fmt).save(path)

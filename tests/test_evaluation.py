@@ -144,3 +144,15 @@ def test_holdout_positive_invariants(spark):
 def test_evaluate_rejects_empty_k(spark):
     with pytest.raises(ValueError):
         ev.per_query_metrics(recs_of(spark, [[1]]), None, None, ["r"], [])
+
+
+def test_write_report_with_config(spark):
+    import tempfile
+
+    tidy = spark.createDataFrame([("r", 10, "ndcg", 0.5), ("r", 10, "recall", 0.25)],
+                                 "recommender string, k int, metric string, value double")
+    path = tempfile.mkdtemp(prefix="report-") + "/out"
+    ev.write_report(tidy, path, {"seed": 42, "k_values": [5, 10, 20], "n_users": 500})
+    back = spark.read.json(path).collect()
+    assert {(r.metric, r.value, r.config_seed, r.config_k_values) for r in back} == {
+        ("ndcg", 0.5, 42, "[5, 10, 20]"), ("recall", 0.25, 42, "[5, 10, 20]")}
