@@ -30,6 +30,8 @@ GENRES_PER_BOOK = 5
 SHELVES_SHOWN = 3
 HIST_BINS = 50
 SCORE_BINS = 20
+# Columns of the side-by-side comparison (one per configuration).
+MAX_CONFIGS = 64
 
 
 def half_up(c: str, digits: int = 6) -> F.Column:
@@ -282,6 +284,9 @@ def comparison_table(recs: DataFrame, titles: DataFrame, metadata: DataFrame, n_
     cell = F.concat(F.coalesce(F.col("title"), F.concat(F.lit("Book ID: "), F.col(ITEM).cast("string"))),
                     F.when(F.col("top_shelves") != "", F.concat(F.lit(" ["), F.col("top_shelves"), F.lit("]")))
                     .otherwise(F.lit("")))
-    configs = [r["recommender"] for r in recs.select("recommender").distinct().orderBy("recommender").collect()]
+    configs = [r["recommender"] for r in
+               recs.select("recommender").distinct().orderBy("recommender").limit(MAX_CONFIGS + 1).collect()]
+    if len(configs) > MAX_CONFIGS:
+        raise ValueError(f"comparison table supports at most {MAX_CONFIGS} configurations")
     return t.select("query_id", "rank", "recommender", cell.alias("cell")).groupBy("query_id", "rank") \
         .pivot("recommender", configs).agg(F.first("cell"))

@@ -35,8 +35,10 @@ ITEM = "item_id"
 DEFAULT_MAX_SEEDS = 4096
 # Doubles per dense scoring block (rows x seed-dictionary size), ~32 MB.
 DENSE_CELLS = 4_000_000
-# Budget of the broadcast seed matrix (dictionary x seeds), ~256 MB.
+# Budget of the broadcast seed matrix (dictionary x seeds), ~256 MB, and of
+# the seed vector entries gathered to build it.
 MAX_SEED_CELLS = 32_000_000
+MAX_SEED_ROWS = 5_000_000
 
 OUT_SCHEMA = T.StructType([
     T.StructField("seed_id", T.LongType(), False),
@@ -130,7 +132,16 @@ def sparse_cosine_topk(entries: DataFrame, scale: DataFrame, catalog: DataFrame,
     spark = entries.sparkSession
     seed_df = spark.createDataFrame([(x,) for x in seed_list], f"{ITEM} bigint")  # at most max_seeds rows
     seed_rows = (entries.join(F.broadcast(seed_df), ITEM, "left_semi")
-                 .join(scale, ITEM).select(ITEM, "key", (F.col("value") * F.col("scale")).alias("v")).collect())
+                 .join(scale, ITEM).select(ITEM, "key", (F.col("value") * F.col("scale")).alias("v"))
+                 .limit(MAX_SEED_ROWS + 1).collect())
+    if len(seed_rows) > MAX_SEED_ROWS:
+        if len(seed_list) == 1:
+            raise ValueError(f"item {seed_list[0]} has more than {MAX_SEED_ROWS} vector entries")
+        half = len(seed_list) // 2
+        outs = [sparse_cosine_topk(entries, scale, catalog,
+                                   spark.createDataFrame([(x,) for x in p], f"{ITEM} bigint"), k, max_seeds)
+                for p in (seed_list[:half], seed_list[half:])]
+        return outs[0].unionByName(outs[1])
     seed_pos = {s: i for i, s in enumerate(seed_list)}
     keys = sorted({r["key"] for r in seed_rows})
     key_pos = {kk: i for i, kk in enumerate(keys)}

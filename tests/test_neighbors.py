@@ -150,3 +150,16 @@ def test_seed_matrix_budget_split_gives_same_result(spark, monkeypatch):
     monkeypatch.setattr(vector_knn, "MAX_SEED_CELLS", 10)
     split = sorted(nb.content_neighbors(feats, catalog, seeds, k=5).collect())
     assert whole == split
+
+
+def test_seed_rows_budget_split_gives_same_result(spark, monkeypatch):
+    from shelfwise.operators import vector_knn
+
+    rows = [(i, "shelf", str((i + j) % 7), 1.0 + j) for i in range(16) for j in range(3)]
+    feats = spark.createDataFrame(rows, "item_id bigint, block string, feature string, value double")
+    catalog = feats.select("item_id").distinct()
+    seeds = spark.createDataFrame([(i,) for i in range(0, 16, 2)], "item_id bigint")
+    whole = sorted(nb.content_neighbors(feats, catalog, seeds, k=4).collect())
+    monkeypatch.setattr(vector_knn, "MAX_SEED_ROWS", 5)
+    split = sorted(nb.content_neighbors(feats, catalog, seeds, k=4).collect())
+    assert whole == split
