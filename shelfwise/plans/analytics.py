@@ -131,7 +131,8 @@ class Sweep:
         self.cells = _cells(spark, sf_dir)
         self.catalog = catalog_of(spark, sf_dir)
         self.titles = fixtures.title_table(spark, sf_dir)
-        self.metadata = book_metadata(spark, sf_dir)
+        # metadata feeds the features, the genre analytics and the detail columns
+        self.metadata = cut_lineage(book_metadata(spark, sf_dir))
         words = title_words(spark, sf_dir)
         self.best = cut_lineage(search.best_match(self.titles, words, SEARCH_THRESHOLD))
         seeds = self.best.select("item_id")
