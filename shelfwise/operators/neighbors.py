@@ -34,7 +34,7 @@ from shelfwise.session import cut_lineage
 USER, ITEM, RATING = "user_id", "item_id", "rating"
 
 # Items of one user handled by a single join task (see 4. above).
-DEFAULT_BLOCK_ITEMS = 4096
+DEFAULT_BLOCK_ITEMS = 1024
 # Largest seed set joined by broadcast; larger ones use a shuffled semi join.
 MAX_BROADCAST_SEEDS = 200_000
 
