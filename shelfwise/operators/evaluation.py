@@ -15,6 +15,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,32 +115,34 @@ def list_diversity(recs: DataFrame, features: DataFrame, max_k: int) -> DataFram
     """Mean pairwise cosine distance inside each list.
 
     Items with an empty vector are skipped; each distance is clipped to
-    [0, 1]; a list with fewer than two valid items scores 0 (Q33).  Pairs are
-    formed inside one list only (at most max_k^2 / 2 per list).
+    [0, 1]; a list with fewer than two valid items has no pairs and scores 0
+    downstream (Q33).  Each list is one group of at most ``max_k`` items: its
+    vectors (blocks scaled by 1/sqrt(blocks), Q21) form a small dense matrix
+    whose Gram matrix gives every pairwise cosine at once -- no pair table is
+    materialised, and memory per group is bounded by K x features per item.
     """
     nb = features.groupBy(ITEM).agg(F.countDistinct("block").alias("nb"))
-    items = recs.where(F.col("rank") <= max_k).join(nb, ITEM).select("recommender", USER, "rank", ITEM, "nb")
-    a, b = items.alias("a"), items.alias("b")
-    pairs = a.join(b, [F.col("a.recommender") == F.col("b.recommender"), F.col(f"a.{USER}") == F.col(f"b.{USER}"),
-                       F.col("a.rank") < F.col("b.rank")]).select(
-        F.col("a.recommender").alias("recommender"), F.col(f"a.{USER}").alias(USER),
-        F.col(f"a.{ITEM}").alias("ia"), F.col(f"b.{ITEM}").alias("ib"),
-        F.sqrt(F.col("a.nb") * F.col("b.nb")).alias("norms"))
-    keyed = features.select(ITEM, "block", "feature", "value")
-    fa = items.select("recommender", USER, "rank", ITEM).join(keyed, ITEM)
-    fa2 = fa.alias("x").join(fa.alias("y"), [F.col("x.recommender") == F.col("y.recommender"),
-                                             F.col(f"x.{USER}") == F.col(f"y.{USER}"),
-                                             F.col("x.block") == F.col("y.block"),
-                                             F.col("x.feature") == F.col("y.feature"),
-                                             F.col("x.rank") < F.col("y.rank")])
-    dots = fa2.groupBy(F.col("x.recommender").alias("recommender"), F.col(f"x.{USER}").alias(USER),
-                       F.col(f"x.{ITEM}").alias("ia"), F.col(f"y.{ITEM}").alias("ib")) \
-        .agg(F.sum(F.col("x.value") * F.col("y.value")).alias("dot"))
-    dist = (pairs.join(dots, ["recommender", USER, "ia", "ib"], "left")
-            .select("recommender", USER,
-                    F.least(F.greatest(F.lit(1.0) - F.coalesce(F.col("dot"), F.lit(0.0)) / F.col("norms"), F.lit(0.0)),
-                            F.lit(1.0)).alias("d")))
-    return dist.groupBy("recommender", USER).agg(F.avg("d").alias("diversity"))
+    items = recs.where(F.col("rank") <= max_k).select("recommender", USER, ITEM).join(nb, ITEM)
+    rows = items.join(features.select(ITEM, F.concat_ws("\u0001", "block", "feature").alias("key"), "value"), ITEM)
+
+    def gram(pdf: pd.DataFrame) -> pd.DataFrame:
+        codes, uniq = pd.factorize(pdf[ITEM])
+        if len(uniq) < 2:
+            return pd.DataFrame({"recommender": pd.Series([], dtype=object), USER: pd.Series([], dtype="int64"),
+                                 "diversity": pd.Series([], dtype="float64")})
+        kcodes, _ = pd.factorize(pdf["key"])
+        m = np.zeros((len(uniq), int(kcodes.max()) + 1))
+        np.add.at(m, (codes, kcodes), pdf["value"].to_numpy(dtype=np.float64))
+        nbv = pdf.groupby(codes)["nb"].first().to_numpy(dtype=np.float64)
+        m /= np.sqrt(nbv)[:, None]
+        g = m @ m.T
+        iu = np.triu_indices(len(uniq), k=1)
+        d = np.clip(1.0 - g[iu], 0.0, 1.0)
+        return pd.DataFrame({"recommender": [pdf["recommender"].iloc[0]], USER: [int(pdf[USER].iloc[0])],
+                             "diversity": [float(d.mean())]})
+
+    return rows.groupBy("recommender", USER).applyInPandas(
+        gram, "recommender string, user_id bigint, diversity double")
 
 
 def evaluate(recs: DataFrame, holdouts: DataFrame, positives: DataFrame, recommenders: Sequence[str],
