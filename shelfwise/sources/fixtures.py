@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.sources.readers import AUTHOR, SHELF  # noqa: F401  (schema of the nested columns)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
