@@ -27,10 +27,10 @@ def title_index(titles: DataFrame) -> DataFrame:
 
 def _batches(queries: DataFrame, max_queries: int) -> list[list[tuple[int, str]]]:
     rows = queries.select("query_id", "q").orderBy("query_id")
-    n = rows.count()
-    if n <= max_queries:
-        return [[(r["query_id"], r["q"]) for r in rows.collect()]]
-    n_batches = -(-n // max_queries)
+    first = rows.limit(max_queries + 1).collect()
+    if len(first) <= max_queries:
+        return [[(r["query_id"], r["q"]) for r in first]]
+    n_batches = -(-rows.count() // max_queries)
     out = []
     for b in range(n_batches):
         part = rows.where(F.pmod(F.col("query_id"), F.lit(n_batches)) == b)
