@@ -86,3 +86,20 @@ def test_entry_and_registry(spark):
     assert out.count() > 0
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs) and len(qs) >= 40
+
+
+def test_global_index_with_heavy_ties(spark):
+    # 90% of rows share one count value; the order is total only through the id
+    df = spark.range(0, 3000).select(F.col("id").alias("item_id"),
+                                     F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(7)).alias("n"))
+    idx = ordering.global_index(df, [F.col("n").desc(), F.col("item_id").asc()], "pos", partitions=13).collect()
+    expected = sorted(((r.n, r.item_id) for r in df.collect()), key=lambda t: (-t[0], t[1]))
+    got = [(r.n, r.item_id) for r in sorted(idx, key=lambda r: r.pos)]
+    assert got == expected and sorted(r.pos for r in idx) == list(range(3000))
+
+
+def test_event_interactions_adapter(spark):
+    ev = fixtures.event_interactions(spark, SF)
+    raw = fixtures.table(spark, SF, "events")
+    assert ev.count() == raw.where(F.get_json_object("props", "$.k").isNotNull()).count()
+    assert ev.where(F.col("rating") != 1).count() == 0
