@@ -8,6 +8,7 @@ where lineage is cut.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -64,7 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage for this cluster")
     local_dir = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir=os.environ.get("SHELFWISE_SCRATCH"))
     sc.setCheckpointDir(local_dir)
