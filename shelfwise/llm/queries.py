@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import mixing, simhash
+from shelfwise.llm import mixing, quality_rules, simhash
 from shelfwise.sources.fixtures import table
 
 QUERIES = {}
@@ -25,3 +25,11 @@ def op4_mixing(spark, sf_dir):
 def op6_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op9_quality_rules(spark, sf_dir):
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), write_measures=True, keep=["doc_id", "source"])
+    v = [F.col(f"verdict.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                         "base_failed", "kept", "failures", "host_rate")]
+    return judged.select("doc_id", *v)
