@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import mixing, quality_rules, simhash
+from shelfwise.llm import mixing, packing, quality_rules, simhash
 from shelfwise.sources.fixtures import table
 
 QUERIES = {}
@@ -33,3 +33,15 @@ def op9_quality_rules(spark, sf_dir):
     v = [F.col(f"verdict.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                          "base_failed", "kept", "failures", "host_rate")]
     return judged.select("doc_id", *v)
+
+
+def tokenizer_file() -> str:
+    """The public tokenizer that the packing query is fixed to."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op2_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), with_ids=False)
