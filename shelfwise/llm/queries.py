@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import mixing, packing, quality_rules, simhash
+from shelfwise.llm import mixing, packing, pii, quality_rules, simhash
 from shelfwise.sources.fixtures import table
 
 QUERIES = {}
@@ -45,3 +45,8 @@ def tokenizer_file() -> str:
 @query
 def op2_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), with_ids=False)
+
+
+@query
+def op3_pii(spark, sf_dir):
+    return pii.span_digest(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
