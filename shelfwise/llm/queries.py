@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import mixing, packing, pii, quality_rules, simhash
+from shelfwise.llm import mixing, packing, pii, quality_rules, simhash, warc
 from shelfwise.sources.fixtures import table
 
 QUERIES = {}
@@ -50,3 +50,13 @@ def op2_packing(spark, sf_dir):
 @query
 def op3_pii(spark, sf_dir):
     return pii.span_digest(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op5_warc(spark, sf_dir):
+    folder = warc.new_folder(spark)
+    parts = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    return warc.read_all(parts, folder).drop("url")
+
+
+ORACLE_SQL["op5_warc"] = warc.ORACLE
