@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import mixing, packing, pii, quality_rules, simhash, warc
+from shelfwise.llm import mixing, packing, pii, quality_classifier, quality_rules, simhash, toxicity, warc
 from shelfwise.sources.fixtures import table
 
 QUERIES = {}
@@ -60,3 +60,13 @@ def op5_warc(spark, sf_dir):
 
 
 ORACLE_SQL["op5_warc"] = warc.ORACLE
+
+
+@query
+def op8_quality_classifier(spark, sf_dir):
+    return quality_classifier.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
