@@ -39,7 +39,7 @@ IDENTITY_TERMS = {
     "origin": ("immigrant", "immigrants", "refugee", "refugees", "foreigner", "foreigners"),
 }
 PUNCTUATION = ".,;:!?\"'()[]{}<>%*#$&|-_/\\"
-BEGINNINGS = (4, 5)
+BEGINNINGS = (4, 5, 6, 7, 8)
 VOCABULARY = 1500
 MIN_TEXTS = 4
 RIDGE = 2e-4
