@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import mixing, packing, pii, quality_classifier, quality_rules, simhash, toxicity, warc
+from shelfwise.llm import (html_extraction, mixing, packing, pii, quality_classifier, quality_rules, simhash, toxicity,
+                           warc)
+from shelfwise.llm.common import bound_batches
 from shelfwise.sources.fixtures import table
 
 QUERIES = {}
@@ -70,3 +72,10 @@ def op8_quality_classifier(spark, sf_dir):
 @query
 def op10_toxicity(spark, sf_dir):
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_html(spark, sf_dir):
+    bound_batches(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", html_extraction.main_text(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
