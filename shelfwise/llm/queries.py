@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import (html_extraction, mixing, packing, pii, quality_classifier, quality_rules, simhash, toxicity,
+from shelfwise.llm import (html_extraction, mixing, nn_descent, packing, pii, quality_classifier, quality_rules, simhash, toxicity,
                            warc)
 from shelfwise.llm.common import bound_batches
 from shelfwise.sources.fixtures import table
@@ -79,3 +79,8 @@ def op1_html(spark, sf_dir):
     bound_batches(spark)
     pages = table(spark, sf_dir, "pages").select("page_id", "url", html_extraction.main_text(F.col("html")).alias("text"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op7_nn_descent(spark, sf_dir):
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
