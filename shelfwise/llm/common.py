@@ -64,18 +64,21 @@ def row_key(docs: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def one_row_each(docs: DataFrame, chosen: DataFrame, id_col: str, key: str) -> DataFrame:
-    """The rows of ``docs`` that ``chosen`` (``id_col``, ``key``, further columns)
-    names, one row for rows that are alike in all columns, with the further
-    columns of ``chosen``.  ``key`` must hold ``row_key`` of the row.
+def one_row_each(docs: DataFrame, chosen: DataFrame, id_col: str, more: str | None = None) -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` (``doc_id``, ``row_key``, and ``more``
+    if given) names, one row for rows that are alike in all columns.  ``row_key``
+    must hold ``row_key`` of the row.  ``more`` is added as the last column, under
+    a name that ``docs`` does not have.
 
     One shuffle of the texts: the join and the removal of repeated rows use the
     same partitioning.
     """
+    key, own_id, own_key = (free_name(n, docs.columns) for n in ("_row_key", "_chosen_id", "_chosen_key"))
+    extra = [F.col(more).alias(free_name(more, docs.columns))] if more else []
     left = docs.withColumn(key, row_key(docs))
-    right = chosen.withColumnRenamed(id_col, "_chosen_id").withColumnRenamed(key, "_chosen_key")
-    joined = left.join(right, (left[key] == right["_chosen_key"]) & left[id_col].eqNullSafe(right["_chosen_id"]))
-    return joined.drop("_chosen_id", "_chosen_key").dropDuplicates([key, id_col])
+    right = chosen.select(F.col("doc_id").alias(own_id), F.col("row_key").alias(own_key), *extra)
+    joined = left.join(right, (F.col(key) == F.col(own_key)) & F.col(f"`{id_col}`").eqNullSafe(F.col(own_id)))
+    return joined.drop(own_id, own_key).dropDuplicates([key, id_col]).drop(key)
 
 
 def running_start(rows: DataFrame, group: Sequence[str], bucket: str, order: Sequence[str], value: str,

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import WORD, cut_lineage, one_row_each, row_key, running_start, word_count
+from shelfwise.llm.common import WORD, cut_lineage, free_name, one_row_each, row_key, running_start, word_count
 
 #: The weights of the sources in order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -116,8 +116,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     The shuffled order is that of md5(salt:id), so reruns agree.
     """
     key = row_key(docs) if with_key else F.lit(0).cast("long")
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                        word_count(text_col).alias("size"), key.alias("row_key"))
+    sized = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
+                        word_count(f"`{text_col}`").alias("size"), key.alias("row_key"))
     sized = cut_lineage(sized)  # ids and numbers only: the texts are read once
     # the sums by source are few rows; written once, as three branches read them
     sources = cut_lineage(source_targets(sized, weights, most_repeats, block_words))
@@ -162,14 +162,14 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # rows alike in all columns are told apart by their place; their takes are joined in one list
     # of at most repeats * epochs entries each
     takes = took.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("epoch", "taken", "size")).alias("takes"))
-    kept = one_row_each(docs, takes.withColumnRenamed("doc_id", id_col), id_col, "row_key")
-    kept = kept.withColumn("take", F.explode("takes"))
-    some = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1),
-                                F.col("take.taken").cast("int")), " ")
-    text = F.when(F.col("take.taken") < F.col("take.size"), some).otherwise(F.col(text_col))
-    out = kept.withColumn(text_col, text)
+    kept = one_row_each(docs, takes, id_col, "takes")
+    take = free_name("take", kept.columns)
+    kept = kept.withColumn(take, F.explode(kept.columns[-1]))
+    taken, body = F.col(f"{take}.taken"), F.col(f"`{text_col}`")
+    some = F.array_join(F.slice(F.regexp_extract_all(body, F.lit(WORD), F.lit(0)), F.lit(1), taken.cast("int")), " ")
+    out = kept.withColumn(text_col, F.when(taken < F.col(f"{take}.size"), some).otherwise(body))
     if length_col:
-        out = out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
+        out = out.withColumn(length_col, F.length(f"`{text_col}`").cast(docs.schema[length_col].dataType))
     return out.select(*[f"`{c}`" for c in docs.columns])
 
 

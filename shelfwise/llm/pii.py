@@ -182,8 +182,9 @@ def find(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame:
     dirty = docs.withColumn(doc, row_key(docs)).withColumn(base, base_spans(f"`{text_col}`")).where(F.size(base) > 0)
     dirty = cut_lineage(dirty)  # documents with personal data only
     plain = dirty.select(F.col(doc).alias("doc"), F.col(f"`{text_col}`").alias("text"), F.col(base).alias("base"))
-    told = disclosing_terms(plain, docs, text_col, **thresholds).withColumnRenamed("terms", terms).withColumnRenamed("doc", doc + "2")
-    met = dirty.join(told, dirty[doc] == told[doc + "2"], "left")
+    other = free_name("_told_of", dirty.columns)
+    told = disclosing_terms(plain, docs, text_col, **thresholds).select(F.col("doc").alias(other), F.col("terms").alias(terms))
+    met = dirty.join(told, F.col(doc) == F.col(other), "left")
     met = met.withColumn(terms, F.coalesce(terms, F.array().cast(found)))
     cols = [*[f"`{c}`" for c in docs.columns], base, terms]
     return clean.select(*cols).unionByName(met.select(*cols))

@@ -176,14 +176,17 @@ def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", wri
         rows = cut_lineage(rows)
     failed = base_failed(m) | (failures(m) > 0)
     hosts = host_verdicts(rows.select(F.struct(h, h + "less").alias("host"), failed.alias("failed")))
-    odds = (F.col("rate") / (1 - F.col("rate"))) * F.pow(F.lit(FAILURE_ODDS), F.col("_n"))
-    hosts = hosts.select(F.col("host").getField(h).alias("_host"), F.col("host").getField(h + "less").alias("_less"), "rate", "blocked")
+    own, n = free_name("verdict_of_host", rows.columns), free_name("failed_rules", rows.columns)
+    hosts = hosts.select(F.struct("host", "rate", "blocked").alias(own))
     # a skewed join on the host: adaptive execution splits a hot host's rows, the other side has one row for it
-    met = rows.withColumn("_n", failures(m)).join(hosts, (F.col(h) == F.col("_host")) & (F.col(h + "less") == F.col("_less")))
-    fine = ~(base_failed(m) | F.col("blocked") | ((F.col("_n") > 0) & (odds >= REJECT_ODDS)))
+    met = rows.withColumn(n, failures(m)).join(
+        hosts, (F.col(h) == F.col(f"{own}.host.{h}")) & (F.col(h + "less") == F.col(f"{own}.host.{h}less")))
+    rate = F.col(f"{own}.rate")
+    odds = rate / (1 - rate) * F.pow(F.lit(FAILURE_ODDS), F.col(n))
+    fine = ~(base_failed(m) | F.col(f"{own}.blocked") | ((F.col(n) > 0) & (odds >= REJECT_ODDS)))
     fields = [F.col(f"{m}.{f.split()[0]}") for f in MEASURES.split(", ")]
-    verdict = F.struct(*fields, base_failed(m).alias("base_failed"), F.col("_n").alias("failures"),
-                       F.col("rate").alias("host_rate"), fine.alias("kept"))
+    verdict = F.struct(*fields, base_failed(m).alias("base_failed"), F.col(n).alias("failures"),
+                       rate.alias("host_rate"), fine.alias("kept"))
     return met.select(*[f"`{c}`" for c in cols], verdict.alias(free_name("verdict", cols)))
 
 

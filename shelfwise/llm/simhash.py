@@ -219,5 +219,4 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp"))]
     first = found.groupBy(*[g.alias(n) for g, n in zip(group, ("c", "f"))]).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("row_key"))).alias("k"))
-    chosen = first.select(F.col("k.doc_id").alias(id_col), F.col("k.row_key").alias("row_key"))
-    return one_row_each(docs, chosen, id_col, "row_key").select(*[f"`{c}`" for c in docs.columns])
+    return one_row_each(docs, first.select("k.doc_id", "k.row_key"), id_col)
