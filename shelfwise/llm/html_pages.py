@@ -10,6 +10,7 @@ structure where it can.
 from __future__ import annotations
 
 import random
+import re
 
 PAGES = 400
 SEED = 11
@@ -53,14 +54,14 @@ class _Maker:
         inner = self.one(f"<h1>{self.words(1, 5, '')}</h1>", f"<p>{self.words(1, 9)}</p>", self.words(1, 12), f'<div class="logo">{self.words(1, 3, "")}</div>')
         return self.box(*self.r.choice([("header", ("", "site-header")), ("div", ("header", "masthead", "top-bar"))]), inner + self.maybe(0.5, self.menu))
 
-    def advert(self, mark: str = "") -> str:
+    def advert(self) -> str:
         inner = self.words(1, 40)
-        return self.box(self.one("div", "div", "section"), ("ad", "advert", "ads", "sponsored", "promo", "advertisement", "ad-banner"), self.one(inner, f"<p>{inner}</p>"), mark)
+        return self.box(self.one("div", "div", "section"), ("ad", "advert", "ads", "sponsored", "promo", "advertisement", "ad-banner"), self.one(inner, f"<p>{inner}</p>"))
 
-    def notice(self, mark: str = "") -> str:
+    def notice(self) -> str:
         inner = self.words(3, 40)
         return self.box(self.one("div", "div", "section", "p"), ("cookie-notice", "cookie-banner", "consent", "notice", "alert", "gdpr", "popup", "newsletter", "subscribe"),
-                        self.one(inner, f"<p>{inner}</p><div>{self.words(1, 2, '')}</div>"), mark)
+                        self.one(inner, f"<p>{inner}</p><div>{self.words(1, 2, '')}</div>"))
 
     def side(self) -> str:
         inner = self.maybe(0.6, lambda: f"<h3>{self.words(1, 4, '')}</h3>") + "".join(self.one(f"<p>{self.words(2, 50)}</p>", self.links(), f"<div>{self.words(1, 20)}</div>") for _ in range(self.r.randint(1, 4)))
@@ -108,11 +109,10 @@ class _Maker:
 
     def content(self) -> str:
         parts = [self.passage() for _ in range(self.r.choice((1, 2, 3, 5, 8, 12, 20)))]
-        for inset in (self.advert, self.notice):
-            if self.r.random() < 0.12:
-                parts.insert(self.r.randint(0, len(parts)), inset(_N))
-        if self.r.random() < 0.06:
-            parts.insert(self.r.randint(0, len(parts)), f"<aside{_N}><p>{self.words(3, 40)}</p></aside>")
+        for inset in (self.advert, self.notice, self.side, self.form, self.related, self.menu, self.comments, self.footer):
+            if self.r.random() < 0.08:
+                at = len(parts) if inset in (self.comments, self.footer) else self.r.randint(0, len(parts))
+                parts.insert(at, re.sub(r"^<\w+", lambda m: m[0] + _N, inset()))
         head = f"<h1>{self.words(1, 14, '')}</h1>"
         return self.one(head, head, head, f"<header>{head}<p>{self.words(3, 20)}</p></header>") + "".join(parts)
 
