@@ -1,3 +1,3 @@
-from shelfwise.functions.common import SCORE_DIGITS, bounded_broadcast, require_columns, score
+from shelfwise.functions.common import RANK_DIGITS, SCORE_DIGITS, score, shown
 
-__all__ = ["SCORE_DIGITS", "bounded_broadcast", "require_columns", "score"]
+__all__ = ["RANK_DIGITS", "SCORE_DIGITS", "score", "shown"]

@@ -2,32 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Scores are rounded before they are ranked so that float noise from a
-# different summation order can never flip a tie; ties then break on id.
+# Similarities are ranked at 12 digits: enough to tell near ties apart, and coarse
+# enough that a different order of summation does not.  Reports round to 6.
+RANK_DIGITS = 12
 SCORE_DIGITS = 6
 
 
 def score(c: Column | str) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, SCORE_DIGITS)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
+    """A similarity as it is ranked."""
+    return F.round(F.col(c) if isinstance(c, str) else c, RANK_DIGITS)
 
-    The check is an action on ``df`` that stops after ``max_rows + 1`` rows;
-    call it on inputs whose size is set by a parameter (seed batches, weight
-    grids, K lists).  Beyond the bound the frame is returned unhinted and the
-    planner picks a shuffled join.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
 
-
-def require_columns(df: DataFrame, *names: str) -> None:
-    missing = [n for n in names if n not in df.columns]
-    if missing:
-        raise ValueError(f"missing columns {missing}; have {df.columns}")
+def shown(c: Column | str) -> Column:
+    """A score as a report shows it."""
+    return F.round(F.col(c) if isinstance(c, str) else c, SCORE_DIGITS)

@@ -1,121 +1,206 @@
-"""String similarity scores as native Spark SQL expressions.
+"""String similarity scores.
 
 ``ratio(a, b)`` is ``round(100 * 2 * LCS(a, b) / (|a| + |b|))`` with
-round-half-to-even, 0 when either side is empty -- the indel similarity that
-the reference's string-matching library reports.
-
-The longest common subsequence uses the bit-parallel recurrence of
-Allison & Dix / Hyyro: with ``V`` = all ones over |b| bits and ``M[c]`` the
-positions of character ``c`` in ``b``, each character ``x`` of ``a`` does
-``U = V & M[x];  V = (V + U) | (V - U)``, and LCS = |b| - popcount(V).
-Since ``U`` is a subset of ``V``, ``V - U = V & ~M[x]``; only the addition
-carries, and it is done over 62-bit limbs so no signed 64-bit value can
-overflow.  Cost per pair is O(|a| * |b|) bit operations, evaluated by the
-JVM's higher-order functions -- no Python row function.
-
+round-half-to-even, 0 when either side is empty: the indel similarity.
 ``partial_ratio`` takes the best ratio of the shorter string against every
-window of the longer string of the same length (a substring hit scores 100).
-It inspects every window, so it can score above the library, which only
-tries windows aligned with matching blocks.  ``weighted_ratio`` approximates
-the library's default ``WRatio`` (token-set terms omitted).  Both are
-documented approximations.
+window of its length in the longer one; it inspects every window, so it can
+score above a library that tries only windows aligned with matching blocks.
+``weighted_ratio`` approximates the default scorer of common libraries on
+processed text (token-set terms omitted).  Both are documented approximations.
+
+The longest common subsequence is bit-parallel: ``V`` starts as ones over the
+pattern's length and every text character with position mask ``M`` does
+``U = V & M;  V = (V + U) | (V - U)``; LCS is the number of zeros.  One pattern
+runs against many texts at once as numpy vectors of 64-bit limbs, and its masks
+are made once.  A pair is scored only if an upper bound can reach the threshold:
+no common subsequence is longer than the number of characters in common.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-
-LIMB = 62
-LIMB_MASK = (1 << LIMB) - 1
-
-
-def _lcs_sql(a: str, b: str) -> str:
-    """SQL expression: LCS length of the (non-empty) strings a and b."""
-    m = f"length({b})"
-    words = f"sequence(0, CAST(ceil({m} / {LIMB}) AS INT) - 1)"
-    valid = (f"CASE WHEN {m} - w0 * {LIMB} >= {LIMB} THEN {LIMB_MASK}L "
-             f"ELSE shiftleft(1L, {m} - w0 * {LIMB}) - 1L END")
-    v0 = f"transform({words}, w0 -> {valid})"
-    cb = f"split({b}, '')"
-    mask = (f"transform({words}, w1 -> aggregate(sequence(0, least({LIMB - 1}, {m} - 1 - w1 * {LIMB})), 0L, "
-            f"(acc, bit) -> acc | IF({cb}[w1 * {LIMB} + bit] = ch, shiftleft(1L, bit), 0L)))")
-    valid_w = valid.replace("w0", "w2")
-    step = (f"aggregate({words}, named_struct('carry', 0L, 'v', CAST(array() AS ARRAY<BIGINT>)), "
-            f"(st, w2) -> named_struct("
-            f"'carry', shiftright(vv[w2] + (vv[w2] & mm[w2]) + st.carry, {LIMB}), "
-            f"'v', concat(st.v, array((((vv[w2] + (vv[w2] & mm[w2]) + st.carry) & {LIMB_MASK}L) "
-            f"| (vv[w2] & ~mm[w2])) & ({valid_w})))), st -> st.v)")
-    final_v = f"aggregate(split({a}, ''), {v0}, (vv, ch) -> transform(array({mask}), mm -> {step})[0])"
-    return f"({m} - aggregate({final_v}, 0, (acc2, x) -> acc2 + bit_count(x)))"
-
-
-def lcs_sql(a: str, b: str) -> str:
-    """SQL: LCS length of two string expressions (0 when either is empty)."""
-    return f"CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 ELSE {_lcs_sql(a, b)} END"
-
-
-def _ratio_from(lcs: str, total: str) -> str:
-    return f"CAST(bround(CAST(100 AS DOUBLE) * (CAST(2 * ({lcs}) AS DOUBLE) / CAST({total} AS DOUBLE)), 0) AS INT)"
-
-
-def ratio_sql(a: str, b: str) -> str:
-    """SQL: F1a indel similarity 0-100 of two string expressions."""
-    return (f"CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 "
-            f"ELSE {_ratio_from(_lcs_sql(a, b), f'length({a}) + length({b})')} END")
-
-
-def partial_ratio_sql(a: str, b: str) -> str:
-    """SQL: F1b best same-length window ratio 0-100."""
-    short = f"IF(length({a}) <= length({b}), {a}, {b})"
-    long_ = f"IF(length({a}) <= length({b}), {b}, {a})"
-    best = (f"array_max(transform(sequence(1, length({long_}) - length({short}) + 1), "
-            f"pos -> {_lcs_sql(short, f'substring({long_}, pos, length({short}))')}))")
-    return (f"CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 "
-            f"ELSE {_ratio_from(best, f'2 * length({short})')} END")
-
-
-def token_sort_sql(a: str) -> str:
-    """SQL: words sorted and re-joined by single spaces."""
-    return f"array_join(array_sort(filter(split({a}, ' '), tok -> tok <> '')), ' ')"
+from pyspark.sql.functions import pandas_udf
+
+LIMB = 64
+
+
+class Texts:
+    """Strings as a matrix of character codes (-1 beyond the end)."""
+
+    def __init__(self, strings: list[str]):
+        self.strings = strings
+        self.length = np.array([len(s) for s in strings], dtype=np.int64)
+        self.codes = np.full((len(strings), int(self.length.max(initial=0))), -1, dtype=np.int64)
+        for row, s in zip(self.codes, strings):
+            row[:len(s)] = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+    def take(self, rows: np.ndarray) -> Texts:
+        out = Texts.__new__(Texts)
+        out.strings = [self.strings[i] for i in rows]
+        out.length, out.codes = self.length[rows], self.codes[rows]
+        return out
+
+    def in_common(self, pattern: str) -> np.ndarray:
+        """How many characters each text has in common with the pattern."""
+        total = np.zeros(len(self.length), dtype=np.int64)
+        for c in set(pattern):
+            total += np.minimum((self.codes == ord(c)).sum(axis=1), pattern.count(c))
+        return total
+
+
+def _masks(pattern: str, codes: np.ndarray) -> np.ndarray:
+    """The pattern's position masks at every code: (limbs, *codes.shape)."""
+    limbs = -(-len(pattern) // LIMB)
+    out = np.zeros((limbs, *codes.shape), dtype=np.uint64)
+    for c in set(pattern):
+        at = codes == ord(c)
+        for limb in range(limbs):
+            bits = sum(1 << i for i, x in enumerate(pattern[limb * LIMB:(limb + 1) * LIMB]) if x == c)
+            if bits:
+                out[limb][at] = bits
+    return out
+
+
+def _lcs(pattern: str, masks: np.ndarray) -> np.ndarray:
+    """LCS of the pattern with texts given as masks (limbs, texts, characters)."""
+    limbs, texts, width = masks.shape
+    size = [min(LIMB, len(pattern) - i * LIMB) for i in range(limbs)]
+    full = [np.uint64((1 << s) - 1) for s in size]
+    v = [np.full(texts, f, dtype=np.uint64) for f in full]
+    for at in range(width):
+        carry = np.zeros(texts, dtype=np.uint64)
+        for i in range(limbs):
+            u = v[i] & masks[i, :, at]
+            total = v[i] + u
+            over = total < u
+            total = total + carry
+            carry = (over | (total < carry)).astype(np.uint64)
+            v[i] = (total | (v[i] & ~u)) & full[i]
+    return len(pattern) - sum(np.bitwise_count(x).astype(np.int64) for x in v)
+
+
+def lcs(pattern: str, texts: Texts) -> np.ndarray:
+    """LCS length of the pattern with every text."""
+    if not pattern or not texts.codes.size:
+        return np.zeros(len(texts.length), dtype=np.int64)
+    return _lcs(pattern, _masks(pattern, texts.codes))
+
+
+def _percent(numerator: np.ndarray, denominator: np.ndarray | int) -> np.ndarray:
+    return np.rint(100.0 * (numerator.astype(np.float64) / denominator)).astype(np.int64)  # rint: half to even
+
+
+def ratio_scores(query: str, texts: Texts) -> np.ndarray:
+    """F1a of the query with every text."""
+    out = np.zeros(len(texts.length), dtype=np.int64)
+    rows = np.flatnonzero((texts.length > 0) & (len(query) > 0))
+    if len(rows):
+        some = texts.take(rows)
+        out[rows] = _percent(2 * lcs(query, some), len(query) + some.length)
+    return out
+
+
+def partial_scores(query: str, texts: Texts) -> np.ndarray:
+    """F1b of the query with every text."""
+    out, m = np.zeros(len(texts.length), dtype=np.int64), len(query)
+    if not m:
+        return out
+    rows = np.flatnonzero(texts.length >= m)
+    if len(rows):
+        some = texts.take(rows)
+        masks, best = _masks(query, some.codes), np.zeros(len(rows), dtype=np.int64)
+        for at in range(some.codes.shape[1] - m + 1):
+            live = np.flatnonzero((some.length >= at + m) & (best < m))
+            if not len(live):
+                break
+            best[live] = np.maximum(best[live], _lcs(query, masks[:, live, at:at + m]))
+        out[rows] = _percent(2 * best, 2 * m)
+    for row in np.flatnonzero((texts.length < m) & (texts.length > 0)):
+        short = texts.strings[row]
+        windows = Texts([query[i:i + len(short)] for i in range(m - len(short) + 1)])
+        out[row] = _percent(2 * lcs(short, windows), 2 * len(short)).max()
+    return out
+
+
+def token_sort(text: str) -> str:
+    """The words sorted and joined by single spaces."""
+    return " ".join(sorted(t for t in text.split(" ") if t))
+
+
+def weighted_scores(query: str, texts: Texts) -> np.ndarray:
+    """the best of the ratio and, scaled, the sorted-token ratio (lengths
+    within a factor 1.5) or the window ratios (x0.9, x0.6 beyond a factor 8)."""
+    out, m = np.zeros(len(texts.length), dtype=np.int64), len(query)
+    rows = np.flatnonzero((texts.length > 0) & (m > 0))
+    if not len(rows):
+        return out
+    some, sorted_query = texts.take(rows), token_sort(query)
+    factor = np.maximum(some.length, m) / np.minimum(some.length, m)
+    best = ratio_scores(query, some).astype(np.float64)
+    near = np.flatnonzero(factor < 1.5)
+    if len(near):
+        tokens = Texts([token_sort(some.strings[i]) for i in near])
+        best[near] = np.maximum(best[near], ratio_scores(sorted_query, tokens) * 0.95)
+    far = np.flatnonzero(factor >= 1.5)
+    if len(far):
+        scale = np.where(factor[far] > 8, 0.6, 0.9)
+        tokens = Texts([token_sort(some.strings[i]) for i in far])
+        best[far] = np.maximum(best[far], np.maximum(partial_scores(query, some.take(far)) * scale,
+                                                     partial_scores(sorted_query, tokens) * 0.95 * scale))
+    out[rows] = np.rint(best).astype(np.int64)
+    return out
+
+
+SCORERS = {"ratio": ratio_scores, "partial_ratio": partial_scores, "weighted_ratio": weighted_scores}
+
+
+def scorer(name: str) -> Callable[[str, Texts], np.ndarray]:
+    """Unknown scorer -> error at build time."""
+    if name not in SCORERS:
+        raise ValueError(f"Unknown scorer: {name!r}; expected one of {sorted(SCORERS)}")
+    return SCORERS[name]
 
 
-def weighted_ratio_sql(a: str, b: str) -> str:
-    """SQL: F4 approximation of the library's default scorer on processed text.
+def matches(name: str, query: str, texts: Texts, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and scores of the texts that score at least ``threshold``.
 
-    base = ratio; when the lengths differ by a factor >= 1.5 the window ratio
-    (x0.9, or x0.6 beyond a factor 8) and the window ratio of the sorted
-    tokens (x0.95 x that scale) compete; otherwise the sorted-token ratio
-    (x0.95).  The best is rounded half to even.
-    """
-    la, lb = f"length({a})", f"length({b})"
-    lr = f"(CAST(greatest({la}, {lb}) AS DOUBLE) / CAST(least({la}, {lb}) AS DOUBLE))"
-    scale = f"IF({lr} > 8, 0.6D, 0.9D)"
-    ta, tb = token_sort_sql(a), token_sort_sql(b)
-    partial = (f"greatest(CAST({ratio_sql(a, b)} AS DOUBLE), {partial_ratio_sql(a, b)} * {scale}, "
-               f"{partial_ratio_sql(ta, tb)} * 0.95D * {scale})")
-    full = f"greatest(CAST({ratio_sql(a, b)} AS DOUBLE), {ratio_sql(ta, tb)} * 0.95D)"
-    return (f"CASE WHEN {la} = 0 OR {lb} = 0 THEN 0 "
-            f"ELSE CAST(bround(IF({lr} < 1.5D, {full}, {partial}), 0) AS INT) END")
+    Exact: 100 * (characters in common) / (length of the shorter side, or half of
+    both for the ratio) bounds the score, and only texts whose bound reaches the
+    threshold are scored."""
+    score = scorer(name)
+    if threshold <= 0:
+        return np.arange(len(texts.length)), score(query, texts)
+    size = (len(query) + texts.length) / 2 if name == "ratio" else np.minimum(len(query), texts.length)
+    rows = np.flatnonzero((size > 0) & (100.0 * texts.in_common(query) + 0.5 * size >= threshold * size))
+    found = score(query, texts.take(rows))
+    keep = found >= threshold
+    return rows[keep], found[keep]
 
 
-SCORERS = {"ratio": ratio_sql, "partial_ratio": partial_ratio_sql, "weighted_ratio": weighted_ratio_sql}
+def _pairwise(name: str, a: Column | str, b: Column | str) -> Column:
+    fn = scorer(name)
 
+    @pandas_udf("int")
+    def scored(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in batches:
+            yield pd.Series([None if x is None or y is None else int(fn(x, Texts([y]))[0]) for x, y in zip(left, right)], dtype="Int64")
 
-def scorer_sql(name: str):
-    """Unknown scorer -> error at build time."""
-    if name not in SCORERS:
-        raise ValueError(f"Unknown scorer: {name!r}; expected one of {sorted(SCORERS)}")
-    return SCORERS[name]
+    return scored(a, b)
 
 
-def ratio(a: str, b: str) -> Column:
-    """Column of ``ratio_sql`` over two column names."""
-    return F.expr(ratio_sql(f"`{a}`", f"`{b}`"))
+def ratio(a: Column | str, b: Column | str) -> Column:
+    """F1a of two string columns."""
+    return _pairwise("ratio", a, b)
 
 
-def partial_ratio(a: str, b: str) -> Column:
-    return F.expr(partial_ratio_sql(f"`{a}`", f"`{b}`"))
+def partial_ratio(a: Column | str, b: Column | str) -> Column:
+    """F1b of two string columns."""
+    return _pairwise("partial_ratio", a, b)
 
 
 def normalise(c: Column | str) -> Column:
@@ -123,5 +208,3 @@ def normalise(c: Column | str) -> Column:
     spaces, lower case, trimmed."""
     col = c if isinstance(c, Column) else F.col(c)
     return F.trim(F.regexp_replace(F.lower(col), r"(?U)[^\w]+", " "))
-
-

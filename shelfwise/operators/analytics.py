@@ -30,8 +30,6 @@ GENRES_PER_BOOK = 5
 SHELVES_SHOWN = 3
 HIST_BINS = 50
 SCORE_BINS = 20
-# Columns of the side-by-side comparison (one per configuration).
-MAX_CONFIGS = 64
 
 
 def half_up(c: str, digits: int = 6) -> F.Column:
@@ -158,12 +156,6 @@ def consolidate_editions(interactions: DataFrame, titles: DataFrame) -> DataFram
 
 # --------------------------------------------------------------------------- lists
 
-def attach_metadata(recs: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Recommendations with their metadata columns (left join)."""
-    cols = ["average_rating", "publication_year", "ratings_count", "num_pages", "authors", "shelves", "title"]
-    return recs.join(metadata.select(ITEM, *cols), ITEM, "left")
-
-
 def apply_filters(recs: DataFrame, metadata: DataFrame, min_rating: float | None = None,
                   min_year: int | None = None, max_year: int | None = None) -> DataFrame:
     """A missing or zero value passes; a threshold of 0/None is no
@@ -260,6 +252,30 @@ def list_metrics(recs: DataFrame, metadata: DataFrame, popularity: DataFrame, ca
     return out.select(*cols)
 
 
+def filter_stats(kept: DataFrame, recs: DataFrame, requested: int) -> DataFrame:
+    """A24 per list of ``recs``: the share in percent of ``requested`` that the
+    filters kept, and the mean match of the kept in percent (0 without any)."""
+    per = ["recommender", "query_id"]
+    stats = kept.groupBy(*per).agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean"))
+    return recs.select(*per).distinct().join(stats, per, "left").select(
+        *per, F.round(F.coalesce("n", F.lit(0)) * 100.0 / requested, 6).alias("pass_rate_pct"),
+        F.round(F.coalesce("mean", F.lit(0.0)) * 100, 4).alias("mean_match_pct"))
+
+
+def sweep_pivot(per_list: DataFrame, metrics: Sequence[str], configs: Sequence[str]) -> DataFrame:
+    """One row per query and metric, one column per configuration."""
+    stack = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics]))
+    tidy = per_list.select("recommender", "query_id", stack.alias("s")).select("recommender", "query_id", "s.metric", "s.value")
+    return tidy.groupBy("query_id", "metric").pivot("recommender", list(configs)).agg(F.first("value"))
+
+
+def titles_with_features(titles: DataFrame, simple: DataFrame) -> DataFrame:
+    """Every title with its numeric columns, null where it has none."""
+    named = titles.withColumn("_id", F.col("book_id").try_cast("bigint"))
+    features = simple.withColumnRenamed("book_id", "_book").where(F.col("_book").isNotNull())
+    return named.join(features, F.col("_id") == F.col("_book"), "left").drop("_id", "_book")
+
+
 def sweep_summary(per_list: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Mean of each metric per configuration (rounded to 3), the
     best configuration per metric, and the best overall by the mean of the
@@ -275,18 +291,14 @@ def sweep_summary(per_list: DataFrame, metrics: Sequence[str]) -> DataFrame:
         F.min_by("recommender", F.struct(-F.col("value"), F.col("recommender"))).alias("best_recommender"))
 
 
-def comparison_table(recs: DataFrame, titles: DataFrame, metadata: DataFrame, n_show: int = 5) -> DataFrame:
+def comparison_table(recs: DataFrame, titles: DataFrame, metadata: DataFrame, configs: Sequence[str], n_show: int = 5) -> DataFrame:
     """For each query, the first ``n_show`` titles (with their first
     three shelves) of every configuration side by side: one row per rank,
-    one column per configuration."""
+    one column per configuration of ``configs``."""
     m = metadata.select(ITEM, F.array_join(F.slice(split_list("shelves"), 1, SHELVES_SHOWN), ", ").alias("top_shelves"))
     t = recs.where(F.col("rank") <= n_show).join(titles, ITEM, "left").join(m, ITEM, "left")
     cell = F.concat(F.coalesce(F.col("title"), F.concat(F.lit("Book ID: "), F.col(ITEM).cast("string"))),
                     F.when(F.col("top_shelves") != "", F.concat(F.lit(" ["), F.col("top_shelves"), F.lit("]")))
                     .otherwise(F.lit("")))
-    configs = [r["recommender"] for r in
-               recs.select("recommender").distinct().orderBy("recommender").limit(MAX_CONFIGS + 1).collect()]
-    if len(configs) > MAX_CONFIGS:
-        raise ValueError(f"comparison table supports at most {MAX_CONFIGS} configurations")
     return t.select("query_id", "rank", "recommender", cell.alias("cell")).groupBy("query_id", "rank") \
-        .pivot("recommender", configs).agg(F.first("cell"))
+        .pivot("recommender", list(configs)).agg(F.first("cell"))

@@ -13,15 +13,13 @@ per-query table starts from the holdouts, not from the recs (section 2.12).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-import numpy as np
-import pandas as pd
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.operators.ordering import top_n
+from shelfwise.session import cut_lineage
 
 USER, ITEM, RATING = "user_id", "item_id", "rating"
 METRICS = ["precision", "recall", "ndcg", "map", "hit_rate"]
@@ -103,46 +101,38 @@ def per_query_metrics(recs: DataFrame, holdouts: DataFrame, positives: DataFrame
     )
 
 
-def coverage(recs: DataFrame, catalog_size: F.Column | int, max_k: int) -> DataFrame:
-    """Distinct recommended items over the catalog size, per recommender."""
+def coverage(recs: DataFrame, catalog_size: F.Column | int, max_k: int, recommenders: Sequence[str]) -> DataFrame:
+    """Distinct recommended items over the catalog size, for every
+    recommender; one without any list covers 0."""
     size = F.lit(catalog_size) if isinstance(catalog_size, int) else catalog_size
-    return (recs.where(F.col("rank") <= max_k).groupBy("recommender")
-            .agg(F.countDistinct(ITEM).alias("n_distinct"))
-            .select("recommender", F.when(size > 0, F.col("n_distinct") / size).otherwise(0.0).alias("catalog_coverage")))
+    seen = recs.where(F.col("rank") <= max_k).groupBy("recommender").agg(F.countDistinct(ITEM).alias("n_distinct"))
+    base = recs.sparkSession.createDataFrame([(r,) for r in recommenders], "recommender string")
+    return base.join(seen, "recommender", "left").select("recommender", F.when(
+        size > 0, F.coalesce("n_distinct", F.lit(0)) / size).otherwise(0.0).alias("catalog_coverage"))
 
 
 def list_diversity(recs: DataFrame, features: DataFrame, max_k: int) -> DataFrame:
     """Mean pairwise cosine distance inside each list.
 
-    Items with an empty vector are skipped; each distance is clipped to
-    [0, 1]; a list with fewer than two valid items has no pairs and scores 0
-    downstream (Q33).  Each list is one group of at most ``max_k`` items: its
-    vectors (blocks scaled by 1/sqrt(blocks), Q21) form a small dense matrix
-    whose Gram matrix gives every pairwise cosine at once -- no pair table is
-    materialised, and memory per group is bounded by K x features per item.
+    Items with an empty vector are left out; a distance is held to [0, 1]; a list
+    with fewer than two valid items has no pairs and scores 0 downstream (Q33).
+    The entries of a list meet on (list, feature); the products of two items'
+    entries add up to their cosine, and pairs that share no feature have distance
+    1, so only the number of all pairs is needed for them.
     """
-    nb = features.groupBy(ITEM).agg(F.countDistinct("block").alias("nb"))
-    items = recs.where(F.col("rank") <= max_k).select("recommender", USER, ITEM).join(nb, ITEM)
-    rows = items.join(features.select(ITEM, F.concat_ws("\u0001", "block", "feature").alias("key"), "value"), ITEM)
-
-    def gram(pdf: pd.DataFrame) -> pd.DataFrame:
-        codes, uniq = pd.factorize(pdf[ITEM])
-        if len(uniq) < 2:
-            return pd.DataFrame({"recommender": pd.Series([], dtype=object), USER: pd.Series([], dtype="int64"),
-                                 "diversity": pd.Series([], dtype="float64")})
-        kcodes, _ = pd.factorize(pdf["key"])
-        m = np.zeros((len(uniq), int(kcodes.max()) + 1))
-        np.add.at(m, (codes, kcodes), pdf["value"].to_numpy(dtype=np.float64))
-        nbv = pdf.groupby(codes)["nb"].first().to_numpy(dtype=np.float64)
-        m /= np.sqrt(nbv)[:, None]
-        g = m @ m.T
-        iu = np.triu_indices(len(uniq), k=1)
-        d = np.clip(1.0 - g[iu], 0.0, 1.0)
-        return pd.DataFrame({"recommender": [pdf["recommender"].iloc[0]], USER: [int(pdf[USER].iloc[0])],
-                             "diversity": [float(d.mean())]})
-
-    return rows.groupBy("recommender", USER).applyInPandas(
-        gram, "recommender string, user_id bigint, diversity double")
+    per_list = ["recommender", USER]
+    blocks = features.groupBy(ITEM).agg(F.countDistinct("block").alias("blocks"))
+    items = recs.where(F.col("rank") <= max_k).select(*per_list, ITEM).distinct().join(blocks, ITEM)
+    entries = items.join(features.select(ITEM, "block", "feature", "value"), ITEM).select(
+        *per_list, ITEM, "block", "feature", (F.col("value") / F.sqrt("blocks")).alias("value"))
+    key = [*per_list, "block", "feature"]
+    met = entries.join(entries.select(*key, F.col(ITEM).alias("other"), F.col("value").alias("other_value")), key)
+    cosine = met.where(F.col(ITEM) < F.col("other")).groupBy(*per_list, ITEM, "other").agg(
+        F.sum(F.col("value") * F.col("other_value")).alias("cosine"))
+    near = cosine.groupBy(*per_list).agg(F.sum(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("cosine")))).alias("near"))
+    pairs = items.groupBy(*per_list).agg((F.count(F.lit(1)) * (F.count(F.lit(1)) - 1) / 2).alias("pairs")).where("pairs > 0")
+    return pairs.join(near, per_list, "left").select(
+        *per_list, (1.0 - F.coalesce("near", F.lit(0.0)) / F.col("pairs")).alias("diversity"))
 
 
 def evaluate(recs: DataFrame, holdouts: DataFrame, positives: DataFrame, recommenders: Sequence[str],
@@ -153,6 +143,10 @@ def evaluate(recs: DataFrame, holdouts: DataFrame, positives: DataFrame, recomme
     mean positives and sample count are computed once at max K and stored
     with ``k = max K`` (Q32).
     """
+    if not recommenders:
+        raise ValueError("no recommenders to evaluate")
+    if holdouts.isEmpty():
+        raise ValueError("no holdout samples: nothing to evaluate")
     max_k = max(k_values)
     pq = per_query_metrics(recs, holdouts, positives, recommenders, k_values)
     means = pq.groupBy("recommender", "k").agg(*[F.avg(m).alias(m) for m in METRICS])
@@ -162,7 +156,7 @@ def evaluate(recs: DataFrame, holdouts: DataFrame, positives: DataFrame, recomme
 
     n_catalog = catalog.select(ITEM).distinct().select(F.count(F.lit(1)).cast("double")).scalar()
     base = holdouts.select(USER, "n_positives", F.explode(F.array(*[F.lit(r) for r in recommenders])).alias("recommender"))
-    once = [coverage(recs, n_catalog, max_k).select("recommender", F.lit("catalog_coverage").alias("metric"),
+    once = [coverage(recs, n_catalog, max_k, recommenders).select("recommender", F.lit("catalog_coverage").alias("metric"),
                                                     F.col("catalog_coverage").alias("value"))]
     if features is not None:
         div = list_diversity(recs, features, max_k)
@@ -179,6 +173,20 @@ def evaluate(recs: DataFrame, holdouts: DataFrame, positives: DataFrame, recomme
     return out.select("recommender", "k", "metric", F.round("value", 6).alias("value"))
 
 
+def evaluate_recommenders(recommenders: Mapping[str, Callable[[DataFrame, int], DataFrame]], holdouts: DataFrame,
+                          positives: DataFrame, k_values: Sequence[int], catalog: DataFrame,
+                          features: DataFrame | None = None) -> DataFrame:
+    """The report on any recommenders: a name and a function from (queries
+    (user_id, seed_item), k) to lists (user_id, rank, item_id)."""
+    if not recommenders:
+        raise ValueError("no recommenders to evaluate")
+    queries, lists = holdouts.select(USER, "seed_item"), None
+    for name, recommend in recommenders.items():
+        own = recommend(queries, max(k_values)).select(F.lit(name).alias("recommender"), USER, "rank", ITEM)
+        lists = own if lists is None else lists.unionByName(own)
+    return evaluate(cut_lineage(lists), holdouts, positives, list(recommenders), k_values, catalog, features)
+
+
 def metrics_by_k(tidy: DataFrame) -> DataFrame:
     """One row per (recommender, k), one column per metric."""
     names = METRICS + ["catalog_coverage", "intra_list_diversity"]

@@ -44,7 +44,7 @@ def shelf_vocabulary(metadata: DataFrame, catalog: DataFrame, max_terms: int = M
     """
     docs = _docs(metadata, catalog)
     n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
-    text = F.lower(F.regexp_replace(F.coalesce(F.col("shelves"), F.lit("")), ",", " "))
+    text = F.lower(F.replace(F.coalesce(F.col("shelves"), F.lit("")), F.lit(","), F.lit(" ")))
     tokens = docs.select(ITEM, F.explode(F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)).alias("term"))
     tf = tokens.groupBy(ITEM, "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
     stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
@@ -144,12 +144,6 @@ def feature_stats(features: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
-def block_counts(features: DataFrame) -> DataFrame:
-    """(item_id, n_blocks): number of non-empty blocks, the squared norm of
-    the concatenated vector."""
-    return features.groupBy(ITEM).agg(F.countDistinct("block").alias("n_blocks"))
-
-
 def catalog_alignment(catalog: DataFrame, features: DataFrame, metadata: DataFrame) -> DataFrame:
     """How much of the collaborative catalog has content features and
     metadata (the hybrid's index-mapping and metadata coverage)."""

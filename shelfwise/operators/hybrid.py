@@ -19,7 +19,8 @@ ITEM = "item_id"
 
 
 def weight_name(w_collab: float, w_content: float) -> str:
-    return f"hybrid_{w_collab:.1f}_{w_content:.1f}"
+    """A label that tells any two different weight pairs apart."""
+    return f"hybrid_{float(w_collab)}_{float(w_content)}"
 
 
 def parse_weights(spec: str) -> tuple[float, float]:
@@ -46,13 +47,11 @@ def hybrid(collab: DataFrame, content: DataFrame, weights: Sequence[tuple[float,
             F.col(exclude_col).isNull() | (F.col(ITEM) != F.col(exclude_col))).drop(exclude_col)
     grid = F.explode(F.array(*[
         F.struct(F.lit(weight_name(wc, wt)).alias("recommender"), F.lit(float(wc)).alias("wc"), F.lit(float(wt)).alias("wt"))
-        for wc, wt in weights])).alias("g")
+        for wc, wt in dict.fromkeys(weights)])).alias("g")
     cs = F.coalesce(F.col("collab_score"), F.lit(0.0))
     ts = F.coalesce(F.col("content_score"), F.lit(0.0))
     scored = merged.select("*", grid).select(
         F.col("g.recommender").alias("recommender"), query_col, ITEM,
-        # A weighted sum of already-rounded similarities: left unrounded, since
-        # 0.3 x (6 decimals) often ends in an exact half that engines round differently.
         (F.col("g.wc") * cs + F.col("g.wt") * ts).alias("score"),
         cs.alias("collab_score"), ts.alias("content_score"))
     w = Window.partitionBy("recommender", query_col).orderBy(F.col("score").desc(), F.col(ITEM).asc())

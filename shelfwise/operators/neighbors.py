@@ -28,15 +28,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.common import bounded_broadcast, score
+from shelfwise.functions.common import score
 from shelfwise.session import cut_lineage
 
 USER, ITEM, RATING = "user_id", "item_id", "rating"
 
 # Items of one user handled by a single join task (see 4. above).
 DEFAULT_BLOCK_ITEMS = 1024
-# Largest seed set joined by broadcast; larger ones use a shuffled semi join.
-MAX_BROADCAST_SEEDS = 200_000
 
 
 def unit_ratings(cells: DataFrame) -> DataFrame:
@@ -80,18 +78,18 @@ def pair_dots(unit: DataFrame, block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFr
 def seed_dots(unit: DataFrame, seed_items: DataFrame, block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFrame:
     """(i, j, dot) for seed items i against every co-rated item j != i."""
     blocked = _with_blocks(unit, block_items)
-    # Seed batches are bounded by the caller's parameters (e.g. users sampled
-    # for evaluation); broadcast them only when the count check proves it.
-    seeds = bounded_broadcast(seed_items.select(ITEM).distinct(), MAX_BROADCAST_SEEDS)
+    # A small seed set is broadcast by the planner from its measured size, a large one shuffled.
+    seeds = seed_items.select(ITEM).distinct()
     left = (blocked.join(seeds, ITEM, "left_semi")
-            .select(USER, F.col(ITEM).alias("i"), F.col("w").alias("wi"), _fan_out().alias("br")))
-    right = blocked.select(USER, F.col(ITEM).alias("j"), F.col("w").alias("wj"), _block_of(ITEM).alias("br"))
-    pairs = left.join(right, [USER, "br"]).where(F.col("i") != F.col("j"))
+            .select(USER, F.col(ITEM).alias("i"), F.col("w").alias("wi"), _block_of(ITEM).alias("bl"), _fan_out().alias("br")))
+    right = blocked.select(USER, F.col(ITEM).alias("j"), F.col("w").alias("wj"), _block_of(ITEM).alias("br"),
+                           _fan_out().alias("bl"))
+    pairs = left.join(right, [USER, "bl", "br"]).where(F.col("i") != F.col("j"))
     return pairs.groupBy("i", "j").agg(F.sum(F.col("wi") * F.col("wj")).alias("dot"))
 
 
 def top_k_lists(scored: DataFrame, k: int) -> DataFrame:
-    """Per item, the ``k`` best neighbours by rounded similarity, then id."""
+    """Per item, the ``k`` best neighbours by similarity, then id."""
     w = Window.partitionBy(ITEM).orderBy(F.col("similarity").desc(), F.col("neighbor_id").asc())
     return (scored.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
@@ -159,16 +157,19 @@ def item_neighbors(cells: DataFrame, k: int = 10, seeds: DataFrame | None = None
     return pad_lists(lists, cells.select(ITEM).distinct(), query_items, k)
 
 
-def content_neighbors(features: DataFrame, catalog: DataFrame, seeds: DataFrame, k: int = 20,
-                      max_seeds: int | None = None) -> DataFrame:
+def content_neighbors(features: DataFrame, catalog: DataFrame, seeds: DataFrame, k: int = 20) -> DataFrame:
     """Top-``k`` content neighbours of the seed items by the block
     cosine of Q21 (each item's vector scaled by 1/sqrt(non-empty blocks)).
 
     ``features``: long form of ``features.content_features``; ``catalog``:
-    every item that may be recommended (items without features score 0).
+    every item that may be recommended (items without features score 0).  A
+    seed outside the catalog has no list (Q27).
     """
-    from shelfwise.operators.vector_knn import DEFAULT_MAX_SEEDS, sparse_cosine_topk
+    from shelfwise.operators.vector_knn import sparse_cosine_topk
 
     entries = features.select(ITEM, F.concat_ws("\u0001", "block", "feature").alias("key"), "value")
     scale = features.groupBy(ITEM).agg((F.lit(1.0) / F.sqrt(F.countDistinct("block"))).alias("scale"))
-    return sparse_cosine_topk(entries, scale, catalog, seeds, k, max_seeds or DEFAULT_MAX_SEEDS)
+    listed = catalog.select(F.col(ITEM).alias("_listed"))
+    known = seeds.select(F.col(ITEM).alias("_seed")).join(listed, F.col("_seed") == F.col("_listed"), "left_semi")
+    known = known.select(F.col("_seed").alias(ITEM))
+    return sparse_cosine_topk(entries, scale, catalog, known, k)

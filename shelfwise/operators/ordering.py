@@ -10,16 +10,14 @@ partition from its offset.
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfwise.session import cut_lineage
 
-# Below this many rows a top-N is left to Spark's TakeOrderedAndProject, whose
-# final merge holds at most partitions x n rows.
-TAKE_ORDERED_MAX = 100_000
+# Up to this many rows a top-N is a report and is left to Spark's
+# TakeOrderedAndProject, whose final merge holds at most partitions x n rows.
+TAKE_ORDERED_MAX = 1_000
 
 
 def global_index(df: DataFrame, order_cols: list[Column], name: str = "idx", partitions: int | None = None) -> DataFrame:
@@ -31,35 +29,14 @@ def global_index(df: DataFrame, order_cols: list[Column], name: str = "idx", par
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     ranged = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id()))
-    counts = {r["_pid"]: r["n"] for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, running = {}, 0
-    for pid in sorted(counts):
-        offsets[pid] = running
-        running += counts[pid]
-
-    out_schema = T.StructType(ranged.schema.fields + [T.StructField(name, T.LongType(), False)])
-
-    def number(batches):
-        # A range partition arrives as consecutive batches in sorted order;
-        # the position restarts at the partition's offset whenever _pid changes.
-        seen, current = 0, None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            pids = pdf["_pid"].to_numpy()
-            pos = np.empty(len(pdf), dtype=np.int64)
-            cuts = [0, *(np.flatnonzero(np.diff(pids)) + 1).tolist(), len(pdf)]
-            for start, stop in zip(cuts[:-1], cuts[1:]):
-                pid = int(pids[start])
-                if pid != current:
-                    current, seen = pid, 0
-                base = offsets[pid] + seen
-                pos[start:stop] = np.arange(base, base + (stop - start), dtype=np.int64)
-                seen += stop - start
-            pdf[name] = pos
-            yield pdf
-
-    return ranged.mapInPandas(number, out_schema).drop("_pid")
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"))
+    # one row per partition; the offsets join back on the partition
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_pid"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
+    # rows of a written partition stay in order: their increasing id less the partition's start is their place
+    placed = ranged.withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    return placed.join(F.broadcast(offsets), "_pid").select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_place") + F.col("_offset")).cast("bigint").alias(name))
 
 
 def top_n(df: DataFrame, n: int, order_cols: list[Column]) -> DataFrame:

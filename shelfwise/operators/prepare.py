@@ -1,7 +1,8 @@
 """Interaction preparation: activity filter, top-N cuts, rating cells.
 
 All functions take and return long tables; the books x users matrix is never
-densified except by ``dense_pivot`` behind a column cap.
+densified: the wide table is its long form, ``rating_cells`` with the "first"
+policy, in which a missing cell means 0.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.ordering import global_index, top_n
+from shelfwise.session import cut_lineage
 
 USER, ITEM, RATING = "user_id", "item_id", "rating"
 
@@ -64,7 +66,7 @@ def prepare(interactions: DataFrame, min_reads: int = 10, n_items: int = 50_000,
     frame, then both applied as semi joins.
     """
     src = sample_fraction(interactions, sample, seed, key_cols=[USER, ITEM]) if sample < 1.0 else interactions
-    filtered = active_filter(src, min_reads)
+    filtered = cut_lineage(active_filter(src, min_reads))  # read four times below
     users = top_users(filtered, n_users).select(USER)
     items = top_items(filtered, n_items).select(ITEM)
     return filtered.join(users, USER, "left_semi").join(items, ITEM, "left_semi")
@@ -119,16 +121,3 @@ def matrix_stats(cells: DataFrame) -> DataFrame:
         (cellsz * 8).cast("bigint").alias("dense_bytes"),
         (F.col("nnz") * 12 + (F.col("n_items") + 1) * 4).cast("bigint").alias("sparse_bytes"),
     )
-
-
-def dense_pivot(cells: DataFrame, max_columns: int = 2000) -> DataFrame:
-    """A3/Q8: books x users wide table (first value, missing -> 0).
-
-    Refuses above ``max_columns`` users: a wide row must fit one record.
-    """
-    users = cells.select(USER).distinct()
-    n = users.limit(max_columns + 1).count()
-    if n > max_columns:
-        raise ValueError(f"dense pivot needs <= {max_columns} users, found more")
-    values = sorted(r[USER] for r in users.collect())
-    return cells.groupBy(ITEM).pivot(USER, values).agg(F.first(RATING)).fillna(0)

@@ -1,78 +1,63 @@
-"""Batch fuzzy title search and recommend-by-title.
-
-A search compares every query of a batch with every distinct title, so the
-batch is bounded (``max_queries``; larger query sets run as several
-batches).  The batch is inlined into the plan as a literal array and each
-title row scores all of its queries with native string expressions
-(``functions.text``) -- Spark scans the titles in parallel and no join of
-queries with titles is planned.  Matches at or above the threshold are then
-ranked per query (score desc, item id asc) and cut to ``max_results``.
+"""Fuzzy title search and title lookups.
+
+A search scores every query against every distinct title; no key prunes that
+exactly.  It runs as blocks of queries against blocks of titles
+(``operators.blocks``): a task scores one block pair with the vectorised scorers
+of ``functions.text``, after an exact upper bound has dropped most pairs, and
+returns only the matches at or above the threshold.  Matches are then ranked per
+query (score desc, item id asc) and cut to ``max_results``.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import normalise, scorer_sql
+from shelfwise.functions import text
+from shelfwise.operators.blocks import query_blocks
 
 ITEM = "item_id"
-DEFAULT_MAX_QUERIES = 1024
-
-
 def title_index(titles: DataFrame) -> DataFrame:
     """Q28: one id per distinct title (duplicate titles: the largest id wins)."""
     return titles.groupBy("title").agg(F.max(ITEM).alias(ITEM))
 
 
-def _batches(queries: DataFrame, max_queries: int) -> list[list[tuple[int, str]]]:
-    rows = queries.select("query_id", "q").orderBy("query_id")
-    first = rows.limit(max_queries + 1).collect()
-    if len(first) <= max_queries:
-        return [[(r["query_id"], r["q"]) for r in first]]
-    n_batches = -(-rows.count() // max_queries)
-    out = []
-    for b in range(n_batches):
-        part = rows.where(F.pmod(F.col("query_id"), F.lit(n_batches)) == b)
-        out.append([(r["query_id"], r["q"]) for r in part.collect()])
-    return out
-
-
 def search_titles(titles: DataFrame, queries: DataFrame, threshold: int = 60, max_results: int | None = None,
-                  scorer: str = "partial_ratio", max_queries: int = DEFAULT_MAX_QUERIES,
-                  process: bool = False, limit_first: bool = False) -> DataFrame:
+                  scorer: str = "partial_ratio", process: bool = False) -> DataFrame:
     """F1: ``(query_id, rank, title, item_id, score)`` of every match >= ``threshold``.
 
     ``titles``: (item_id, title); ``queries``: (query_id, query).  Both sides
     are lower-cased (Q29); with ``process`` they are normalised as the search
-    library's default processor does (F4).  ``limit_first`` cuts to
-    ``max_results`` before applying the threshold (F4's order).
+    library's default processor does (F4).  Cutting to ``max_results`` before the
+    threshold (F4's order) or after it gives the same rows, as both go by score.
     """
-    fn = scorer_sql(scorer)  # raises for an unknown scorer (F1c)
-    prep = normalise if process else F.lower
-    q = queries.select("query_id", prep(F.col("query")).alias("q"))
-    idx = title_index(titles).select("title", ITEM, prep(F.col("title")).alias("tl"))
-    out = None
-    for batch in _batches(q, max_queries):
-        if not batch:
-            continue
-        qs = F.array(*[F.struct(F.lit(qid).cast("bigint").alias("qid"), F.lit(text).alias("q")) for qid, text in batch])
-        scored = idx.withColumn("_qs", qs).select(
-            "title", ITEM,
-            F.explode(F.expr(f"transform(_qs, qq -> named_struct('query_id', qq.qid, 'score', {fn('qq.q', 'tl')}))"))
-            .alias("m"))
-        part = scored.select(F.col("m.query_id").alias("query_id"), "title", ITEM, F.col("m.score").alias("score"))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return titles.sparkSession.createDataFrame([], "query_id bigint, rank bigint, title string, item_id bigint, score int")
-    if not limit_first:
-        out = out.where(F.col("score") >= threshold)
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(ITEM).asc())
-    ranked = out.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    text.scorer(scorer)  # raises for an unknown scorer (F1c)
+    prep = text.normalise if process else F.lower
+    q = queries.select("query_id", prep(F.col("query")).alias("q")).where("q is not null")
+    idx = title_index(titles).select("title", ITEM, prep(F.col("title")).alias("t")).where("t is not null")
+
+    def matched(qs: pd.DataFrame, ts: pd.DataFrame) -> pd.DataFrame:
+        texts = text.Texts(ts["t"].tolist())
+        parts = []
+        for query_id, query in zip(qs["query_id"], qs["q"]):
+            rows, scores = text.matches(scorer, query, texts, threshold)
+            parts.append(pd.DataFrame({"query_id": query_id, "title": ts["title"].to_numpy()[rows],
+                                       ITEM: ts[ITEM].to_numpy()[rows], "score": scores}))
+        return pd.concat(parts)
+
+    out = query_blocks(q, "query_id", idx, ITEM, matched, f"query_id bigint, title string, {ITEM} bigint, score int")
     if max_results is not None:
-        ranked = ranked.where(F.col("rank") <= max_results)
-    if limit_first:
-        ranked = ranked.where(F.col("score") >= threshold)
+        w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(ITEM).asc())
+        ranked = out.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= max_results)
+    else:
+        # all matches of a query are ranked without one task holding them: by score, then within a score
+        same = Window.partitionBy("query_id", "score").orderBy(ITEM)
+        above = Window.partitionBy("query_id").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        counts = out.groupBy("query_id", "score").agg(F.count(F.lit(1)).alias("n"))
+        counts = counts.select("query_id", "score", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("above"))
+        ranked = out.withColumn("in_score", F.row_number().over(same)).join(counts, ["query_id", "score"])
+        ranked = ranked.withColumn("rank", (F.col("above") + F.col("in_score")).cast("bigint"))
     return ranked.select("query_id", "rank", "title", ITEM, "score")
 
 
@@ -82,8 +67,8 @@ def best_match(titles: DataFrame, queries: DataFrame, threshold: int = 60, score
 
 
 def smart_search(titles: DataFrame, queries: DataFrame, threshold: int = 70, max_results: int = 10) -> DataFrame:
-    """processed text, weighted scorer, limit first and threshold after."""
-    return search_titles(titles, queries, threshold, max_results, "weighted_ratio", process=True, limit_first=True)
+    """processed text and the weighted scorer."""
+    return search_titles(titles, queries, threshold, max_results, "weighted_ratio", process=True)
 
 
 def sorted_titles(titles: DataFrame) -> DataFrame:
@@ -92,15 +77,13 @@ def sorted_titles(titles: DataFrame) -> DataFrame:
 
 
 def titles_with_fallback(items: DataFrame, titles: DataFrame, id_map: DataFrame | None = None) -> DataFrame:
-    """(item_id, title) for ``items``, through the optional id map;
-    a missing title becomes ``Book ID: <id>``."""
-    t = title_index(titles)
+    """(item_id, title) for ``items``, by id, through the optional id map
+    (title ids -> item ids); a missing title becomes ``Book ID: <id>``.  Ids that
+    share a title each keep it."""
+    t = titles
     if id_map is not None:
-        t = t.join(id_map.select(F.col("book_id").alias(ITEM), "book_id_csv"), ITEM).select(
-            "title", F.col("book_id_csv").alias(ITEM))
-        t = t.groupBy(ITEM).agg(F.max("title").alias("title"))
-    else:
-        t = t.groupBy(ITEM).agg(F.max("title").alias("title"))
+        t = t.withColumnRenamed(ITEM, "book_id").join(id_map, "book_id").select("title", F.col("book_id_csv").alias(ITEM))
+    t = t.groupBy(ITEM).agg(F.max("title").alias("title"))
     return items.join(t, ITEM, "left").withColumn(
         "title", F.coalesce(F.col("title"), F.concat(F.lit("Book ID: "), F.col(ITEM).cast("string"))))
 

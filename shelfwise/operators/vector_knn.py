@@ -1,24 +1,15 @@
-"""Exact cosine top-K of a bounded seed batch against a whole catalog.
-
-Content vectors have a dense part (the numeric block is non-zero for almost
-every item), so every seed must be compared with every catalog item; a join on
-shared features cannot prune that.  The batch of seeds is therefore small and
-checked (``max_seeds``); larger seed sets run as several batches.
-
-Per batch:
-
-1. the seeds' rows are gathered (bounded: seeds x features per item) and
-   turned into a matrix ``S`` over the *seed* feature dictionary -- catalog
-   features outside it add nothing to any dot product;
-2. Spark partitions the catalog; each task receives Arrow batches of items
-   with their sparse rows restricted to that dictionary, forms the scores
-   ``X @ S.T`` with numpy in sub-batches, scales them by the item norms,
-   rounds, and keeps a running top-``k`` per seed (score desc, id asc);
-3. each task emits at most ``k`` rows per seed; a final ``row_number`` per
-   seed (partial + final ``WindowGroupLimit``) picks the global top-``k``.
-
-Every catalog item is scored, so items with similarity 0 fill short lists in
-id order and negative similarities rank after them, as a brute-force KNN does.
+"""Exact cosine top-K of a set of seeds against a whole catalog.
+
+Content vectors have a dense part (the numeric block is non-zero for almost every
+item), so every seed is compared with every catalog item; a join on shared
+features cannot prune that.  The work is dealt out as blocks of seeds against
+blocks of the catalog (``operators.blocks``): a task turns its seeds into a matrix
+over their features, forms the scores of its items in bounded sub-blocks, and
+returns the top ``k`` of each seed within the block; a ``row_number`` per seed
+picks the global ones.  Nothing passes the driver, and neither side is bounded.
+
+Every catalog item is scored, so items with similarity 0 fill short lists in id
+order and negative similarities rank after them, as a brute-force KNN does.
 """
 
 from __future__ import annotations
@@ -27,154 +18,77 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from shelfwise.functions.common import SCORE_DIGITS
+from shelfwise.functions.common import RANK_DIGITS
+from shelfwise.operators.blocks import query_blocks
 
 ITEM = "item_id"
-DEFAULT_MAX_SEEDS = 4096
-# Doubles per dense scoring block (rows x seed-dictionary size), ~32 MB.
+SEED_BLOCK = 256
+CATALOG_BLOCK = 8192
+# Doubles of a dense sub-block (items x features of the seed block), ~32 MB.
 DENSE_CELLS = 4_000_000
-# Budget of the broadcast seed matrix (dictionary x seeds), ~256 MB, and of
-# the seed vector entries gathered to build it.
-MAX_SEED_CELLS = 32_000_000
-MAX_SEED_ROWS = 5_000_000
 
-OUT_SCHEMA = T.StructType([
-    T.StructField("seed_id", T.LongType(), False),
-    T.StructField("neighbor_id", T.LongType(), False),
-    T.StructField("similarity", T.DoubleType(), False),
-])
 
-
-def _kernel(seed_ids: np.ndarray, seed_bc, dims: int, k: int):
-    """mapInPandas body: rows (item_id, cols array<int>, vals array<double>, scale double).
-
-    ``seed_bc`` is a broadcast variable holding the (dims x seeds) matrix, read
-    once per Python worker.  Each sub-batch of items becomes a dense block over
-    the seed dictionary (at most ``DENSE_CELLS`` doubles) and is scored by one
-    matrix product.
-    """
-    n_seeds = len(seed_ids)
-    rows_per_block = int(max(64, min(8192, DENSE_CELLS // max(dims, 1))))
-
-    def run(batches):
-        seed_t = seed_bc.value
-        best_sc = np.empty((0, n_seeds))
-        best_id = np.empty((0, n_seeds), dtype=np.int64)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            for lo in range(0, len(pdf), rows_per_block):
-                part = pdf.iloc[lo:lo + rows_per_block]
-                ids = part[ITEM].to_numpy(dtype=np.int64)
-                cols_list = part["cols"].to_list()
-                lens = np.fromiter((len(c) for c in cols_list), dtype=np.int64, count=len(part))
-                block = np.zeros((len(part), dims))
-                if lens.sum():
-                    r_idx = np.repeat(np.arange(len(part)), lens)
-                    c_idx = np.concatenate([np.asarray(c, dtype=np.int64) for c in cols_list if len(c)])
-                    v = np.concatenate([np.asarray(x, dtype=np.float64) for x in part["vals"].to_list() if len(x)])
-                    np.add.at(block, (r_idx, c_idx), v)
-                scores = block @ seed_t
-                scores *= part["scale"].to_numpy(dtype=np.float64)[:, None]
-                scores = np.round(scores, SCORE_DIGITS) + 0.0
-                scores[ids[:, None] == seed_ids[None, :]] = -np.inf  # never its own neighbour
-                if len(part) > k:
-                    # keep, per seed, the rows that can still enter the top-k:
-                    # score above the k-th largest, or equal to it (ties break on id)
-                    kth = -np.partition(-scores, k - 1, axis=0)[k - 1]
-                    cand = np.flatnonzero((scores >= kth[None, :]).any(axis=1))
-                    scores, ids = scores[cand], ids[cand]
-                all_sc = np.vstack([best_sc, scores])
-                all_id = np.vstack([best_id, np.broadcast_to(ids[:, None], scores.shape)])
-                order = np.lexsort((all_id, -all_sc), axis=0)[:k]
-                best_sc = np.take_along_axis(all_sc, order, axis=0)
-                best_id = np.take_along_axis(all_id, order, axis=0)
-        if len(best_sc):
-            keep = np.isfinite(best_sc)
-            seeds = np.broadcast_to(seed_ids[None, :], best_sc.shape)
-            yield pd.DataFrame({"seed_id": seeds[keep], "neighbor_id": best_id[keep], "similarity": best_sc[keep]})
-
-    return run
-
-
-def _top_k(cands: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("seed_id").orderBy(F.col("similarity").desc(), F.col("neighbor_id").asc())
-    return (cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(F.col("seed_id").alias(ITEM), "neighbor_id", F.col("rank").cast("bigint").alias("rank"),
-                    "similarity"))
-
-
-def sparse_cosine_topk(entries: DataFrame, scale: DataFrame, catalog: DataFrame, seeds: DataFrame, k: int,
-                       max_seeds: int = DEFAULT_MAX_SEEDS) -> DataFrame:
+def _entries(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, keys and values of the rows' (key, value) lists."""
+    sizes = rows["entries"].map(len).to_numpy()
+    flat = [e for cell in rows["entries"] for e in cell]
+    return (np.repeat(np.arange(len(rows)), sizes), np.array([e["key"] for e in flat], dtype=object),
+            np.array([e["value"] for e in flat], dtype=np.float64))
+
+
+def block_top_k(seeds: pd.DataFrame, items: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The ``k`` best items of the block for each seed of the block."""
+    seed_row, seed_key, seed_value = _entries(seeds)
+    column = {key: i for i, key in enumerate(dict.fromkeys(seed_key))}
+    matrix = np.zeros((len(column), len(seeds)))
+    np.add.at(matrix, ([column[x] for x in seed_key], seed_row), seed_value)
+    matrix *= seeds["scale"].to_numpy(dtype=np.float64)
+    items = items.sort_values(ITEM, ignore_index=True)
+    ids, seed_ids = items[ITEM].to_numpy(dtype=np.int64), seeds[ITEM].to_numpy(dtype=np.int64)
+    row, key, value = _entries(items)
+    known = np.fromiter((column.get(x, -1) for x in key), dtype=np.int64, count=len(key))
+    scores = np.zeros((len(items), len(seeds)))
+    step = max(1, DENSE_CELLS // max(1, len(column)))
+    for start in range(0, len(items), step):
+        own = (row >= start) & (row < start + step) & (known >= 0)
+        dense = np.zeros((min(step, len(items) - start), len(column)))
+        np.add.at(dense, (row[own] - start, known[own]), value[own])
+        scores[start:start + step] = dense @ matrix
+    scores = np.round(scores * items["scale"].to_numpy(dtype=np.float64)[:, None], RANK_DIGITS) + 0.0
+    scores[ids[:, None] == seed_ids[None, :]] = -np.inf  # never its own neighbour
+    order = np.argsort(-scores, axis=0, kind="stable")[:k]  # stable over ascending ids: ties go by id
+    best = np.take_along_axis(scores, order, axis=0)
+    keep = np.isfinite(best)
+    return pd.DataFrame({"seed_id": np.broadcast_to(seed_ids, best.shape)[keep], "neighbor_id": ids[order][keep], "similarity": best[keep]})
+
+
+def sparse_cosine_topk(entries: DataFrame, scale: DataFrame, catalog: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
     """Top-``k`` by cosine for each seed.
 
     ``entries``: (item_id, key string, value double) non-zero vector entries.
     ``scale``: (item_id, scale) with 1 / |vector| (0 for an empty vector).
     ``catalog``: (item_id) every candidate item.  ``seeds``: (item_id).
     """
-    seed_ids_df = seeds.select(ITEM).distinct()
-    seed_list = sorted(r[ITEM] for r in seed_ids_df.limit(max_seeds + 1).collect())
-    if not seed_list:
-        return _top_k(entries.sparkSession.createDataFrame([], OUT_SCHEMA), k)
-    if len(seed_list) > max_seeds:
-        n = seed_ids_df.count()
-        # Deterministic batches by hash; each batch is bounded.
-        n_batches = -(-n // max_seeds)
-        out = None
-        for b in range(n_batches):
-            part = seed_ids_df.where(F.pmod(F.xxhash64(ITEM), F.lit(n_batches)) == b)
-            res = sparse_cosine_topk(entries, scale, catalog, part, k, max_seeds=2 * max_seeds)
-            out = res if out is None else out.unionByName(res)
-        return out
-
-    spark = entries.sparkSession
-    seed_df = spark.createDataFrame([(x,) for x in seed_list], f"{ITEM} bigint")  # at most max_seeds rows
-    seed_rows = (entries.join(F.broadcast(seed_df), ITEM, "left_semi")
-                 .join(scale, ITEM).select(ITEM, "key", (F.col("value") * F.col("scale")).alias("v"))
-                 .limit(MAX_SEED_ROWS + 1).collect())
-    if len(seed_rows) > MAX_SEED_ROWS:
-        if len(seed_list) == 1:
-            raise ValueError(f"item {seed_list[0]} has more than {MAX_SEED_ROWS} vector entries")
-        half = len(seed_list) // 2
-        outs = [sparse_cosine_topk(entries, scale, catalog,
-                                   spark.createDataFrame([(x,) for x in p], f"{ITEM} bigint"), k, max_seeds)
-                for p in (seed_list[:half], seed_list[half:])]
-        return outs[0].unionByName(outs[1])
-    seed_pos = {s: i for i, s in enumerate(seed_list)}
-    keys = sorted({r["key"] for r in seed_rows})
-    key_pos = {kk: i for i, kk in enumerate(keys)}
-    if len(keys) * len(seed_list) > MAX_SEED_CELLS and len(seed_list) > 1:
-        # The seed matrix would exceed its memory budget: score two halves.
-        half = len(seed_list) // 2
-        parts = [seed_list[:half], seed_list[half:]]
-        outs = [sparse_cosine_topk(entries, scale, catalog,
-                                   entries.sparkSession.createDataFrame([(x,) for x in p], f"{ITEM} bigint"),
-                                   k, max_seeds) for p in parts]
-        return outs[0].unionByName(outs[1])
-    seed_t = np.zeros((max(len(keys), 1), len(seed_list)))
-    for r in seed_rows:
-        seed_t[key_pos[r["key"]], seed_pos[r[ITEM]]] += r["v"]
-    seed_bc = spark.sparkContext.broadcast(seed_t)
-
-    key_df = spark.createDataFrame([(kk, i) for kk, i in key_pos.items()], "key string, col int")
-    restricted = (entries.join(F.broadcast(key_df), "key")  # dictionary size bounded by the seed batch
-                  .groupBy(ITEM).agg(F.collect_list(F.struct("col", "value")).alias("e")))
-    vectors = (catalog.select(ITEM).distinct().join(restricted, ITEM, "left").join(scale, ITEM, "left")
-               .select(ITEM,
-                       F.coalesce(F.transform("e", lambda x: x["col"]), F.array().cast("array<int>")).alias("cols"),
-                       F.coalesce(F.transform("e", lambda x: x["value"]), F.array().cast("array<double>")).alias("vals"),
-                       F.coalesce(F.col("scale"), F.lit(0.0)).alias("scale")))
-    cands = vectors.mapInPandas(_kernel(np.asarray(seed_list, dtype=np.int64), seed_bc, seed_t.shape[0], k),
-                                OUT_SCHEMA)
-    return _top_k(cands, k)
-
-
-def dense_cosine_topk(vectors: DataFrame, seeds: DataFrame, k: int, max_seeds: int = DEFAULT_MAX_SEEDS) -> DataFrame:
+    gathered = entries.groupBy(ITEM).agg(F.collect_list(F.struct("key", "value")).alias("entries"))
+    empty = F.array().cast("array<struct<key:string,value:double>>")
+    vectors = gathered.join(scale, ITEM)
+
+    def rows(ids: DataFrame) -> DataFrame:
+        return ids.select(ITEM).distinct().join(vectors, ITEM, "left").select(
+            ITEM, F.coalesce("entries", empty).alias("entries"), F.coalesce("scale", F.lit(0.0)).alias("scale"))
+
+    found = query_blocks(rows(seeds), ITEM, rows(catalog), ITEM, lambda q, r: block_top_k(q, r, k),
+                         "seed_id bigint, neighbor_id bigint, similarity double", SEED_BLOCK, CATALOG_BLOCK)
+    w = Window.partitionBy("seed_id").orderBy(F.col("similarity").desc(), F.col("neighbor_id").asc())
+    return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .select(F.col("seed_id").alias(ITEM), "neighbor_id", F.col("rank").cast("bigint").alias("rank"), "similarity"))
+
+
+def dense_cosine_topk(vectors: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
     """Top-``k`` cosine neighbours in a dense ``vector`` array column (R2 dense form)."""
     entries = vectors.select(ITEM, F.posexplode("vector").alias("pos", "value")).where(F.col("value") != 0) \
         .select(ITEM, F.col("pos").cast("string").alias("key"), "value")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x * x))
     scale = vectors.select(ITEM, F.when(norm > 0, F.lit(1.0) / norm).otherwise(F.lit(0.0)).alias("scale"))
-    return sparse_cosine_topk(entries, scale, vectors.select(ITEM), seeds, k, max_seeds)
+    return sparse_cosine_topk(entries, scale, vectors.select(ITEM), seeds, k)

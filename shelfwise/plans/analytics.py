@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.operators import analytics, hybrid, neighbors, prepare, search
-from shelfwise.operators import features as feat
+from shelfwise.functions.common import shown
+from shelfwise.operators import analytics, hybrid, prepare, recommend, search
 from shelfwise.plans.content import book_metadata, catalog_of
 from shelfwise.plans.registry import register
 from shelfwise.plans.search import _TITLES, _WORDS, title_words
@@ -123,31 +123,22 @@ def q_consolidated_cells(spark, sf_dir):
 # --------------------------------------------------------------------------- weight sweep
 
 class Sweep:
-    """Seeds found by title search, hybrid lists for six weightings."""
+    """The inputs of the sweep queries, from the fixtures; each is derived once,
+    when a query first asks for it."""
 
     def __init__(self, spark, sf_dir, n: int = SWEEP_N, weights=SWEEP_WEIGHTS):
-        self.n, self.weights = n, weights
-        n_cand = 3 * n
+        self.weights = weights
         self.cells = _cells(spark, sf_dir)
         self.catalog = catalog_of(spark, sf_dir)
         self.titles = fixtures.title_table(spark, sf_dir)
+        self.words = title_words(spark, sf_dir)
         # metadata feeds the features, the genre analytics and the detail columns
         self.metadata = cut_lineage(book_metadata(spark, sf_dir))
-        words = title_words(spark, sf_dir)
-        self.best = cut_lineage(search.best_match(self.titles, words, SEARCH_THRESHOLD))
-        seeds = self.best.select("item_id")
-        feats = cut_lineage(feat.content_features(self.metadata, self.catalog))
-        self.collab_nb = cut_lineage(neighbors.item_neighbors(self.cells, k=n_cand, seeds=seeds))
-        self.content_nb = cut_lineage(neighbors.content_neighbors(feats, self.catalog, seeds, k=n_cand))
-
-    def _per_query(self, nb):
-        q = self.best.select("query_id", F.col("item_id").alias("seed_item"))
-        return q.join(nb.withColumnRenamed("item_id", "seed_item"), "seed_item").select(
-            "query_id", F.col("neighbor_id").alias("item_id"), "similarity")
+        self.found = recommend.TitleRecommender(self.words, self.titles, self.cells, self.catalog, self.metadata, n,
+                                                SEARCH_THRESHOLD)
 
     def recs(self):
-        return hybrid.hybrid(self._per_query(self.collab_nb), self._per_query(self.content_nb), self.weights,
-                             self.n, query_col="query_id")
+        return self.found.hybrid(self.weights)
 
     def list_metrics(self):
         pop = analytics.item_popularity(self.cells)
@@ -257,7 +248,8 @@ def q_sweep_genre_counts(spark, sf_dir):
 
 @register("sweep_filtered", "P14 J12 Q30", f"""
 WITH {SWEEP_SQL}
-SELECT r.recommender, r.query_id, CAST(r.rank AS BIGINT) AS rank, r.item_id, r.score, r.collab_score, r.content_score
+SELECT r.recommender, r.query_id, CAST(r.rank AS BIGINT) AS rank, r.item_id, ROUND(r.score, 6) AS score, ROUND(r.collab_score, 6) AS collab_score,
+       ROUND(r.content_score, 6) AS content_score
 FROM recs r LEFT JOIN meta m USING (item_id)
 WHERE (m.average_rating IS NULL OR m.average_rating = 0 OR m.average_rating >= 2.5)
   AND (m.publication_year IS NULL OR m.publication_year = 0 OR m.publication_year >= 1996)
@@ -265,7 +257,7 @@ WHERE (m.average_rating IS NULL OR m.average_rating = 0 OR m.average_rating >= 2
 """)
 def q_sweep_filtered(spark, sf_dir):
     s = Sweep(spark, sf_dir)
-    return analytics.apply_filters(s.recs(), s.metadata, 2.5, 1996, 2000)
+    return _shown(analytics.apply_filters(s.recs(), s.metadata, 2.5, 1996, 2000))
 
 
 @register("sweep_score_breakdown", "P15 P17 P19", f"""
@@ -278,26 +270,90 @@ def q_sweep_score_breakdown(spark, sf_dir):
     return analytics.score_breakdown(Sweep(spark, sf_dir).recs())
 
 
+def _shown(recs):
+    return recs.withColumns({c: shown(c) for c in ("score", "collab_score", "content_score")})
+
+
+def _titled(spark, sf_dir, method, n=5):
+    words, catalog = title_words(spark, sf_dir), catalog_of(spark, sf_dir)
+    meta = cut_lineage(book_metadata(spark, sf_dir)) if method != "collaborative" else None
+    recs = recommend.recommend_by_title(words, fixtures.title_table(spark, sf_dir), method, n, SEARCH_THRESHOLD,
+                                        _cells(spark, sf_dir), catalog, meta)
+    return _shown(recs.join(words, "query_id")).select("query", "rank", "item_id", "title", "score", "collab_score",
+                                                       "content_score"), meta
+
+
+_TITLED = """
+SELECT w.query, CAST(r.rank AS BIGINT) AS rank, r.item_id, COALESCE(p.p_name, 'Book ID: ' || CAST(r.item_id AS VARCHAR)) AS title,
+       ROUND({score}, 6) AS score, ROUND({collab}, 6) AS collab_score, ROUND({content}, 6) AS content_score{more}
+FROM {lists} r JOIN wq w USING (query_id) LEFT JOIN part p ON p.p_partkey = r.item_id"""
+
+
 @register("recommend_by_title", "R7 F2 J6 J12 P16 R3", f"""
-WITH {title_hybrid_sql([(0.6, 0.4)], 5, 15)},
-t AS (SELECT MAX(p_partkey) AS tid, p_name AS title FROM part GROUP BY p_name),
-t2 AS (SELECT m.p_partkey AS item_id, MAX(t.title) AS title FROM t JOIN part m ON m.p_partkey = t.tid GROUP BY m.p_partkey)
-SELECT w.query, CAST(r.rank AS BIGINT) AS rank, r.item_id,
-       COALESCE(t2.title, 'Book ID: ' || CAST(r.item_id AS VARCHAR)) AS title,
-       r.score, r.collab_score, r.content_score, m.authors,
-       array_to_string(string_split(m.shelves, ',')[1:3], ', ') AS top_shelves
-FROM recs r JOIN wq w USING (query_id) LEFT JOIN t2 USING (item_id) LEFT JOIN meta m USING (item_id)
+WITH {title_hybrid_sql([(0.6, 0.4)], 5, 15)}
+{_TITLED.format(lists="recs", score="r.score", collab="r.collab_score", content="r.content_score",
+                more=", m.authors, array_to_string(string_split(m.shelves, ',')[1:3], ', ') AS top_shelves")}
+LEFT JOIN meta m ON m.item_id = r.item_id
 """)
 def q_recommend_by_title(spark, sf_dir):
-    s = Sweep(spark, sf_dir, n=5, weights=[(0.6, 0.4)])
-    recs = s.recs()
-    titled = search.titles_with_fallback(recs, s.titles, fixtures.id_map(spark, sf_dir))
-    meta = s.metadata.select("item_id", "authors", F.array_join(F.slice(F.split("shelves", ","), 1, 3), ", ")
-                             .alias("top_shelves"))
-    words = title_words(spark, sf_dir)
-    return (titled.join(words, "query_id").join(meta, "item_id", "left")
-            .select("query", "rank", "item_id", "title", "score", "collab_score", "content_score", "authors",
-                    "top_shelves"))
+    recs, metadata = _titled(spark, sf_dir, "hybrid")
+    meta = metadata.select("item_id", "authors", F.array_join(F.slice(F.split("shelves", ","), 1, 3), ", ").alias("top_shelves"))
+    return recs.join(meta, "item_id", "left")
+
+
+@register("recommend_by_title_collaborative", "R7 P17", f"""
+WITH {title_hybrid_sql([(0.6, 0.4)], 5, 15)},
+lists AS (SELECT b.query_id, k.neighbor_id AS item_id, k.rank, k.similarity FROM best b JOIN knn k ON k.item_id = b.item_id WHERE k.rank <= 5)
+{_TITLED.format(lists="lists", score="r.similarity", collab="r.similarity", content="0.0", more="")}
+""")
+def q_recommend_by_title_collaborative(spark, sf_dir):
+    return _titled(spark, sf_dir, "collaborative")[0]
+
+
+@register("recommend_by_title_content", "R7 P17", f"""
+WITH {title_hybrid_sql([(0.6, 0.4)], 5, 15)},
+lists AS (SELECT b.query_id, k.neighbor_id AS item_id, k.rank, k.similarity FROM best b JOIN cknn k ON k.item_id = b.item_id WHERE k.rank <= 5)
+{_TITLED.format(lists="lists", score="r.similarity", collab="0.0", content="r.similarity", more="")}
+""")
+def q_recommend_by_title_content(spark, sf_dir):
+    return _titled(spark, sf_dir, "content")[0]
+
+
+@register("sweep_filter_stats", "A24 P14", f"""
+WITH {SWEEP_SQL},
+kept AS (SELECT r.* FROM recs r LEFT JOIN meta m USING (item_id)
+         WHERE (m.average_rating IS NULL OR m.average_rating = 0 OR m.average_rating >= 2.5)
+           AND (m.publication_year IS NULL OR m.publication_year = 0 OR m.publication_year <= 1993))
+SELECT l.recommender, l.query_id, ROUND(COUNT(k.item_id) * 100.0 / {SWEEP_N}, 6) AS pass_rate_pct,
+       ROUND(COALESCE(AVG(k.score), 0.0) * 100, 4) AS mean_match_pct
+FROM (SELECT DISTINCT recommender, query_id FROM recs) l LEFT JOIN kept k USING (recommender, query_id) GROUP BY ALL
+""")
+def q_sweep_filter_stats(spark, sf_dir):
+    s = Sweep(spark, sf_dir)
+    recs = cut_lineage(s.recs())
+    return analytics.filter_stats(analytics.apply_filters(recs, s.metadata, 2.5, None, 1993), recs, SWEEP_N)
+
+
+@register("sweep_pivot", "A25", f"""
+WITH {SWEEP_SQL},
+t AS ({" UNION ALL ".join(f"SELECT recommender, query_id, '{m}' AS metric, {m} AS value FROM lm" for m in LIST_METRICS)})
+SELECT query_id, metric, {", ".join(f"MAX(value) FILTER (WHERE recommender = '{c}') AS {chr(34)}{c}{chr(34)}" for c in sorted(SWEEP_NAMES))}
+FROM t GROUP BY query_id, metric
+""")
+def q_sweep_pivot(spark, sf_dir):
+    return analytics.sweep_pivot(Sweep(spark, sf_dir).list_metrics(), LIST_METRICS, sorted(SWEEP_NAMES))
+
+
+@register("score_histogram", "A9", f"""
+WITH {SWEEP_SQL},
+b AS (SELECT MIN(score) AS lo, MAX(score) AS hi FROM recs),
+binned AS (SELECT CAST(CASE WHEN b.hi = b.lo THEN 0 ELSE LEAST(FLOOR((r.score - b.lo) / ((b.hi - b.lo) / {analytics.SCORE_BINS})),
+                       {analytics.SCORE_BINS - 1}) END AS INTEGER) AS bin, b.lo, (b.hi - b.lo) / {analytics.SCORE_BINS} AS width FROM recs r, b)
+SELECT bin, ROUND(ANY_VALUE(lo) + bin * ANY_VALUE(width), 6) AS lower, ROUND(ANY_VALUE(lo) + (bin + 1) * ANY_VALUE(width), 6) AS upper,
+       CAST(COUNT(*) AS BIGINT) AS n FROM binned GROUP BY bin
+""")
+def q_score_histogram(spark, sf_dir):
+    return analytics.histogram(cut_lineage(Sweep(spark, sf_dir).recs()), "score", analytics.SCORE_BINS)
 
 
 @register("book_details", "P16 J4", f"""
@@ -318,18 +374,15 @@ _CONFIGS = sorted(SWEEP_NAMES)
 
 @register("config_comparison", "R12", f"""
 WITH {SWEEP_SQL},
-t AS (SELECT MAX(p_partkey) AS tid, p_name AS title FROM part GROUP BY p_name),
-t2 AS (SELECT m.p_partkey AS item_id, MAX(t.title) AS title FROM t JOIN part m ON m.p_partkey = t.tid GROUP BY m.p_partkey),
 cells5 AS (SELECT r.query_id, r.rank, r.recommender,
-                  COALESCE(t2.title, 'Book ID: ' || CAST(r.item_id AS VARCHAR)) ||
+                  COALESCE(p.p_name, 'Book ID: ' || CAST(r.item_id AS VARCHAR)) ||
                   CASE WHEN COALESCE(m.shelves, '') <> ''
                        THEN ' [' || array_to_string(string_split(m.shelves, ',')[1:3], ', ') || ']' ELSE '' END AS cell
-           FROM recs r LEFT JOIN t2 USING (item_id) LEFT JOIN meta m USING (item_id) WHERE r.rank <= 5)
+           FROM recs r LEFT JOIN part p ON p.p_partkey = r.item_id LEFT JOIN meta m USING (item_id) WHERE r.rank <= 5)
 SELECT query_id, CAST(rank AS BIGINT) AS rank,
        {", ".join(f'MAX(cell) FILTER (WHERE recommender = {chr(39)}{c}{chr(39)}) AS "{c}"' for c in _CONFIGS)}
 FROM cells5 GROUP BY query_id, rank
 """)
 def q_config_comparison(spark, sf_dir):
     s = Sweep(spark, sf_dir)
-    t = search.titles_with_fallback(s.catalog, s.titles).select("item_id", "title")
-    return analytics.comparison_table(s.recs(), t, s.metadata, 5)
+    return analytics.comparison_table(s.recs(), s.titles, s.metadata, _CONFIGS, 5)

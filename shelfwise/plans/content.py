@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.functions.common import score
+from shelfwise.functions.common import shown
 from shelfwise.operators import features, metadata
 from shelfwise.plans.registry import register
 from shelfwise.plans.sql_common import FEATURES, INTERACTIONS, META
@@ -66,7 +66,7 @@ SELECT term, CAST(df AS BIGINT) AS df, CAST(total AS DOUBLE) AS total, ROUND(idf
 def q_shelf_vocabulary(spark, sf_dir):
     _, vocab = features.shelf_vocabulary(book_metadata(spark, sf_dir), catalog_of(spark, sf_dir))
     return vocab.select("term", F.col("df").cast("bigint").alias("df"), F.col("total").cast("double").alias("total"),
-                        score("idf").alias("idf"))
+                        shown("idf").alias("idf"))
 
 
 @register("content_features", "C2 C3 C4 C5 A14 A15 Q18 Q19 Q20 Q21", f"""
@@ -74,7 +74,7 @@ WITH inter AS ({INTERACTIONS}), {FEATURES}
 SELECT item_id, block, feature, ROUND(value, 6) AS value FROM features
 """)
 def q_content_features(spark, sf_dir):
-    return content_features(spark, sf_dir).select("item_id", "block", "feature", score("value").alias("value"))
+    return content_features(spark, sf_dir).select("item_id", "block", "feature", shown("value").alias("value"))
 
 
 @register("feature_mapping", "C6 W2 J8", f"""
@@ -125,4 +125,4 @@ FROM w
 def q_document_tfidf(spark, sf_dir):
     docs = documents_as_text(spark, sf_dir)
     return features.shelf_block(docs, docs.select("item_id")).select(
-        "item_id", "block", "feature", score("value").alias("value"))
+        "item_id", "block", "feature", shown("value").alias("value"))

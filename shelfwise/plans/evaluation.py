@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.common import shown
 from shelfwise.operators import evaluation as ev
 from shelfwise.operators import hybrid, neighbors, prepare
 from shelfwise.plans.content import book_metadata, catalog_of
 from shelfwise.operators import features as feat
 from shelfwise.plans.registry import register
-from shelfwise.plans.sql_common import FEATURES, UNIT, content_knn_sql, knn_sql
+from shelfwise.plans.sql_common import CELLS, FEATURES, INTERACTIONS, UNIT, content_knn_sql, knn_sql
 from shelfwise.session import cut_lineage
 from shelfwise.sources import fixtures
 
@@ -70,8 +72,8 @@ class EvalInputs:
         return q.join(nb.withColumnRenamed("item_id", "seed_item"), "seed_item").select(
             "user_id", "seed_item", "rank", F.col("neighbor_id").alias("item_id"), "similarity")
 
-    def hybrid_recs(self):
-        return hybrid.hybrid(self.per_query(self.collab_nb), self.per_query(self.content_nb), WEIGHTS, MAX_K)
+    def hybrid_recs(self, weights=WEIGHTS):
+        return hybrid.hybrid(self.per_query(self.collab_nb), self.per_query(self.content_nb), weights, MAX_K)
 
     def recs(self):
         single = [hybrid.single_method(self.per_query(self.collab_nb), "collaborative", MAX_K),
@@ -89,6 +91,10 @@ class EvalInputs:
                            self.features)
 
 
+def shown_lists(recs):
+    return recs.withColumns({c: shown(c) for c in ("score", "collab_score", "content_score")})
+
+
 # --------------------------------------------------------------------------- SQL
 
 HOLDOUTS_SQL = f"""
@@ -201,26 +207,100 @@ def q_holdouts(spark, sf_dir):
 
 @register("collab_candidates", "R1 R5 J14 W1 Q23 Q24", f"""
 WITH {HOLDOUTS_SQL}, {knn_sql("seeds", CAND_K)}
-SELECT item_id, neighbor_id, CAST(rank AS BIGINT) AS rank, similarity FROM knn WHERE rank <= {CAND_K}
+SELECT item_id, neighbor_id, CAST(rank AS BIGINT) AS rank, ROUND(similarity, 6) AS similarity FROM knn WHERE rank <= {CAND_K}
 """)
 def q_collab_candidates(spark, sf_dir):
-    return EvalInputs(spark, sf_dir).collab_nb
+    return EvalInputs(spark, sf_dir).collab_nb.withColumn("similarity", shown("similarity"))
 
 
 @register("content_candidates", "R2 R6 J8 J10 J15 Q21 Q25 Q27", f"""
 WITH {HOLDOUTS_SQL}, {FEATURES}, {content_knn_sql("seeds")}
-SELECT item_id, neighbor_id, CAST(rank AS BIGINT) AS rank, similarity FROM cknn WHERE rank <= {CAND_K}
+SELECT item_id, neighbor_id, CAST(rank AS BIGINT) AS rank, ROUND(similarity, 6) AS similarity FROM cknn WHERE rank <= {CAND_K}
 """)
 def q_content_candidates(spark, sf_dir):
-    return EvalInputs(spark, sf_dir).content_nb
+    return EvalInputs(spark, sf_dir).content_nb.withColumn("similarity", shown("similarity"))
 
 
 @register("hybrid_recs", "R3 R4 J11 T1 L4 P15 Q26", f"""
 WITH {CANDIDATES_SQL}
-SELECT recommender, user_id, CAST(rank AS BIGINT) AS rank, item_id, score, collab_score, content_score FROM hyb
+SELECT recommender, user_id, CAST(rank AS BIGINT) AS rank, item_id, ROUND(score, 6) AS score,
+       ROUND(collab_score, 6) AS collab_score, ROUND(content_score, 6) AS content_score FROM hyb
 """)
 def q_hybrid_recs(spark, sf_dir):
-    return EvalInputs(spark, sf_dir).hybrid_recs()
+    return shown_lists(EvalInputs(spark, sf_dir).hybrid_recs())
+
+
+CLOSE_WEIGHTS = ((0.65, 0.35), (0.7, 0.3), (0.66, 0.34))
+_close = ", ".join(f"('{hybrid.weight_name(a, b)}', CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))" for a, b in CLOSE_WEIGHTS)
+
+
+@register("hybrid_close_weights", "R4 R11", f"""
+WITH {CANDIDATES_SQL.replace(_grid, _close)}
+SELECT recommender, user_id, CAST(rank AS BIGINT) AS rank, item_id, ROUND(score, 6) AS score,
+       ROUND(collab_score, 6) AS collab_score, ROUND(content_score, 6) AS content_score FROM hyb
+""")
+def q_hybrid_close_weights(spark, sf_dir):
+    """Weight pairs that are alike at one decimal keep lists of their own."""
+    return shown_lists(EvalInputs(spark, sf_dir).hybrid_recs(CLOSE_WEIGHTS))
+
+
+OUTSIDE = 100_000_000
+
+
+@register("content_outside_seeds", "R2 R6 Q27", f"""
+WITH inter AS ({INTERACTIONS}), {FEATURES},
+seeds AS (SELECT item_id FROM catalog WHERE item_id % 20 = 0), {content_knn_sql("seeds")}
+SELECT item_id, neighbor_id, CAST(rank AS BIGINT) AS rank, ROUND(similarity, 6) AS similarity FROM cknn WHERE rank <= 10
+""")
+def q_content_outside_seeds(spark, sf_dir):
+    """Seeds beyond the content catalog have no list."""
+    catalog = catalog_of(spark, sf_dir)
+    feats = cut_lineage(feat.content_features(book_metadata(spark, sf_dir), catalog))
+    known = catalog.where("item_id % 20 = 0")
+    seeds = known.unionByName(known.select((F.col("item_id") + OUTSIDE).alias("item_id")))
+    return neighbors.content_neighbors(feats, catalog, seeds, k=10).withColumn("similarity", shown("similarity"))
+
+
+@register("coverage_of_recommenders", "E6 A17", f"""
+WITH {CELLS},
+r AS (SELECT user_id, item_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rank FROM cells)
+SELECT 'own best' AS recommender, ROUND(COUNT(DISTINCT item_id) / (SELECT CAST(COUNT(DISTINCT item_id) AS DOUBLE) FROM cells), 6)
+       AS catalog_coverage FROM r WHERE rank <= 3
+UNION ALL SELECT 'silent', 0.0
+""")
+def q_coverage_of_recommenders(spark, sf_dir):
+    """A recommender without a single list covers 0."""
+    cells = prepare.rating_cells(fixtures.interactions(spark, sf_dir))
+    w = Window.partitionBy("user_id").orderBy(F.col("rating").desc(), "item_id")
+    recs = cells.select(F.lit("own best").alias("recommender"), "user_id", "item_id", F.row_number().over(w).alias("rank"))
+    size = cells.select(F.countDistinct("item_id").cast("double")).scalar()
+    return ev.coverage(recs, size, 3, ["own best", "silent"]).withColumn("catalog_coverage", shown("catalog_coverage"))
+
+
+@register("evaluator_popular", "E9 E10 E13", f"""
+WITH {HOLDOUTS_SQL},
+pop AS (SELECT item_id, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, item_id) AS place FROM cells GROUP BY item_id),
+lists AS (SELECT h.user_id, p.item_id, ROW_NUMBER() OVER (PARTITION BY h.user_id ORDER BY p.place) AS rank
+          FROM holdouts h JOIN pop p ON p.place <= 11 AND p.item_id <> h.seed_item),
+hits AS (SELECT l.user_id, COUNT(c.item_id) AS hits FROM lists l LEFT JOIN cells c ON c.user_id = l.user_id AND c.item_id = l.item_id
+         WHERE l.rank <= 10 GROUP BY l.user_id)
+SELECT 'popular' AS recommender, CAST(10 AS INTEGER) AS k, 'precision' AS metric, ROUND(AVG(hits / 10.0), 6) AS value FROM hits
+UNION ALL SELECT 'popular', 10, 'hit_rate', ROUND(AVG(CAST(hits > 0 AS INTEGER)), 6) FROM hits
+""")
+def q_evaluator_popular(spark, sf_dir):
+    """Any function can be evaluated: here the most-read books for everyone."""
+    inputs = EvalInputs(spark, sf_dir)
+
+    def popular(queries, k):
+        top = prepare.top_items(inputs.cells, k + 1).withColumn("place", F.col("n_interactions"))
+        listed = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("place")).alias("p"), "item_id"))).alias("top"))
+        own = queries.select("user_id", "seed_item", F.lit(listed.select("top").scalar()).alias("top"))
+        items = F.slice(F.filter(F.transform("top", lambda t: t["item_id"]), lambda i: i != F.col("seed_item")), 1, k)
+        return own.select("user_id", F.posexplode(items).alias("pos", "item_id")).select(
+            "user_id", (F.col("pos") + 1).cast("bigint").alias("rank"), "item_id")
+
+    report = ev.evaluate_recommenders({"popular": popular}, inputs.holdouts, inputs.positives, [10], inputs.catalog)
+    return report.where(F.col("metric").isin("precision", "hit_rate"))
 
 
 @register("eval_metrics", "E1 E2 E3 E4 E5 E6 E7 E9 E10 E11 E14 A16 A17 A18 A31 J13 J16 T5 T6 W3 W4 L7 Q31 Q32 Q33 Q34", f"""

@@ -32,7 +32,7 @@ def knn_sql(query_items: str, k: int) -> str:
            GROUP BY 1, 2),
   kcatalog AS (SELECT DISTINCT item_id FROM cells),
   scored AS (
-    SELECT q.item_id, c.item_id AS neighbor_id, COALESCE(ROUND(d.dot, 6), 0.0) AS similarity
+    SELECT q.item_id, c.item_id AS neighbor_id, COALESCE(ROUND(d.dot, 12), 0.0) AS similarity
     FROM (SELECT DISTINCT item_id FROM {query_items}) q JOIN kcatalog c ON q.item_id <> c.item_id
     LEFT JOIN dots d ON d.item_id = q.item_id AND d.neighbor_id = c.item_id),
   knn AS (
@@ -132,7 +132,7 @@ def content_knn_sql(query_items: str) -> str:
             GROUP BY 1, 2),
   cscored AS (
     SELECT q.item_id, c.item_id AS neighbor_id,
-           COALESCE(ROUND(d.dot / SQRT(CAST(na.nb AS DOUBLE) * nc.nb), 6), 0.0) AS similarity
+           COALESCE(ROUND(d.dot / SQRT(CAST(na.nb AS DOUBLE) * nc.nb), 12), 0.0) AS similarity
     FROM (SELECT DISTINCT item_id FROM {query_items}) q JOIN catalog c ON q.item_id <> c.item_id
     LEFT JOIN cdots d ON d.item_id = q.item_id AND d.neighbor_id = c.item_id
     LEFT JOIN nb na ON na.item_id = q.item_id LEFT JOIN nb nc ON nc.item_id = c.item_id),

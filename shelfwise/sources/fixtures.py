@@ -11,7 +11,7 @@ query's work grows with the tables:
   distinct suppliers of its line items, shelves are the lower-cased market
   segments and order priorities of its buyers with their counts, and the
   numeric strings come from the part and its orders.
-* id map: part key -> the same key (one id space).
+* id bridge: part key -> ten times the key plus one, with gaps.
 * vectors: the ``embeddings`` table.
 """
 
@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Gaps of the bridge fixtures.
+NO_BRIDGE, NO_TITLE = 40, 50
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,9 +103,21 @@ def raw_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def id_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part")
-    return part.select(F.col("p_partkey").alias("book_id_csv"), F.col("p_partkey").alias("book_id"))
+def record_id(item_id):
+    """The records' id of an item in the second id space of the bridge fixtures."""
+    return item_id * 10 + 1
+
+
+def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interaction id -> record id; items divisible by NO_BRIDGE are missing."""
+    part = table(spark, sf_dir, "part").where(F.col("p_partkey") % NO_BRIDGE != 0)
+    return part.select(F.col("p_partkey").alias("book_id_csv"), record_id(F.col("p_partkey")).alias("book_id"))
+
+
+def record_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item_id, title) by record id; items divisible by NO_TITLE have none."""
+    part = table(spark, sf_dir, "part").where(F.col("p_partkey") % NO_TITLE != 0)
+    return part.select(record_id(F.col("p_partkey")).alias("item_id"), F.col("p_name").alias("title"))
 
 
 def title_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The field names of the raw records.
 BOOK_STRING_FIELDS = [
     "book_id", "work_id", "title", "title_without_series", "description", "format",
     "language_code", "country_code", "publication_year", "is_ebook", "num_pages",
@@ -42,9 +43,10 @@ def read_books(spark: SparkSession, path: str, partitions: int | None = None) ->
 
 
 def read_interactions(spark: SparkSession, path: str, id_col: str = "book_id") -> DataFrame:
-    """S3: interactions CSV.  All columns are read as strings (no inference);
-    the three used ones get a strict cast, the rest are carried unread."""
-    raw = spark.read.option("header", True).csv(path)
+    """S3: interactions CSV.  The header names the columns and all are read as
+    strings (no inference, which would be a second pass); the three used ones get
+    a strict cast, the rest are carried unread."""
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     return raw.select(
         F.col("user_id").cast("bigint").alias("user_id"),
         F.col(id_col).cast("bigint").alias("item_id"),
@@ -93,22 +95,20 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def extra_features(books: DataFrame) -> DataFrame:
     """Descriptive string columns of each book."""
-    return books.select(
-        F.col("book_id").cast("bigint").alias("book_id"),
-        "description", "format", "title", "title_without_series", "language_code", "authors", "country_code",
-    )
+    return books.select("book_id", "description", "format", "title", "title_without_series", "language_code",
+                        "authors", "country_code")
 
 
 def titles(books: DataFrame) -> DataFrame:
     """P2."""
-    return books.select(F.col("book_id").cast("bigint").alias("book_id"), "title", "title_without_series")
+    return books.select("book_id", "title", "title_without_series")
 
 
 def simple_features(books: DataFrame) -> DataFrame:
     """Numeric columns; a bad number becomes null (try_cast), and
     is_ebook is 1 exactly for the string "true"."""
     return books.select(
-        F.col("book_id").cast("bigint").alias("book_id"),
+        F.expr("try_cast(book_id as bigint)").alias("book_id"),
         F.expr("try_cast(work_id as bigint)").alias("work_id"),
         F.expr("try_cast(publication_year as bigint)").alias("publication_year"),
         F.when(F.col("is_ebook") == "true", 1).otherwise(0).cast("int").alias("is_ebook"),
@@ -123,14 +123,17 @@ def simple_features(books: DataFrame) -> DataFrame:
 # Long-form matrix storage
 # ---------------------------------------------------------------------------
 
-def save_matrix(cells: DataFrame, path: str) -> None:
+def save_matrix(cells: DataFrame, row_map: DataFrame, col_map: DataFrame, path: str) -> None:
     """A sparse matrix is a long table of (row_idx, col_idx, value) plus
     the id maps; written as Parquet, never densified."""
     write_parquet(cells.select("row_idx", "col_idx", "value"), f"{path}/cells")
+    write_parquet(row_map, f"{path}/rows")
+    write_parquet(col_map, f"{path}/columns")
 
 
-def load_matrix(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/cells")
+def load_matrix(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The cells, the row map and the column map."""
+    return tuple(spark.read.parquet(f"{path}/{part}") for part in ("cells", "rows", "columns"))
 
 
 def check_matrix(cells: DataFrame, row_map: DataFrame, col_map: DataFrame) -> DataFrame:
@@ -147,5 +150,5 @@ def check_matrix(cells: DataFrame, row_map: DataFrame, col_map: DataFrame) -> Da
     )
     return out.withColumn(
         "consistent",
-        (F.col("max_row_plus_one") <= F.col("n_row_ids")) & (F.col("max_col_plus_one") <= F.col("n_col_ids")),
+        (F.col("max_row_plus_one") == F.col("n_row_ids")) & (F.col("max_col_plus_one") == F.col("n_col_ids")),
     )

@@ -1,6 +1,6 @@
 """Incremental ingest of interaction files (S3 -> S5 as a stream).
 
-The reference converts its raw files to Parquet in one out-of-core pass.
+The batch ingest converts the raw files to Parquet in one out-of-core pass.
 Here the same conversion runs as a Structured Streaming file source: each
 new CSV (or Parquet) file of interactions is typed with the strict id casts
 of ``readers.read_interactions`` and appended to a Parquet table.  The
@@ -9,8 +9,8 @@ partially failed run neither loses nor duplicates a file (exactly-once file
 sink).  ``availableNow`` processes everything present and stops, which makes
 the same job usable as a scheduled batch.
 
-The checkpoint location must be shared storage on a cluster; by default it is
-a sub-folder of the session's ``spark.checkpoint.dir``.
+The checkpoint location must be shared storage on a cluster and must be the same
+at every restart, so it has no default.
 """
 
 from __future__ import annotations
@@ -36,17 +36,16 @@ def typed(raw: DataFrame) -> DataFrame:
                       F.col("rating").cast("bigint").alias("rating"))
 
 
-def start_interaction_ingest(spark: SparkSession, source_dir: str, table_dir: str, fmt: str = "csv",
-                             checkpoint: str | None = None, max_files_per_trigger: int = 64,
+def start_interaction_ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str,
+                             fmt: str = "csv", max_files_per_trigger: int = 64,
                              available_now: bool = True) -> StreamingQuery:
     """Start the stream; returns the running query (``awaitTermination`` to wait)."""
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{abs(hash(table_dir))}"
     reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
         raw = reader.option("header", True).schema(RAW_SCHEMA).csv(source_dir)
     else:
         raw = reader.schema(RAW_SCHEMA).format(fmt).load(source_dir)
     writer = (typed(raw).writeStream.format("parquet").option("path", table_dir)
-              .option("checkpointLocation", ckpt).outputMode("append"))
+              .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
