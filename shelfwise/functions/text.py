@@ -175,8 +175,12 @@ def matches(name: str, query: str, texts: Texts, threshold: int) -> tuple[np.nda
     score = scorer(name)
     if threshold <= 0:
         return np.arange(len(texts.length)), score(query, texts)
-    size = (len(query) + texts.length) / 2 if name == "ratio" else np.minimum(len(query), texts.length)
-    rows = np.flatnonzero((size > 0) & (100.0 * texts.in_common(query) + 0.5 * size >= threshold * size))
+    if name == "weighted_ratio":  # sorted tokens may have fewer spaces than the text
+        words = texts.length - (texts.codes == ord(" ")).sum(axis=1)
+        size = np.maximum(1, np.minimum(len(query.replace(" ", "")), words))
+    else:
+        size = (len(query) + texts.length) / 2 if name == "ratio" else np.minimum(len(query), texts.length)
+    rows = np.flatnonzero((texts.length > 0) & (len(query) > 0) & (100.0 * texts.in_common(query) + 0.5 * size >= threshold * size))
     found = score(query, texts.take(rows))
     keep = found >= threshold
     return rows[keep], found[keep]

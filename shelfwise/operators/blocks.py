@@ -39,7 +39,7 @@ def query_blocks(queries: DataFrame, query_key: str, rows: DataFrame, row_key: s
 
     def scored(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(r):
-            return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
+            return pd.DataFrame({c.split()[0]: pd.Series([], dtype=object) for c in schema.split(", ")})
         return score(q, r)
 
     blocks = ["query_block", "row_block"]

@@ -10,6 +10,7 @@ query (score desc, item id asc) and cut to ``max_results``.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,13 +39,13 @@ def search_titles(titles: DataFrame, queries: DataFrame, threshold: int = 60, ma
     idx = title_index(titles).select("title", ITEM, prep(F.col("title")).alias("t")).where("t is not null")
 
     def matched(qs: pd.DataFrame, ts: pd.DataFrame) -> pd.DataFrame:
-        texts = text.Texts(ts["t"].tolist())
+        texts, names, ids = text.Texts(ts["t"].tolist()), ts["title"].to_numpy(dtype=object), ts[ITEM].to_numpy()
         parts = []
         for query_id, query in zip(qs["query_id"], qs["q"]):
             rows, scores = text.matches(scorer, query, texts, threshold)
-            parts.append(pd.DataFrame({"query_id": query_id, "title": ts["title"].to_numpy()[rows],
-                                       ITEM: ts[ITEM].to_numpy()[rows], "score": scores}))
-        return pd.concat(parts)
+            parts.append((np.full(len(rows), query_id), names[rows], ids[rows], scores))
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        return pd.DataFrame({n: pd.Series(c, dtype=c.dtype) for n, c in zip(("query_id", "title", ITEM, "score"), columns)})
 
     out = query_blocks(q, "query_id", idx, ITEM, matched, f"query_id bigint, title string, {ITEM} bigint, score int")
     if max_results is not None:

@@ -75,8 +75,9 @@ def sparse_cosine_topk(entries: DataFrame, scale: DataFrame, catalog: DataFrame,
     vectors = gathered.join(scale, ITEM)
 
     def rows(ids: DataFrame) -> DataFrame:
-        return ids.select(ITEM).distinct().join(vectors, ITEM, "left").select(
-            ITEM, F.coalesce("entries", empty).alias("entries"), F.coalesce("scale", F.lit(0.0)).alias("scale"))
+        asked = ids.select(F.col(ITEM).alias("_asked")).distinct()  # ids may stem from the vectors themselves
+        return asked.join(vectors, F.col("_asked") == F.col(ITEM), "left").select(
+            F.col("_asked").alias(ITEM), F.coalesce("entries", empty).alias("entries"), F.coalesce("scale", F.lit(0.0)).alias("scale"))
 
     found = query_blocks(rows(seeds), ITEM, rows(catalog), ITEM, lambda q, r: block_top_k(q, r, k),
                          "seed_id bigint, neighbor_id bigint, similarity double", SEED_BLOCK, CATALOG_BLOCK)

@@ -18,85 +18,92 @@ def metric(spark, name, recommended, relevant, k):
     return out[0][name]
 
 
-@pytest.mark.parametrize("rec,rel,k,exp", [
-    ([1, 2, 3], [1, 2, 3], 3, 1.0), ([4, 5, 6], [1, 2, 3], 3, 0.0), ([1, 4, 2, 5], [1, 2, 3], 4, 0.5),
-    ([4, 5, 1, 2], [1, 2], 2, 0.0), ([], [1, 2, 3], 5, 0.0)])
-def test_precision(spark, rec, rel, k, exp):
-    assert metric(spark, "precision", rec, rel, k) == pytest.approx(exp)
+# One list, hits at ranks 2, 3 and 6, four relevant items: everything by hand.
+LIST, RELEVANT = [50, 61, 62, 53, 54, 63], [61, 62, 63, 64]
+D = [1 / math.log2(r + 1) for r in range(1, 10)]  # discounts
 
 
-def test_precision_k_zero(spark):
-    # k = 0 yields no cut-off rows; precision is defined as 0
-    assert metric(spark, "precision", [1, 2], [1, 2], 0) == 0.0
+@pytest.mark.parametrize("k, precision, recall, hit, ndcg, ap", [
+    (1, 0.0, 0.0, 0.0, 0.0, 0.0),
+    (2, 1 / 2, 1 / 4, 1.0, D[1] / (D[0] + D[1]), (1 / 2) / 2),
+    (3, 2 / 3, 2 / 4, 1.0, (D[1] + D[2]) / sum(D[:3]), (1 / 2 + 2 / 3) / 3),
+    (6, 3 / 6, 3 / 4, 1.0, (D[1] + D[2] + D[5]) / sum(D[:4]), (1 / 2 + 2 / 3 + 3 / 6) / 4),
+    (9, 3 / 9, 3 / 4, 1.0, (D[1] + D[2] + D[5]) / sum(D[:4]), (1 / 2 + 2 / 3 + 3 / 6) / 4),
+    (0, 0.0, 0.0, 0.0, 0.0, 0.0)])
+def test_metrics_by_hand(spark, k, precision, recall, hit, ndcg, ap):
+    for name, want in (("precision", precision), ("recall", recall), ("hit_rate", hit), ("ndcg", ndcg), ("map", ap)):
+        assert metric(spark, name, LIST, RELEVANT, k) == pytest.approx(want), name
 
 
-@pytest.mark.parametrize("rec,rel,k,exp", [
-    ([1, 2, 3, 4], [1, 2, 3], 4, 1.0), ([1, 9, 8, 7], [1, 2, 3], 4, 1 / 3), ([1, 2, 3], [], 3, 0.0),
-    ([9, 8, 1, 2], [1, 2], 2, 0.0)])
-def test_recall(spark, rec, rel, k, exp):
-    assert metric(spark, "recall", rec, rel, k) == pytest.approx(exp)
+@pytest.mark.parametrize("listed, relevant", [([], [5]), ([5, 6], []), ([7], [8])])
+def test_metrics_without_hits(spark, listed, relevant):
+    assert {metric(spark, m, listed, relevant, 4) for m in ev.METRICS} == {0.0}
 
 
-@pytest.mark.parametrize("rec,rel,k,exp", [([9, 8, 1], [1, 2], 3, 1.0), ([9, 8, 7], [1, 2], 3, 0.0), ([9, 8, 1], [1], 2, 0.0)])
-def test_hit_rate(spark, rec, rel, k, exp):
-    assert metric(spark, "hit_rate", rec, rel, k) == exp
+def recs_of(spark, lists, name="r"):
+    return spark.createDataFrame([(name, q, i + 1, item) for q, lst in enumerate(lists) for i, item in enumerate(lst)],
+                                 "recommender string, user_id bigint, rank bigint, item_id bigint")
 
 
-@pytest.mark.parametrize("rec,rel,k,exp", [
-    ([1, 2, 3], [1, 2, 3], 3, 1.0), ([4, 5, 6], [1, 2], 3, 0.0), ([9, 1, 8], [1], 3, 1 / math.log2(3)),
-    ([1, 2, 9], [1, 2, 3, 4, 5], 3, (1 + 1 / math.log2(3)) / (1 + 1 / math.log2(3) + 0.5)),
-    ([1, 2], [], 2, 0.0)])
-def test_ndcg(spark, rec, rel, k, exp):
-    assert metric(spark, "ndcg", rec, rel, k) == pytest.approx(exp)
+def test_coverage_of_every_recommender(spark):
+    recs = recs_of(spark, [[4, 5, 6], [5, 9]], "a").unionByName(recs_of(spark, [[4]], "b"))
+    got = {r.recommender: r.catalog_coverage for r in ev.coverage(recs, 8, 2, ["a", "b", "none"]).collect()}
+    assert got == {"a": 3 / 8, "b": 1 / 8, "none": 0.0}
+    assert {r.catalog_coverage for r in ev.coverage(recs, 0, 2, ["a", "none"]).collect()} == {0.0}
 
 
-@pytest.mark.parametrize("rec,rel,k,exp", [
-    ([1, 2, 3], [1, 2, 3], 3, 1.0), ([1, 9, 2], [1, 2], 3, (1 + 2 / 3) / 2), ([4, 5, 6], [1, 2, 3], 3, 0.0),
-    ([1, 2], [], 2, 0.0)])
-def test_average_precision(spark, rec, rel, k, exp):
-    assert metric(spark, "map", rec, rel, k) == pytest.approx(exp)
+def features_of(spark, vecs):
+    """item -> {block: {feature: value}}, every block of unit length."""
+    rows = [(i, b, f, float(v)) for i, blocks in vecs.items() for b, fs in blocks.items() for f, v in fs.items()]
+    return spark.createDataFrame(rows, "item_id bigint, block string, feature string, value double")
 
 
-def test_average_precision_rewards_early_hits(spark):
-    assert metric(spark, "map", [1, 9, 8], [1], 3) > metric(spark, "map", [9, 8, 1], [1], 3)
+def diversity(spark, vecs, items):
+    got = ev.list_diversity(recs_of(spark, [items]), features_of(spark, vecs), 20).collect()
+    return got[0].diversity if got else None
 
 
-def recs_of(spark, lists):
-    return spark.createDataFrame([("r", q, i + 1, item) for q, lst in enumerate(lists) for i, item in enumerate(lst)],
-                                 "recommender string, user_id bigint, rank bigint, item_id bigint")
+SHELF = {1: {"s": {"x": 1}}, 2: {"s": {"x": 0.6, "y": 0.8}}, 3: {"s": {"z": 1}}, 4: {"s": {"x": 1}, "t": {"q": 1}}, 5: {"s": {"x": -1}}}
 
 
-@pytest.mark.parametrize("lists,n,exp", [([[1, 2], [3, 4]], 4, 1.0), ([[1, 2], [2, 3]], 10, 0.3), ([[1, 2]], 0, 0.0),
-                                         ([], 5, 0.0)])
-def test_coverage(spark, lists, n, exp):
-    got = ev.coverage(recs_of(spark, lists), n, 20).collect()
-    assert (got[0].catalog_coverage if got else 0.0) == pytest.approx(exp)
+@pytest.mark.parametrize("items, want", [
+    ([1, 2], 0.4), ([1, 3], 1.0), ([1, 2, 3], (0.4 + 1 + 1) / 3), ([1, 4], 1 - 1 / math.sqrt(2)), ([1, 5], 1.0),
+    ([1, 99, 2], 0.4), ([1], None), ([1, 99], None)])
+def test_diversity_by_hand(spark, items, want):
+    """Distances are 1 - cosine over blocks of equal weight, held to 0..1; 99 has
+    no vector; one valid item makes no pair."""
+    assert diversity(spark, SHELF, items) == (want if want is None else pytest.approx(want))
 
 
-def features_of(spark, vecs):
-    return spark.createDataFrame([(i, "b", str(j), float(v)) for i, vec in vecs.items() for j, v in enumerate(vec) if v],
-                                 "item_id bigint, block string, feature string, value double")
+def _holdouts(spark):
+    hold = spark.createDataFrame([(0, 4, 2), (1, 5, 1)], "user_id bigint, seed_item bigint, n_positives bigint")
+    pos = spark.createDataFrame([(0, 5), (0, 9), (1, 4)], "user_id bigint, item_id bigint")
+    return hold, pos, spark.createDataFrame([(4,), (5,), (9,), (10,)], "item_id bigint")
 
 
-def diversity(spark, vecs, items):
-    got = ev.list_diversity(recs_of(spark, [items]), features_of(spark, vecs), 20).collect()
-    return got[0].diversity if got else 0.0
+def test_evaluator_takes_functions(spark):
+    hold, pos, catalog = _holdouts(spark)
 
+    def same(queries, k):
+        return queries.selectExpr("user_id", "posexplode(slice(array(5, 4), 1, %d)) AS (p, i)" % k).selectExpr(
+            "user_id", "CAST(p + 1 AS BIGINT) AS rank", "CAST(i AS BIGINT) AS item_id")
 
-def test_diversity_cases(spark):
-    assert diversity(spark, {0: [1, 0], 1: [1, 0]}, [0, 1]) == pytest.approx(0.0)
-    assert diversity(spark, {0: [1, 0], 1: [0, 1]}, [0, 1]) == pytest.approx(1.0)
-    assert diversity(spark, {0: [1, 0], 1: [1, 0]}, [0]) == 0.0
-    assert diversity(spark, {0: [1, 0], 1: [0, 0], 2: [0, 1]}, [0, 1, 2]) == pytest.approx(1.0)
+    def silent(queries, k):
+        return same(queries, k).where("false")
 
+    report = ev.evaluate_recommenders({"same": same, "silent": silent}, hold, pos, [1, 2], catalog)
+    got = {(r.recommender, r.k, r.metric): r.value for r in report.collect()}
+    assert got["same", 1, "precision"] == 0.5 and got["same", 2, "hit_rate"] == 1.0 and got["same", 2, "catalog_coverage"] == 0.5
+    assert {v for (name, _, m), v in got.items() if name == "silent" and m in (*ev.METRICS, "catalog_coverage")} == {0.0}
+    assert len([1 for name, _, m in got if name == "silent"]) == len(got) / 2
 
-def test_diversity_random_range(spark):
-    import random
 
-    rnd = random.Random(3)
-    vecs = {i: [rnd.random() for _ in range(4)] for i in range(5)}
-    for size in (2, 3, 5):
-        assert 0.0 <= diversity(spark, vecs, list(range(size))) <= 1.0
+def test_evaluator_refuses_empty_input(spark):
+    hold, pos, catalog = _holdouts(spark)
+    with pytest.raises(ValueError):
+        ev.evaluate_recommenders({}, hold, pos, [1], catalog)
+    with pytest.raises(ValueError):
+        ev.evaluate(recs_of(spark, [[4]]), hold.limit(0), pos, ["r"], [1], catalog)
 
 
 def toy_cells(spark):

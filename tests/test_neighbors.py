@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators import neighbors as nb
+from shelfwise.operators import vector_knn
 from shelfwise.operators.vector_knn import dense_cosine_topk
 
 CELL = "item_id bigint, user_id bigint, rating double"
@@ -114,14 +115,17 @@ def test_content_neighbors_block_cosine(spark):
         assert got[q] == [(j, pytest.approx(s, abs=1e-6)) for s, j in exp]
 
 
-def test_content_seed_batches_equal_single_batch(spark):
+def test_content_small_blocks_equal_one_block(spark, monkeypatch):
     rows = [(i, "numeric", str(j), float((i * 7 + j * 3) % 5) + 1.0) for i in range(12) for j in range(3)]
     feats = spark.createDataFrame(rows, "item_id bigint, block string, feature string, value double")
     catalog = feats.select("item_id").distinct()
     seeds = spark.createDataFrame([(i,) for i in range(12)], "item_id bigint")
     one = sorted(nb.content_neighbors(feats, catalog, seeds, k=4).collect())
-    many = sorted(nb.content_neighbors(feats, catalog, seeds, k=4, max_seeds=3).collect())
-    assert one == many
+    monkeypatch.setattr(vector_knn, "SEED_BLOCK", 3)
+    monkeypatch.setattr(vector_knn, "CATALOG_BLOCK", 4)
+    assert sorted(nb.content_neighbors(feats, catalog, seeds, k=4).collect()) == one
+    outside = seeds.unionByName(spark.createDataFrame([(777,)], "item_id bigint"))
+    assert sorted(nb.content_neighbors(feats, catalog, outside, k=4).collect()) == one
 
 
 def test_dense_vectors(spark):
@@ -139,7 +143,7 @@ def test_dense_vectors(spark):
         assert got[q] == [(j, pytest.approx(s, abs=1e-6)) for s, j in exp]
 
 
-def test_seed_matrix_budget_split_gives_same_result(spark, monkeypatch):
+def test_small_sub_blocks_equal_one(spark, monkeypatch):
     from shelfwise.operators import vector_knn
 
     rows = [(i, "shelf", str((i * j) % 11), 1.0 + j) for i in range(20) for j in range(4)]
@@ -147,19 +151,5 @@ def test_seed_matrix_budget_split_gives_same_result(spark, monkeypatch):
     catalog = feats.select("item_id").distinct()
     seeds = spark.createDataFrame([(i,) for i in range(0, 20, 3)], "item_id bigint")
     whole = sorted(nb.content_neighbors(feats, catalog, seeds, k=5).collect())
-    monkeypatch.setattr(vector_knn, "MAX_SEED_CELLS", 10)
-    split = sorted(nb.content_neighbors(feats, catalog, seeds, k=5).collect())
-    assert whole == split
-
-
-def test_seed_rows_budget_split_gives_same_result(spark, monkeypatch):
-    from shelfwise.operators import vector_knn
-
-    rows = [(i, "shelf", str((i + j) % 7), 1.0 + j) for i in range(16) for j in range(3)]
-    feats = spark.createDataFrame(rows, "item_id bigint, block string, feature string, value double")
-    catalog = feats.select("item_id").distinct()
-    seeds = spark.createDataFrame([(i,) for i in range(0, 16, 2)], "item_id bigint")
-    whole = sorted(nb.content_neighbors(feats, catalog, seeds, k=4).collect())
-    monkeypatch.setattr(vector_knn, "MAX_SEED_ROWS", 5)
-    split = sorted(nb.content_neighbors(feats, catalog, seeds, k=4).collect())
-    assert whole == split
+    monkeypatch.setattr(vector_knn, "DENSE_CELLS", 10)
+    assert sorted(nb.content_neighbors(feats, catalog, seeds, k=5).collect()) == whole

@@ -32,6 +32,8 @@ def test_simple_features_casts(spark):
     r = readers.simple_features(books).collect()[0]
     assert r.work_id is None and r.is_ebook == 1 and r.num_pages == 7 and r.ratings_count is None
     assert r.average_rating is None
+    bad = readers.simple_features(books.withColumn("book_id", F.lit("x1"))).collect()[0]
+    assert bad.book_id is None and readers.titles(books.withColumn("book_id", F.lit("x1"))).first().book_id == "x1"
 
 
 def test_csv_sink_nested_as_json(spark):
@@ -46,10 +48,11 @@ def test_matrix_export_roundtrip(spark):
     inter = fixtures.interactions(spark, SF)
     cells, item_map, user_map = prepare.rating_matrix(inter)
     path = tempfile.mkdtemp(prefix="mtx-")
-    readers.save_matrix(cells.select(F.col("row_idx"), F.col("col_idx"), F.col("value")), path)
-    back = readers.load_matrix(spark, path)
+    readers.save_matrix(cells, item_map, user_map, path)
+    back, rows, columns = readers.load_matrix(spark, path)
     assert back.count() == cells.count()
-    chk = readers.check_matrix(back, item_map, user_map).collect()[0]
+    chk = readers.check_matrix(back, rows, columns).collect()[0]
+    assert not readers.check_matrix(back, rows.union(rows.limit(1)), columns).collect()[0].consistent
     assert chk.consistent and chk.max_row_plus_one == chk.n_row_ids
 
 

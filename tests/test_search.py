@@ -1,15 +1,15 @@
-"""Fuzzy title search on the reference's five-title fixture, plus LCS checks."""
+"""Fuzzy title search: scorers against dynamic programming, and search semantics."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import lcs_sql, partial_ratio, ratio
+from shelfwise.functions import text
 from shelfwise.operators import search
 
-TITLES = [("Harry Potter and the Sorcerer's Stone", 0), ("Harry Potter and the Chamber of Secrets", 1),
-          ("The Lord of the Rings", 2), ("1984", 3), ("The Da Vinci Code", 4)]
+TITLES = [("A Field Guide to Lichens", 11), ("The Lichen Collector", 12), ("Bread, Salt and Iron", 13),
+          ("Salt", 14), ("Tide Tables of the Northern Coast", 15)]
 
 
 @pytest.fixture(scope="module")
@@ -17,104 +17,123 @@ def titles(spark):
     return spark.createDataFrame(TITLES, "title string, item_id bigint")
 
 
-def find(spark, titles, query, **kw):
-    q = spark.createDataFrame([(1, query)], "query_id bigint, query string")
-    return [(r.title, r.item_id, r.score) for r in
-            sorted(search.search_titles(titles, q, **kw).collect(), key=lambda r: r.rank)]
+def find(spark, titles, *queries, **options):
+    asked = spark.createDataFrame(list(enumerate(queries)), "query_id bigint, query string")
+    rows = sorted(search.search_titles(titles, asked, **options).collect(), key=lambda r: (r.query_id, r.rank))
+    return [(r.query_id, r.rank, r.item_id, r.score) for r in rows]
 
 
-def test_exact(spark, titles):
-    out = find(spark, titles, "1984", threshold=60)
-    assert out[0][0] == "1984" and out[0][2] == 100
-
-
-def test_partial_match(spark, titles):
-    assert any("Harry Potter" in t for t, _, _ in find(spark, titles, "Harry Potter", threshold=80))
-
-
-def test_no_match(spark, titles):
-    assert find(spark, titles, "Quantum Field Theory", threshold=80) == []
+def dp_lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], max(row[j], row[j - 1], last + 1 if x == y else 0)
+    return row[-1]
 
 
-def test_threshold_above_100(spark, titles):
-    assert find(spark, titles, "1984", threshold=101) == []
+def dp_ratio(a, b):
+    return round(100 * (2 * dp_lcs(a, b) / (len(a) + len(b)))) if a and b else 0
 
 
-def test_max_results(spark, titles):
-    assert len(find(spark, titles, "the", threshold=10, max_results=2)) <= 2
+def dp_partial(a, b):
+    a, b = sorted((a, b), key=len)
+    return max((dp_ratio(a, b[i:i + len(a)]) for i in range(len(b) - len(a) + 1)), default=0) if a else 0
 
 
-def test_case_insensitive(spark, titles):
-    assert find(spark, titles, "the lord of the RINGS", threshold=80)[0][1] == 2
+def _strings(seed, n, longest):
+    r = random.Random(seed)
+    return ["".join(r.choice("abcd é") for _ in range(r.randint(0, longest))) for _ in range(n)]
 
 
-def test_empty_query(spark, titles):
-    find(spark, titles, "", threshold=80)
+def test_scorers_against_dynamic_programming():
+    queries, titles = _strings(1, 12, 150), _strings(2, 30, 150)
+    table = text.Texts(titles)
+    for q in queries:
+        assert text.lcs(q, table).tolist() == [dp_lcs(q, t) for t in titles]
+        assert text.ratio_scores(q, table).tolist() == [dp_ratio(q, t) for t in titles]
+        assert text.partial_scores(q, table).tolist() == [dp_partial(q, t) for t in titles]
 
 
-def test_scores_descending(spark, titles):
-    scores = [s for _, _, s in find(spark, titles, "Harry", threshold=10)]
-    assert scores == sorted(scores, reverse=True)
+@pytest.mark.parametrize("name", sorted(text.SCORERS))
+@pytest.mark.parametrize("threshold", [0, 45, 70, 100])
+def test_bound_drops_no_match(name, threshold):
+    titles = text.Texts(_strings(3, 60, 40) + ["abc", "abc d", "cba"])
+    for q in [*_strings(4, 8, 25), "abc", ""]:
+        scores = text.scorer(name)(q, titles)
+        rows, found = text.matches(name, q, titles, threshold)
+        want = [i for i, s in enumerate(scores) if s >= threshold]
+        assert rows.tolist() == want and found.tolist() == scores[want].tolist()
 
 
-def test_partial_at_least_full(spark, titles):
-    p = find(spark, titles, "Harry Potter", threshold=0, scorer="partial_ratio")[0][2]
-    f = find(spark, titles, "Harry Potter", threshold=0, scorer="ratio")[0][2]
-    assert p >= f
+def test_weighted_score():
+    one = lambda a, b: int(text.weighted_scores(a, text.Texts([b]))[0])
+    assert one("salt", "salt") == 100
+    assert one("iron and salt", "salt and iron") == 95           # same words in another order
+    assert one("salt", "bread salt and iron") == 90              # a window, lengths apart
+    assert one("a", "a field guide to lichens") == 60            # lengths far apart
+    assert one("", "salt") == one("salt", "") == 0
 
 
-def test_unknown_scorer(spark, titles):
-    with pytest.raises(ValueError):
-        find(spark, titles, "Harry", scorer="bogus")
+def test_pairwise_columns(spark):
+    df = spark.createDataFrame([("salt", "bread, salt"), ("abc", "abd"), ("", "x"), (None, "x")], "a string, b string")
+    got = df.select(text.ratio("a", "b"), text.partial_ratio("a", "b")).collect()
+    assert [tuple(r) for r in got] == [(53, 100), (67, 67), (0, 0), (None, None)]
 
 
-def test_best_match(spark, titles):
-    q = spark.createDataFrame([(1, "Da Vinci"), (2, "Quantum Field Theory")], "query_id bigint, query string")
-    got = {r.query_id: r.item_id for r in search.best_match(titles, q, threshold=80).collect()}
-    assert got == {1: 4}
+def test_ranks_and_ties(spark, titles):
+    assert find(spark, titles, "salt", threshold=100) == [(0, 1, 13, 100), (0, 2, 14, 100)]
+    assert find(spark, titles, "salt", threshold=100, max_results=1) == [(0, 1, 13, 100)]
+    assert find(spark, titles, "LICHEN", "coast", threshold=95) == [(0, 1, 11, 100), (0, 2, 12, 100), (1, 1, 15, 100)]
 
 
-def test_duplicate_titles_last_id_wins(spark):
-    t = spark.createDataFrame([("Same", 1), ("Same", 5)], "title string, item_id bigint")
-    q = spark.createDataFrame([(1, "same")], "query_id bigint, query string")
-    assert [r.item_id for r in search.search_titles(t, q).collect()] == [5]
+def test_unlimited_ranks_equal_limited_ones(spark, titles):
+    queries = ["lichen", "salt", "the", "north", "zzz"]
+    assert find(spark, titles, *queries, threshold=30) == find(spark, titles, *queries, threshold=30, max_results=99)
 
 
-def test_query_batches(spark, titles):
-    q = spark.createDataFrame([(i, w) for i, w in enumerate(["harry", "rings", "code", "1984", "stone"])],
-                              "query_id bigint, query string")
-    one = sorted(search.search_titles(titles, q, 60).collect())
-    many = sorted(search.search_titles(titles, q, 60, max_queries=2).collect())
-    assert one == many
+def test_nothing_found(spark, titles):
+    assert find(spark, titles, "qqq", threshold=50) == []
+    assert find(spark, titles, "salt", threshold=101) == []
+    assert find(spark, titles, None, "", threshold=50) == []
+    assert find(spark, titles.limit(0), "salt") == []
 
 
-def _lcs(a, b):
-    prev = [0] * (len(b) + 1)
-    for x in a:
-        cur = [0]
-        for j, y in enumerate(b, 1):
-            cur.append(prev[j - 1] + 1 if x == y else max(prev[j], cur[j - 1]))
-        prev = cur
-    return prev[-1]
+def test_unknown_scorer(spark, titles):
+    with pytest.raises(ValueError, match="Unknown scorer"):
+        find(spark, titles, "salt", scorer="soundex")
 
 
-def test_lcs_against_dynamic_programme(spark):
-    rnd = random.Random(5)
-    pairs = [("".join(rnd.choice("abc d") for _ in range(rnd.randint(0, 80))),
-              "".join(rnd.choice("abc d") for _ in range(rnd.randint(0, 130)))) for _ in range(120)]
-    df = spark.createDataFrame(pairs, "a string, b string")
-    for r in df.select("a", "b", F.expr(lcs_sql("a", "b")).alias("l"), ratio("a", "b").alias("r")).collect():
-        lcs = _lcs(r.a, r.b)
-        assert r.l == lcs
-        assert r.r == (round(100 * 2 * lcs / (len(r.a) + len(r.b))) if r.a and r.b else 0)
+def test_best_and_smart(spark, titles):
+    asked = spark.createDataFrame([(5, "northern COAST"), (6, "qqqq"), (7, "iron bread salt and")], "query_id bigint, query string")
+    assert {r.query_id: r.item_id for r in search.best_match(titles, asked, 80).collect()} == {5: 15, 7: 14}  # "Salt" is part of the query
+    assert {(r.query_id, r.item_id) for r in search.smart_search(titles, asked).collect()} >= {(5, 15), (7, 13)}
 
 
-def test_partial_ratio_substring_is_100(spark):
-    df = spark.createDataFrame([("potter", "harry potter and the stone")], "a string, b string")
-    assert df.select(partial_ratio("a", "b")).collect()[0][0] == 100
+def test_one_id_per_title_in_a_search(spark):
+    twice = spark.createDataFrame([("Tides", 3), ("Tides", 8)], "title string, item_id bigint")
+    assert find(spark, twice, "tides") == [(0, 1, 8, 100)]
 
 
-def test_title_fallback(spark, titles):
-    items = spark.createDataFrame([(2,), (77,)], "item_id bigint")
+def test_titles_by_id(spark):
+    """Ids that share a title keep it; unknown ids and null titles fall back."""
+    titles = spark.createDataFrame([("Tides", 3), ("Tides", 8), (None, 9)], "title string, item_id bigint")
+    items = spark.createDataFrame([(3,), (8,), (9,), (10,)], "item_id bigint")
     got = {r.item_id: r.title for r in search.titles_with_fallback(items, titles).collect()}
-    assert got == {2: "The Lord of the Rings", 77: "Book ID: 77"}
+    assert got == {3: "Tides", 8: "Tides", 9: "Book ID: 9", 10: "Book ID: 10"}
+    bridge = spark.createDataFrame([(3, 8), (10, 3), (11, 77)], "book_id_csv bigint, book_id bigint")
+    got = {r.item_id: r.title for r in search.titles_with_fallback(items, titles, bridge).collect()}
+    assert got == {3: "Tides", 8: "Book ID: 8", 9: "Book ID: 9", 10: "Tides"}
+    audit = search.id_audit(items, bridge, titles).first()
+    assert (audit.n_items, audit.n_unmapped, audit.n_without_title) == (4, 2, 0)
+
+
+def test_many_blocks(spark, monkeypatch):
+    """Small blocks give what one block gives."""
+    from shelfwise.operators import blocks
+
+    titles = spark.createDataFrame([(f"title {i} {i * i % 17}", i) for i in range(90)], "title string, item_id bigint")
+    queries = [f"title {i}" for i in range(7)]
+    one = find(spark, titles, *queries, threshold=80)
+    monkeypatch.setattr(blocks.query_blocks, "__defaults__", (2, 10))
+    assert find(spark, titles, *queries, threshold=80) == one and len(one) > 20
