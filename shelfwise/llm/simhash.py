@@ -49,6 +49,8 @@ SEGMENT_BITS = (11, 11, 11, 11, 10, 10)
 PART = 1 << 16
 #: Links of a batch that are held before they are reduced to a forest.
 HELD_LINKS = 1 << 20
+#: Parts into which the points of a component are dealt when they get its id.
+SALTS = 32
 
 
 def simhash(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
@@ -200,8 +202,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = components(fingerprint_links(points.select("fp"), max_bits))
     labelled = points.join(found, points.fp == found.node, "left").select(
         "fp", "least_id", F.coalesce("component", "fp").alias("component"))
-    least = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    by_print = labelled.join(least, "component").select("fp", "component_id")
+    shared = cut_lineage(labelled.groupBy("component").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+                         .where("n > 1").select("component", "component_id"))
+    # one component may hold a third of all points: they meet its id on (component, salt)
+    salts = shared.select("component", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    members = found.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salts, ["component", "salt"])
+    members = members.select(F.col("node").alias("fp"), "component_id").unionByName(
+        shared.select(F.col("component").alias("fp"), "component_id"))
+    by_print = points.join(members, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
     out = prints.join(by_print, "fp")
     return out.select("doc_id", "fp", "component_id", *(["row_key"] if with_key else []))
 
