@@ -105,10 +105,11 @@ def coverage(recs: DataFrame, catalog_size: F.Column | int, max_k: int, recommen
     """Distinct recommended items over the catalog size, for every
     recommender; one without any list covers 0."""
     size = F.lit(catalog_size) if isinstance(catalog_size, int) else catalog_size
-    seen = recs.where(F.col("rank") <= max_k).groupBy("recommender").agg(F.countDistinct(ITEM).alias("n_distinct"))
-    base = recs.sparkSession.createDataFrame([(r,) for r in recommenders], "recommender string")
-    return base.join(seen, "recommender", "left").select("recommender", F.when(
-        size > 0, F.coalesce("n_distinct", F.lit(0)) / size).otherwise(0.0).alias("catalog_coverage"))
+    # every recommender has a row of its own, whose null item counts as none
+    named = recs.sparkSession.createDataFrame([(r,) for r in recommenders], "recommender string")
+    rows = recs.where(F.col("rank") <= max_k).select("recommender", ITEM).unionByName(named, allowMissingColumns=True)
+    return rows.groupBy("recommender").agg(F.countDistinct(ITEM).alias("n_distinct")).select(
+        "recommender", F.when(size > 0, F.col("n_distinct") / size).otherwise(0.0).alias("catalog_coverage"))
 
 
 def list_diversity(recs: DataFrame, features: DataFrame, max_k: int) -> DataFrame:

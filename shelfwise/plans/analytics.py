@@ -193,7 +193,7 @@ SWEEP_SQL = title_hybrid_sql(SWEEP_WEIGHTS, SWEEP_N, SWEEP_CANDIDATES) + """,
 """
 
 
-@register("sweep_list_metrics", "R11 A21 A22 A23 A24 Q36 Q37", f"""
+@register("sweep_list_metrics", "R11 A21 A22 A23 Q36 Q37", f"""
 WITH {SWEEP_SQL}
 SELECT * FROM lm
 """)
@@ -201,7 +201,7 @@ def q_sweep_list_metrics(spark, sf_dir):
     return Sweep(spark, sf_dir).list_metrics()
 
 
-@register("sweep_summary", "A25 A26 A27", f"""
+@register("sweep_summary", "A26 A27", f"""
 WITH {SWEEP_SQL},
 means AS (SELECT recommender, ROUND(AVG(mean_score), 3) AS mean_score, ROUND(AVG(genre_uniqueness), 3) AS genre_uniqueness,
                  ROUND(AVG(coverage), 3) AS coverage, ROUND(AVG(novelty), 3) AS novelty FROM lm GROUP BY recommender),
@@ -356,7 +356,7 @@ def q_score_histogram(spark, sf_dir):
     return analytics.histogram(cut_lineage(Sweep(spark, sf_dir).recs()), "score", analytics.SCORE_BINS)
 
 
-@register("book_details", "P16 J4", f"""
+@register("book_details", "P16", f"""
 WITH inter AS ({INTERACTIONS}), {META_ONLY}
 SELECT item_id, concat_ws(' | ',
     CASE WHEN publication_year <> 0 THEN CAST(publication_year AS VARCHAR) END,

@@ -23,7 +23,7 @@ def content_features(spark, sf_dir):
     return features.content_features(book_metadata(spark, sf_dir), catalog_of(spark, sf_dir))
 
 
-@register("book_metadata", "S1 S2 C1 P9 P10 P11 P12 L3 Q12 Q13 Q14", f"""
+@register("book_metadata", "C1 P9 P10 P11 P12 L3 Q12 Q13 Q14", f"""
 WITH inter AS ({INTERACTIONS}), {META}
 SELECT * FROM meta
 """)

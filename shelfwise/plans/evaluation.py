@@ -213,7 +213,7 @@ def q_collab_candidates(spark, sf_dir):
     return EvalInputs(spark, sf_dir).collab_nb.withColumn("similarity", shown("similarity"))
 
 
-@register("content_candidates", "R2 R6 J8 J10 J15 Q21 Q25 Q27", f"""
+@register("content_candidates", "R2 R6 J8 J15 Q21 Q25", f"""
 WITH {HOLDOUTS_SQL}, {FEATURES}, {content_knn_sql("seeds")}
 SELECT item_id, neighbor_id, CAST(rank AS BIGINT) AS rank, ROUND(similarity, 6) AS similarity FROM cknn WHERE rank <= {CAND_K}
 """)
@@ -315,7 +315,7 @@ _PIVOT = ", ".join(f"MAX(value) FILTER (WHERE metric = '{m}') AS {m}" for m in e
                                                                                            "intra_list_diversity"])
 
 
-@register("metrics_by_k", "E13 A25", f"""
+@register("metrics_by_k", "E13", f"""
 WITH {REPORT_SQL},
 t2 AS (SELECT recommender, CAST(k AS INTEGER) AS k, metric, ROUND(value, 6) AS value FROM tidy)
 SELECT recommender, k, {_PIVOT} FROM t2

@@ -23,7 +23,7 @@ TOP_ITEMS = 1500
 MIN_READS = 10
 
 
-@register("simple_features", "P3 P4 P6 Q10 Q11 S1", f"""
+@register("simple_features", "P3 P6 Q10", f"""
 WITH inter AS ({INTERACTIONS}), {META}
 SELECT p.p_partkey AS book_id, p.p_partkey AS work_id, CAST(st.first_year AS BIGINT) AS publication_year,
        CAST(CASE WHEN p.p_size % 2 = 0 THEN 1 ELSE 0 END AS INTEGER) AS is_ebook, CAST(p.p_size AS BIGINT) AS num_pages,
@@ -42,7 +42,7 @@ def q_book_titles(spark, sf_dir):
     return readers.titles(fixtures.raw_books(spark, sf_dir))
 
 
-@register("extra_features_csv", "P1 P7 S6 Q40", f"""
+@register("extra_features_csv", "P1 P7 Q40", f"""
 WITH inter AS ({INTERACTIONS}), {META},
 aj AS (SELECT a.item_id,
               CAST(to_json(list({{'author_id': CAST(a.l_suppkey AS VARCHAR), 'name': s.s_name}} ORDER BY a.l_suppkey))

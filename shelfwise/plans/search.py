@@ -50,7 +50,7 @@ def q_title_search(spark, sf_dir):
     return _with_text(words, search.search_titles(titles, words, THRESHOLD, MAX_RESULTS, "partial_ratio"))
 
 
-@register("title_search_ratio", "F1a F1c", _search_sql(duck_ratio("a", "b"), 40, MAX_RESULTS))
+@register("title_search_ratio", "F1a", _search_sql(duck_ratio("a", "b"), 40, MAX_RESULTS))
 def q_title_search_ratio(spark, sf_dir):
     titles = fixtures.title_table(spark, sf_dir)
     words = title_words(spark, sf_dir)
