@@ -173,3 +173,12 @@ def content_neighbors(features: DataFrame, catalog: DataFrame, seeds: DataFrame,
     known = seeds.select(F.col(ITEM).alias("_seed")).join(listed, F.col("_seed") == F.col("_listed"), "left_semi")
     known = known.select(F.col("_seed").alias(ITEM))
     return sparse_cosine_topk(entries, scale, catalog, known, k)
+
+
+def mapped_only(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """The lists without neighbours that are not in ``known`` (item_id); the
+    rest keep their order and are ranked anew."""
+    listed = known.select(F.col(ITEM).alias("_known")).distinct()
+    kept = lists.join(listed, F.col("neighbor_id") == F.col("_known"), "left_semi")
+    again = F.row_number().over(Window.partitionBy(ITEM).orderBy("rank")).cast("bigint")
+    return kept.withColumn("rank", again)

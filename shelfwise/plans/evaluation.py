@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,9 +12,9 @@ from shelfwise.operators import evaluation as ev
 from shelfwise.operators import hybrid, neighbors, prepare
 from shelfwise.plans.content import book_metadata, catalog_of
 from shelfwise.operators import features as feat
-from shelfwise.plans.registry import register
+from shelfwise.plans.registry import REGISTRY, register
 from shelfwise.plans.sql_common import CELLS, FEATURES, INTERACTIONS, UNIT, content_knn_sql, knn_sql
-from shelfwise.session import cut_lineage
+from shelfwise.session import cut_lineage, ensure_checkpoint_dir
 from shelfwise.sources import fixtures
 
 N_USERS = ev.DEFAULT_N_USERS
@@ -342,3 +344,34 @@ FROM w LEFT JOIN c USING (recommender) LEFT JOIN d USING (recommender)
 """)
 def q_leaderboard(spark, sf_dir):
     return ev.leaderboard(EvalInputs(spark, sf_dir).report(), K_VALUES)
+
+
+_POPULAR = REGISTRY["evaluator_popular"]
+
+
+@register("report_file", "S9", f"""
+SELECT recommender, CAST(k AS BIGINT) AS k, metric, value, CAST({SEED} AS BIGINT) AS config_seed, '[10]' AS config_k_values
+FROM ({_POPULAR.sql})
+""")
+def q_report_file(spark, sf_dir):
+    """The report written with its run configuration and read again."""
+    folder = f"{ensure_checkpoint_dir(spark)}/report-{uuid.uuid4().hex}"
+    ev.write_report(_POPULAR.build(spark, sf_dir), folder, {"seed": SEED, "k_values": [10]})
+    return spark.read.json(folder)
+
+
+@register("mapped_content_neighbors", "J10 Q25", f"""
+WITH inter AS ({INTERACTIONS}), {FEATURES},
+seeds AS (SELECT item_id FROM catalog WHERE item_id % 25 = 0), {content_knn_sql("seeds")}
+SELECT item_id, neighbor_id, CAST(ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY rank) AS BIGINT) AS rank,
+       ROUND(similarity, 6) AS similarity
+FROM cknn WHERE rank <= 12 AND neighbor_id % 3 <> 0
+""")
+def q_mapped_content_neighbors(spark, sf_dir):
+    """Neighbours that the collaborative side does not know are dropped, without
+    others in their place."""
+    catalog = catalog_of(spark, sf_dir)
+    feats = cut_lineage(feat.content_features(book_metadata(spark, sf_dir), catalog))
+    lists = neighbors.content_neighbors(feats, catalog, catalog.where("item_id % 25 = 0"), k=12)
+    known = catalog.where("item_id % 3 <> 0")
+    return neighbors.mapped_only(lists, known).withColumn("similarity", shown("similarity"))
