@@ -47,6 +47,8 @@ LONGEST_MEAN = 25       # mean word length
 #: How many times likelier a failed rule is in junk than in a clean text.
 FAILURE_ODDS = 50.0
 REJECT_ODDS = 4.0
+#: At most so many hosts (some 100 bytes each) are broadcast.
+BROADCAST_HOSTS = 100_000
 #: A shrunken failure rate at which a host is rejected as a whole.
 BLOCK_RATE = 0.80
 
@@ -177,8 +179,11 @@ def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", wri
     failed = base_failed(m) | (failures(m) > 0)
     hosts = host_verdicts(rows.select(F.struct(h, h + "less").alias("host"), failed.alias("failed")))
     own, n = free_name("verdict_of_host", rows.columns), free_name("failed_rules", rows.columns)
+    small = hosts.count() <= BROADCAST_HOSTS  # a written table of one row a host
     hosts = hosts.select(F.struct("host", "rate", "blocked").alias(own))
-    # a skewed join on the host: adaptive execution splits a hot host's rows, the other side has one row for it
+    # few hosts go to the rows, so that texts are not shuffled by host; else a skewed join, in which
+    # adaptive execution splits a hot host's rows and the other side has one row for it
+    hosts = F.broadcast(hosts) if small else hosts
     met = rows.withColumn(n, failures(m)).join(
         hosts, (F.col(h) == F.col(f"{own}.host.{h}")) & (F.col(h + "less") == F.col(f"{own}.host.{h}less")))
     rate = F.col(f"{own}.rate")
