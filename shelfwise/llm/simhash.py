@@ -209,7 +209,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = found.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salts, ["component", "salt"])
     members = members.select(F.col("node").alias("fp"), "component_id").unionByName(
         shared.select(F.col("component").alias("fp"), "component_id"))
-    by_print = points.join(members, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
+    # written, so that the join below is one of two shuffles and a fingerprint of very many copies can be split
+    by_print = cut_lineage(points.join(members, "fp", "left").select(
+        "fp", F.coalesce("component_id", "least_id").alias("component_id")))
     out = prints.join(by_print, "fp")
     return out.select("doc_id", "fp", "component_id", *(["row_key"] if with_key else []))
 
