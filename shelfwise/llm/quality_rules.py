@@ -40,7 +40,7 @@ MIN_WORDS = 10
 MOST_REPEATED = 20
 #: Limits of the other rules.
 MOST_SYMBOLS = 0.25     # symbols for each word
-MOST_DUP_LINES = 0.30   # of the lines with a word
+MOST_DUP_LINES = 0.30   # of the lines with a word, where more than one is repeated
 MOST_CAPITALS = 0.60    # of the letters, in texts of MIN_LETTERS letters
 MIN_LETTERS = 40
 LONGEST_MEAN = 25       # mean word length
@@ -133,7 +133,7 @@ def base_failed(name: str) -> Column:
 def failures(name: str) -> Column:
     """How many of the other rules the text fails."""
     m = _of(name)
-    rules = [m("n_symbols") > MOST_SYMBOLS * m("n_words"), m("n_dup_lines") > MOST_DUP_LINES * m("n_lines"),
+    rules = [m("n_symbols") > MOST_SYMBOLS * m("n_words"), (m("n_dup_lines") > 1) & (m("n_dup_lines") > MOST_DUP_LINES * m("n_lines")),
              (m("n_letters") >= MIN_LETTERS) & (m("n_capitals") > MOST_CAPITALS * m("n_letters")),
              m("word_chars") > LONGEST_MEAN * m("n_words")]
     return sum(r.cast("int") for r in rules)
