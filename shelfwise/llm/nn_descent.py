@@ -5,15 +5,19 @@
 2. A first neighbour graph: points that share a leaf of random hyperplanes, in
    several tables, are compared; each keeps its K nearest.  A leaf that holds too
    many points (one dense group may hold a third of all) is dealt out by a hash.
+   Before that cut, the pairs at or above the threshold are kept as a spanning
+   forest of the leaf.
 3. NN-descent: for every point, its neighbours and those that have it as neighbour
    are compared with each other, as neighbours of neighbours tend to be neighbours;
-   only pairs with a new entry, until few lists change.
+   only pairs with a new entry, until few lists change.  A point whose K nearest all
+   pass the threshold is saturated, so a list holds also the K nearest outside the
+   point's component as known so far, and rounds go on while they join components:
+   at the end no entry outside a point's component passes.
 4. Audit: the links of a bounded set of query points are found by comparing them
    with all points; while the graph has too few of them, further tables are added.
-5. Edges at or above the threshold, in double precision, give components.  A point
-   whose whole list passes the threshold is saturated: its list is too short for
-   its links.  Lists are enlarged to the point's component, block by block, without
-   writing pairs: a task compares two blocks and returns numbers of links.
+5. Edges at or above the threshold, in double precision, give components.  Lists
+   are enlarged to the point's component, block by block, without writing pairs: a
+   task compares two blocks and returns numbers of links.
 
 Defined results: a vector left out links with nothing and is its own component;
 repeated rows and equal vectors link with each other; vectors of different lengths
@@ -46,6 +50,8 @@ AUDIT_POINTS = 512
 MIN_RECALL = 0.98
 AUDITS = 3
 BLOCK = 2048
+#: Pairs that a task finds; ``forest``: kept whatever the lists hold.
+FOUND = "p long, q long, sim double, forest boolean"
 SEED = 42
 
 
@@ -80,6 +86,25 @@ def _table(columns: list, names: list[str], types: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(joined, names=names)
 
 
+def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a symmetric matrix of links: every point's component, and the edges of a
+    spanning forest."""
+    label, a, b = np.arange(len(linked)), [], []
+    free = linked.any(axis=1)
+    for root in np.flatnonzero(free).tolist():
+        if not free[root]:
+            continue
+        free[root], todo = False, [root]
+        while todo:
+            x = todo.pop()
+            new = np.flatnonzero(linked[x] & free).tolist()
+            free[new], label[new] = False, root
+            a += [x] * len(new)
+            b += new
+            todo += new
+    return label, np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+
+
 def leaves(points: DataFrame, n: int, tables: range, leaf: int = LEAF) -> DataFrame:
     """Every point's leaf in every table: (tree, dim, leaf, p, v)."""
     bits = max(1, min(62, math.ceil(math.log2(max(2, n / leaf)))))
@@ -107,8 +132,9 @@ def leaves(points: DataFrame, n: int, tables: range, leaf: int = LEAF) -> DataFr
     return points.select("p", "v").mapInArrow(dealt, f"tree int, dim int, leaf long, p long, v {kind}")
 
 
-def first_graph(points: DataFrame, n: int, tables: range, k: int = NEIGHBOURS) -> DataFrame:
-    """(p, q, sim): for every point its nearest in each of its leaves."""
+def first_graph(points: DataFrame, n: int, tables: range, k: int = NEIGHBOURS, min_cosine: float = MIN_COSINE) -> DataFrame:
+    """(p, q, sim, forest): for every point its nearest in each of its leaves, also
+    outside its component there, and the spanning forest of the leaf's links."""
     dealt = leaves(points, n, tables)
     key = ["tree", "dim", "leaf"]
     sizes = dealt.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -118,70 +144,131 @@ def first_graph(points: DataFrame, n: int, tables: range, k: int = NEIGHBOURS) -
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, s = [], [], []
+            a, b, s, t = [], [], [], []
             for points, unit in _groups(batch):
                 ids, sim = _numbers(points, "p"), unit @ unit.T
                 np.fill_diagonal(sim, -2)
+                label, x, y = _forest(sim >= min_cosine)
                 few = min(k, len(ids) - 1)
-                best = np.argpartition(-sim, few - 1, axis=1)[:, :few]
-                a.append(np.repeat(ids, few))
-                b.append(ids[best].ravel())
-                s.append(np.take_along_axis(sim, best, axis=1).ravel())
-            yield _table([a, b, s], ["p", "q", "sim"], [pa.int64(), pa.int64(), pa.float64()])
-
-    return grouped.mapInArrow(nearest, "p long, q long, sim double")
-
-
-def _best(edges: DataFrame, k: int) -> DataFrame:
-    """Each point's K nearest of the edges (p, q, sim, old): old where any of the
-    same pair's rows is."""
-    once = edges.groupBy("p", "q").agg(F.max("sim").alias("sim"), F.max("old").alias("old"))
-    rank = F.row_number().over(Window.partitionBy("p").orderBy(F.desc("sim"), "q"))
-    return once.withColumn("rank", rank).where(F.col("rank") <= k)
-
-
-def descend(points: DataFrame, lists: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
-    """One round: (p, q, sim) of neighbours' neighbours that improve a list."""
-    last = lists.groupBy("p").agg(F.when(F.count(F.lit(1)) >= k, F.min("sim")).otherwise(-2.0).alias("least"))
-    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.xxhash64("p", "q")))
+                at = np.repeat(np.arange(len(ids)), few)
+                best = np.argpartition(-sim, few - 1, axis=1)[:, :few].ravel()
+                if len(x):
+                    out = np.where(label[:, None] == label[None, :], -2, sim)
+                    other = np.argpartition(-out, few - 1, axis=1)[:, :few].ravel()
+                    told = label[at] != label[other]
+                    at, best = np.concatenate([at, at[told]]), np.concatenate([best, other[told]])
+                a += [ids[at], ids[x]]
+                b += [ids[best], ids[y]]
+                s += [sim[at, best], sim[x, y]]
+                t += [np.zeros(len(at), bool), np.ones(len(x), bool)]
+            yield _table([a, b, s, t], ["p", "q", "sim", "forest"], [pa.int64(), pa.int64(), pa.float64(), pa.bool_()])
+
+    return grouped.mapInArrow(nearest, FOUND)
+
+
+def _labelled(rows: DataFrame, labels: DataFrame, of: str, out: str) -> DataFrame:
+    """``out``: the component of the point in column ``of``; alone, the point itself."""
+    named = labels.select(F.col("node").alias("_node"), F.col("component").alias(out))
+    joined = rows.join(named, F.col(of) == F.col("_node"), "left").drop("_node")
+    return joined.withColumn(out, F.coalesce(out, of))
+
+
+def _best(edges: DataFrame, k: int, labels: DataFrame | None = None) -> DataFrame:
+    """Each point's K nearest of the edges (p, q, sim, old, forest), its K nearest
+    outside its component (``foreign``; all are without ``labels``), and the forest
+    edges between components; old where any of the same pair's rows is."""
+    once = edges.groupBy("p", "q").agg(F.max("sim").alias("sim"), F.max("old").alias("old"), F.max("forest").alias("forest"))
+    if labels is None:
+        once = once.withColumn("foreign", F.lit(True))
+    else:
+        once = _labelled(_labelled(once, labels, "p", "_cp"), labels, "q", "_cq")
+        once = once.withColumn("foreign", F.col("_cp") != F.col("_cq")).drop("_cp", "_cq")
+    order = Window.partitionBy("p").orderBy(F.desc("sim"), "q")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = once.withColumn("near", F.row_number().over(order) <= k)
+    far = F.col("foreign") & (F.sum(F.col("foreign").cast("int")).over(upto) <= k)
+    placed = placed.withColumn("far", far)
+    return placed.where("near or far or (forest and foreign)")
+
+
+def descend(points: DataFrame, lists: DataFrame, k: int = NEIGHBOURS, labels: DataFrame | None = None,
+            min_cosine: float = MIN_COSINE) -> DataFrame:
+    """One round: (p, q, sim, forest) of neighbours' neighbours that improve a list
+    or join two components; of a task's pairs that join the same two, one."""
+    lists = lists.where("near or far")
+    full = lambda which: F.when(F.sum(F.col(which).cast("int")) >= k, F.min(F.when(F.col(which), F.col("sim")))).otherwise(-2.0)
+    last = lists.groupBy("p").agg(full("near").alias("least"), full("far").alias("least_far"))
+    rank = F.row_number().over(Window.partitionBy("q", "near").orderBy(F.xxhash64("p", "q")))
     back = lists.withColumn("r", rank).where(F.col("r") <= k).select(F.col("q").alias("at"), F.col("p").alias("p"), "old")
     around = lists.select(F.col("p").alias("at"), F.col("q").alias("p"), "old").unionByName(back)
     around = around.groupBy("at", "p").agg(F.min("old").alias("old"))
-    told = points.select("p", "v").join(last, "p", "left").withColumn("least", F.coalesce("least", F.lit(-2.0)))
+    told = points.select("p", "v").join(last, "p", "left")
+    told = told.withColumn("c", F.col("p")) if labels is None else _labelled(told, labels, "p", "c")
+    told = told.withColumns({c: F.coalesce(c, F.lit(-2.0)) for c in ("least", "least_far")})
     met = around.join(told, "p").groupBy("at").agg(
-        F.collect_list(F.struct("p", "v", "least", F.col("old").cast("int").alias("old"))).alias("points"), F.min("old").alias("o"))
+        F.collect_list(F.struct("p", "v", "c", "least", "least_far", F.col("old").cast("int").alias("old"))).alias("points"), F.min("old").alias("o"))
     met = met.where("not o and size(points) > 1").select("points")
 
     def improved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, s = [], [], []
+            a, b, s, t = [], [], [], []
             for points, unit in _groups(batch):
-                ids, sim = _numbers(points, "p"), unit @ unit.T
-                old = _numbers(points, "old") > 0
-                better = (sim > _numbers(points, "least")[:, None]) & ~(old[:, None] & old[None, :])
+                ids, label, sim = _numbers(points, "p"), _numbers(points, "c"), unit @ unit.T
+                old, foreign = _numbers(points, "old") > 0, label[:, None] != label[None, :]
+                better = (sim > _numbers(points, "least")[:, None]) | (foreign & (sim > _numbers(points, "least_far")[:, None]))
+                better &= ~(old[:, None] & old[None, :])
                 np.fill_diagonal(better, False)
                 x, y = np.nonzero(better)
-                a.append(ids[x])
-                b.append(ids[y])
-                s.append(sim[x, y])
-            yield _table([a, b, s], ["p", "q", "sim"], [pa.int64(), pa.int64(), pa.float64()])
-
-    return met.mapInArrow(improved, "p long, q long, sim double")
-
-
-def neighbour_graph(points: DataFrame, n: int, k: int = NEIGHBOURS, tables: range = range(TABLES),
-                    rounds: int = ROUNDS, start: DataFrame | None = None) -> DataFrame:
-    """The lists (p, q, sim) after NN-descent from the first graph (and ``start``)."""
-    fresh = first_graph(points, n, tables, k).withColumn("old", F.lit(False))
-    if start is not None:
-        fresh = fresh.unionByName(start.select("p", "q", "sim", F.lit(True).alias("old")))
-    lists = cut_lineage(_best(fresh, k).drop("rank"))
-    for _ in range(rounds):
-        found = descend(points, lists, k).withColumn("old", F.lit(False))
-        lists = cut_lineage(_best(lists.withColumn("old", F.lit(True)).unionByName(found), k).drop("rank"))
-        if lists.where(~F.col("old")).count() <= FEW_CHANGES * n * k:
+                u, w = np.nonzero(foreign & (sim >= min_cosine))
+                _, one = np.unique(np.stack([np.minimum(label[u], label[w]), np.maximum(label[u], label[w])]), axis=1, return_index=True)
+                u, w = u[one], w[one]
+                a += [ids[x], ids[u]]
+                b += [ids[y], ids[w]]
+                s += [sim[x, y], sim[u, w]]
+                t += [np.zeros(len(x), bool), np.ones(len(u), bool)]
+            yield _table([a, b, s, t], ["p", "q", "sim", "forest"], [pa.int64(), pa.int64(), pa.float64(), pa.bool_()])
+
+    return met.mapInArrow(improved, FOUND)
+
+
+def joined(lists: DataFrame, labels: DataFrame | None, min_cosine: float = MIN_COSINE) -> tuple[DataFrame, int]:
+    """The components (node, component) with the links of ``lists`` between them,
+    and the number of components that were joined to another."""
+    links = lists.where(F.col("foreign") & (F.col("sim") >= min_cosine)).select(F.col("p").alias("a"), F.col("q").alias("b"))
+    if labels is None:
+        found = cut_lineage(components(links))
+        return found, found.count()
+    links = _labelled(_labelled(links, labels, "a", "ca"), labels, "b", "cb")
+    links = cut_lineage(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b").distinct())
+    if not links.head(1):
+        return labels, 0
+    moved = cut_lineage(components(links))
+    # a component's own name is no node of it
+    kept = labels.join(moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+    kept = kept.select("node", F.coalesce("to", "component").alias("component"))
+    return cut_lineage(kept.unionByName(moved)), moved.count()
+
+
+def neighbour_graph(points: DataFrame, n: int, k: int = NEIGHBOURS, tables: range = range(TABLES), rounds: int = ROUNDS,
+                    start: tuple[DataFrame, DataFrame] | None = None, min_cosine: float = MIN_COSINE) -> tuple[DataFrame, DataFrame]:
+    """The lists (p, q, sim, ...) and components (node, component) after NN-descent
+    from the first graph (and ``start``, lists and components)."""
+    lists, labels = start or (None, None)
+    fresh = first_graph(points, n, tables, k, min_cosine).withColumn("old", F.lit(False))
+    if lists is not None:
+        fresh = fresh.unionByName(lists.select("p", "q", "sim", "forest", F.lit(True).alias("old")))
+    lists = cut_lineage(_best(fresh, k, labels))
+    labels, new = joined(lists, labels, min_cosine)
+    turn = 0
+    while turn < rounds or new:
+        found = descend(points, lists, k, labels, min_cosine).withColumn("old", F.lit(False))
+        both = lists.withColumn("old", F.lit(True)).select("p", "q", "sim", "forest", "old").unionByName(found)
+        lists = cut_lineage(_best(both, k, labels))
+        labels, new = joined(lists, labels, min_cosine)
+        turn += 1
+        if not new and lists.where(~F.col("old")).count() <= FEW_CHANGES * n * k:
             break
-    return lists
+    return lists, labels
 
 
 def audit(points: DataFrame, found: DataFrame, min_cosine: float = MIN_COSINE, queries: int = AUDIT_POINTS) -> float:
@@ -268,12 +355,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     # numbered once written, so that the numbers stay
     points = cut_lineage(points.withColumn("p", F.monotonically_increasing_id()))
     n = points.count()
-    lists, found = None, None
+    graph, found = None, None
     for turn in range(AUDITS):
-        lists = neighbour_graph(points, n, k, range(turn * TABLES, (turn + 1) * TABLES), start=lists)
         # near the threshold, a single-precision slip cannot be told: sims are of doubles throughout
-        edges = lists.where(F.col("sim") >= min_cosine).select(F.col("p").alias("a"), F.col("q").alias("b"))
-        found = cut_lineage(components(edges))
+        graph = neighbour_graph(points, n, k, range(turn * TABLES, (turn + 1) * TABLES), start=graph, min_cosine=min_cosine)
+        found = graph[1]
         if audit(points, found, min_cosine) >= min_recall:
             break
     labelled = points.select("p", "least_id", "copies").join(found, points.p == found.node, "left").select(

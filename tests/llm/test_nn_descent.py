@@ -67,3 +67,17 @@ def test_audit(spark):
 
 def test_empty(spark):
     assert nn_descent.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_touching_groups_larger_than_a_list(spark):
+    """Two groups of more than K near-copies: every list is filled by its own
+    group, and the links between the groups still count."""
+    r = np.random.default_rng(3)
+    a, b = np.linalg.qr(r.standard_normal((64, 2)))[0].T
+    centres = [a, 0.97 * a + math.sqrt(1 - 0.97 ** 2) * b]
+    rows = [(i, (centres[i % 2] + 0.0125 * r.standard_normal(64)).astype(np.float32).tolist(), 0) for i in range(400)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, p int").repartition(3)
+    got = sorted((tuple(x) for x in nn_descent.near_duplicates(vectors).collect()), key=repr)
+    want = brute(rows)
+    assert {c for _, _, c, _ in want} == {0} and min(n for _, n, _, _ in want) > 199
+    assert got == want
