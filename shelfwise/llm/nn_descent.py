@@ -13,8 +13,11 @@
    pass the threshold is saturated, so a list holds also the K nearest outside the
    point's component as known so far, and rounds go on while they join components:
    at the end no entry outside a point's component passes.
-4. Audit: the links of a bounded set of query points are found by comparing them
-   with all points; while the graph has too few of them, further tables are added.
+4. Audit: every hundredth point (more of a small table, and ten times as many while
+   they have fewer than ``MIN_LINKS`` links) is compared with all points, block by
+   block.  Links that the graph lacks are added to it; while it has too few of them,
+   it is searched again with further tables and lists twice as long, and audited on
+   other points.  If that does not suffice, all points are asked, which is exact.
 5. Edges at or above the threshold, in double precision, give components.  Lists
    are enlarged to the point's component, block by block, without writing pairs: a
    task compares two blocks and returns numbers of links.
@@ -46,10 +49,14 @@ LEAF_MOST = 64
 ROUNDS = 4
 #: The descent ends when fewer than this share of list entries are new.
 FEW_CHANGES = 0.02
+#: The audit asks one point in ASK_OF, of a small table AUDIT_POINTS or more.
+ASK_OF = 100
 AUDIT_POINTS = 512
+MIN_LINKS = 400
 MIN_RECALL = 0.98
 AUDITS = 3
 BLOCK = 2048
+ASK_BLOCK = 4096
 #: Pairs that a task finds; ``forest``: kept whatever the lists hold.
 FOUND = "p long, q long, sim double, forest boolean"
 SEED = 42
@@ -239,7 +246,13 @@ def joined(lists: DataFrame, labels: DataFrame | None, min_cosine: float = MIN_C
         found = cut_lineage(components(links))
         return found, found.count()
     links = _labelled(_labelled(links, labels, "a", "ca"), labels, "b", "cb")
-    links = cut_lineage(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b").distinct())
+    return merged(labels, links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+
+
+def merged(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
+    """``labels`` (node, component) with the components of each pair (a, b) made one,
+    and the number of components that were joined to another."""
+    links = cut_lineage(links.where("a <> b").distinct())
     if not links.head(1):
         return labels, 0
     moved = cut_lineage(components(links))
@@ -271,39 +284,65 @@ def neighbour_graph(points: DataFrame, n: int, k: int = NEIGHBOURS, tables: rang
     return lists, labels
 
 
-def audit(points: DataFrame, found: DataFrame, min_cosine: float = MIN_COSINE, queries: int = AUDIT_POINTS) -> float:
-    """The share of the links of ``queries`` points, compared with all points, that
-    lie within a component of ``found`` (node, component)."""
-    chosen = points.orderBy(F.xxhash64("p", F.lit(SEED)), "p").limit(queries)
-    asked = [(r["p"], r["v"]) for r in chosen.select("p", "v").collect()]  # a stated, bounded set
-    if not asked:
-        return 1.0
-    by_dim: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for dim in {len(v) for _, v in asked}:
-        same = [(p, v) for p, v in asked if len(v) == dim]
-        by_dim[dim] = np.array([p for p, _ in same]), _unit(np.array([v for _, v in same], dtype=np.float64))
+def asked_links(points: DataFrame, found: DataFrame, asked: Column, n: int, n_asked: int, min_cosine: float = MIN_COSINE,
+                block: int = ASK_BLOCK) -> tuple[int, int, DataFrame]:
+    """The number of links of the points where ``asked``, how many of them lie within
+    a component of ``found`` (node, component), and the pairs of components (a, b)
+    that the others join.
+
+    Blocks of asked points meet blocks of all points; a task returns two numbers and
+    the pairs of components."""
+    n_left, n_right = max(1, -(-n_asked // block)), max(1, -(-n // block))
+    named = _labelled(points.select("p", "v", asked.alias("asked")), found, "p", "c").withColumn("dim", F.size("v"))
+    left = F.pmod(F.xxhash64("p", F.lit(3)), F.lit(n_left)).cast("int")
+    right = F.pmod(F.xxhash64("p", F.lit(5)), F.lit(n_right)).cast("int")
+    asking = named.where("asked").select("dim", left.alias("x"), F.explode(F.sequence(F.lit(0), F.lit(n_right - 1))).alias("y"), "p", "v", "c", F.lit(1).alias("asks"))
+    others = named.select("dim", F.explode(F.sequence(F.lit(0), F.lit(n_left - 1))).alias("x"), right.alias("y"), "p", "v", "c", F.lit(0).alias("asks"))
+    met = asking.unionByName(others).groupBy("dim", "x", "y").agg(F.collect_list(F.struct("p", "v", "c", "asks")).alias("points")).select("points")
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, vectors = batch.column(0).to_numpy(), batch.column(1)
-            dims, a, b = np.diff(vectors.offsets.to_numpy()), [], []
-            for dim, (q, unit) in by_dim.items():
-                at = np.flatnonzero(dims == dim)
-                if len(at):
-                    own = _unit(vectors.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), dim))
-                    x, y = np.nonzero(own @ unit.T >= min_cosine)
-                    keep = ids[at][x] != q[y]
-                    a.append(ids[at][x][keep])
-                    b.append(q[y][keep])
-            yield _table([a, b], ["p", "q"], [pa.int64(), pa.int64()])
-
-    true = points.select("p", "v").mapInArrow(links, "p long, q long")
-    named = found.withColumnRenamed("node", "p").withColumnRenamed("component", "c")
-    true = true.join(named, "p", "left").withColumn("pc", F.coalesce("c", "p")).drop("c")
-    named = named.withColumnRenamed("p", "q")
-    true = true.join(named, "q", "left").withColumn("qc", F.coalesce("c", "q"))
-    n = true.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("pc") == F.col("qc")).cast("long")).alias("hit")).first()
-    return n["hit"] / n["n"] if n["n"] else 1.0
+            for points, unit in _groups(batch):
+                ids, label, asks = _numbers(points, "p"), _numbers(points, "c"), _numbers(points, "asks") > 0
+                mine, rest, count, hit, missed = np.flatnonzero(asks), np.flatnonzero(~asks), 0, 0, set()
+                for at in range(0, len(rest), 512):
+                    own = rest[at:at + 512]
+                    linked = (unit[mine] @ unit[own].T >= min_cosine) & (ids[mine][:, None] != ids[own][None, :])
+                    apart = linked & (label[mine][:, None] != label[own][None, :])
+                    lost = int(apart.sum())
+                    count, hit = count + int(linked.sum()), hit + int(linked.sum()) - lost
+                    if lost:
+                        x, y = np.nonzero(apart)
+                        missed.update(zip(label[mine[x]].tolist(), label[own[y]].tolist()))
+                # the numbers, as a loop at point 0
+                rows = [(0, 0, count, hit), *[(a, b, 0, 0) for a, b in missed]]
+                yield _table([[np.array(c, dtype=np.int64)] for c in zip(*rows)], ["a", "b", "n", "hit"], [pa.int64()] * 4)
+
+    out = cut_lineage(met.mapInArrow(links, "a long, b long, n long, hit long"))
+    told = out.agg(F.sum("n").alias("n"), F.sum("hit").alias("hit")).first()
+    return told["n"] or 0, told["hit"] or 0, out.where("a <> b").select("a", "b")
+
+
+def audit(points: DataFrame, found: DataFrame, min_cosine: float = MIN_COSINE, queries: int = AUDIT_POINTS, min_links: int = MIN_LINKS) -> float:
+    """The share of links that lie within a component of ``found`` (node, component),
+    as ``audited`` tells it."""
+    return audited(points, found, min_cosine, queries, min_links)[1]
+
+
+def audited(points: DataFrame, found: DataFrame, min_cosine: float = MIN_COSINE, queries: int = AUDIT_POINTS, min_links: int = MIN_LINKS,
+            turn: int = 0, ask_of: int = ASK_OF) -> tuple[DataFrame, float, bool]:
+    """``found`` with the links that the audit met, the share of links that it had
+    before, and whether all points were asked (then no link is missing).  Fewer than
+    ``min_links`` links tell nothing: more points are asked then."""
+    n = points.count()
+    of = max(1, min(ask_of, n // max(1, queries)))
+    while True:
+        asked = F.pmod(F.xxhash64("p", F.lit(SEED + turn)), F.lit(of)) == 0
+        links, hit, missed = asked_links(points, found, asked, n, -(-n // of), min_cosine)
+        if links >= min_links or of == 1:
+            break
+        of = max(1, of // 10)
+    return merged(found, missed)[0], hit / links if links else 1.0, of == 1
 
 
 def link_counts(points: DataFrame, labelled: DataFrame, min_cosine: float = MIN_COSINE, block: int = BLOCK) -> DataFrame:
@@ -358,10 +397,13 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     graph, found = None, None
     for turn in range(AUDITS):
         # near the threshold, a single-precision slip cannot be told: sims are of doubles throughout
-        graph = neighbour_graph(points, n, k, range(turn * TABLES, (turn + 1) * TABLES), start=graph, min_cosine=min_cosine)
-        found = graph[1]
-        if audit(points, found, min_cosine) >= min_recall:
+        graph = neighbour_graph(points, n, k << turn, range(turn * TABLES, (turn + 1) * TABLES), start=graph, min_cosine=min_cosine)
+        found, recall, whole = audited(points, graph[1], min_cosine, turn=turn)
+        if whole or recall >= min_recall:
             break
+        graph = graph[0], found
+    else:
+        found = audited(points, found, min_cosine, ask_of=1)[0]
     labelled = points.select("p", "least_id", "copies").join(found, points.p == found.node, "left").select(
         "p", "least_id", "copies", F.coalesce("component", "p").alias("component"))
     least = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))

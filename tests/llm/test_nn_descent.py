@@ -81,3 +81,27 @@ def test_touching_groups_larger_than_a_list(spark):
     want = brute(rows)
     assert {c for _, _, c, _ in want} == {0} and min(n for _, n, _, _ in want) > 199
     assert got == want
+
+
+def test_audit_finds_what_the_graph_lacks(spark, monkeypatch):
+    """Without any table the graph is empty; one link among 1,202 points is still
+    found, as too few links for a recall have more points asked."""
+    monkeypatch.setattr(nn_descent, "TABLES", 0)
+    r = np.random.default_rng(8)
+    rows = [(i, r.standard_normal(24).astype(np.float32).tolist(), 0) for i in range(1201)]
+    rows.append((5000, (np.array(rows[700][1]) + 0.01).tolist(), 0))
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, p int")
+    got = {x.vec_id: (x.n_links, x.component_id) for x in nn_descent.near_duplicates(vectors).collect()}
+    assert got == {i: (int(i in (700, 5000)), 700 if i == 5000 else i) for i, _, _ in rows}
+
+
+def test_low_recall_is_never_returned(spark, monkeypatch):
+    """Where no turn reaches the recall, all points are asked."""
+    monkeypatch.setattr(nn_descent, "TABLES", 0)
+    monkeypatch.setattr(nn_descent, "AUDITS", 1)
+    monkeypatch.setattr(nn_descent, "AUDIT_POINTS", 8)
+    monkeypatch.setattr(nn_descent.audited, "__defaults__", (0.95, 8, 1, 0, 100))
+    rows = [(i, v, 0) for i, (_, v, _) in enumerate(_rows())]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, p int")
+    got = sorted((tuple(x) for x in nn_descent.near_duplicates(vectors).collect()), key=repr)
+    assert got == brute([(i, [float(np.float32(x)) for x in v], p) for i, v, p in rows])
