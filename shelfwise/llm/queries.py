@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import (html_extraction, mixing, nn_descent, packing, pii, quality_classifier, quality_rules, simhash, toxicity,
-                           warc)
+from shelfwise.llm import (conversations, hard_negatives, html_extraction, licenses, mixing, nn_descent, packing, pii,
+                           quality_classifier, quality_rules, simhash, toxicity, warc)
 from shelfwise.llm.common import bound_batches
 from shelfwise.sources.fixtures import table
 
@@ -84,3 +84,23 @@ def op1_html(spark, sf_dir):
 @query
 def op7_nn_descent(spark, sf_dir):
     return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    rows = hard_negatives.relabelled(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+ORACLE_SQL["op11_hard_negatives"] = hard_negatives.ORACLE
+
+
+@query
+def op12_licenses(spark, sf_dir):
+    return licenses.license_digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_conversations(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair_all(rows, conversations.damaged(rows))
