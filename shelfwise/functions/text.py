@@ -2,11 +2,17 @@
 
 ``ratio(a, b)`` is ``round(100 * 2 * LCS(a, b) / (|a| + |b|))`` with
 round-half-to-even, 0 when either side is empty: the indel similarity.
-``partial_ratio`` takes the best ratio of the shorter string against every
-window of its length in the longer one; it inspects every window, so it can
-score above a library that tries only windows aligned with matching blocks.
-``weighted_ratio`` approximates the default scorer of common libraries on
-processed text (token-set terms omitted).  Both are documented approximations.
+``partial_ratio`` compares the shorter string with windows of the longer one.  The
+two are taken apart into matching blocks: the longest common stretch (the earliest of
+several, in the shorter string first), then the same left and right of it.  A window
+starts where a block, moved to the beginning of the shorter string, would start; one
+more ends with the longer string.  A window has the shorter string's length or ends
+with the longer one.  The best ratio counts.  Of strings of equal length the text is
+the shorter one, in ``weighted_ratio`` the query.
+``weighted_ratio`` is the best of the ratio and, by how far the lengths lie apart, the
+sorted-token and token-set ratios (x0.95) or their window forms and the window ratio
+(x0.9, x0.6 beyond a factor 8).  The token set form compares the common words, and
+these with each side's own words, all sorted and once each.
 
 The longest common subsequence is bit-parallel: ``V`` starts as ones over the
 pattern's length and every text character with position mask ``M`` does
@@ -19,6 +25,7 @@ no common subsequence is longer than the number of characters in common.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -105,36 +112,77 @@ def ratio_scores(query: str, texts: Texts) -> np.ndarray:
     return out
 
 
-def partial_scores(query: str, texts: Texts) -> np.ndarray:
-    """F1b of the query with every text."""
+def block_starts(short: str, long: str) -> list[int]:
+    """Where the windows of ``long`` start that ``partial_ratio`` looks at."""
+    blocks = SequenceMatcher(None, short, long, autojunk=False).get_matching_blocks()  # the last one is empty, at both ends
+    return sorted({max(0, b.b - b.a) for b in blocks})
+
+
+def _best_aligned(short: str, long: str, windows: np.ndarray) -> float:
+    return max(windows[at] for at in block_starts(short, long) if at < len(windows))
+
+
+def partial_scores(query: str, texts: Texts, least: int = 0, query_first: bool = False) -> np.ndarray:
+    """F1b of the query with every text; scores below ``least`` may come out higher
+    than they are, but below ``least``.
+
+    The ratios of all windows are computed first, for many texts at once.  The best of
+    all bounds the score, and is the score where it is 1; only texts between are taken
+    apart into blocks."""
     out, m = np.zeros(len(texts.length), dtype=np.int64), len(query)
     if not m:
         return out
-    rows = np.flatnonzero(texts.length >= m)
+    rows = np.flatnonzero(texts.length >= m + (not query_first))
     if len(rows):
         some = texts.take(rows)
-        masks, best = _masks(query, some.codes), np.zeros(len(rows), dtype=np.int64)
-        for at in range(some.codes.shape[1] - m + 1):
-            live = np.flatnonzero((some.length >= at + m) & (best < m))
+        masks, windows = _masks(query, some.codes), np.zeros(some.codes.shape)
+        for at in range(some.codes.shape[1]):
+            live = np.flatnonzero((some.length > at) & (windows[:, :at].max(axis=1, initial=0) < 1))
             if not len(live):
                 break
-            best[live] = np.maximum(best[live], _lcs(query, masks[:, live, at:at + m]))
-        out[rows] = _percent(2 * best, 2 * m)
-    for row in np.flatnonzero((texts.length < m) & (texts.length > 0)):
+            size = np.minimum(m, some.length[live] - at)
+            windows[live, at] = 2.0 * _lcs(query, masks[:, live, at:at + m]) / (m + size)
+        best = windows.max(axis=1)
+        for i in np.flatnonzero((best < 1) & (np.rint(100 * best) >= least)):
+            best[i] = _best_aligned(query, some.strings[i], windows[i, :some.length[i]])
+        out[rows] = np.rint(100 * best).astype(np.int64)
+    for row in np.flatnonzero((texts.length < m + (not query_first)) & (texts.length > 0)):
         short = texts.strings[row]
-        windows = Texts([query[i:i + len(short)] for i in range(m - len(short) + 1)])
-        out[row] = _percent(2 * lcs(short, windows), 2 * len(short)).max()
+        cut = Texts([query[i:i + len(short)] for i in range(m)])
+        windows = 2.0 * lcs(short, cut) / (len(short) + cut.length)
+        best = windows.max()
+        if best < 1 and np.rint(100 * best) >= least:
+            best = _best_aligned(short, query, windows)
+        out[row] = int(np.rint(100 * best))
     return out
 
 
 def token_sort(text: str) -> str:
     """The words sorted and joined by single spaces."""
-    return " ".join(sorted(t for t in text.split(" ") if t))
+    return " ".join(sorted(text.split()))
+
+
+def _joined_set(words: set[str]) -> str:
+    return " ".join(sorted(words))
+
+
+def token_set_score(query: str, text: str, windows: bool = False) -> int:
+    """The best ratio (window ratio) of two among: the common words; these and the
+    query's own words; these and the text's own words."""
+    a, b = set(query.split()), set(text.split())
+    shared = _joined_set(a & b)
+    if shared and windows:
+        return 100  # the common words begin the other two strings
+    own = [" ".join(x for x in (shared, _joined_set(one - other)) if x) for one, other in ((a, b), (b, a))]
+    pairs = [(own[0], own[1])] + [(shared, x) for x in own if shared]
+    if windows:
+        return max(int(partial_scores(x, Texts([y]), query_first=True)[0]) for x, y in pairs)
+    return max(int(ratio_scores(x, Texts([y]))[0]) for x, y in pairs)
 
 
 def weighted_scores(query: str, texts: Texts) -> np.ndarray:
-    """the best of the ratio and, scaled, the sorted-token ratio (lengths
-    within a factor 1.5) or the window ratios (x0.9, x0.6 beyond a factor 8)."""
+    """the best of the ratio and, scaled, the token ratios (lengths within a
+    factor 1.5) or the window ratios (x0.9, x0.6 beyond a factor 8)."""
     out, m = np.zeros(len(texts.length), dtype=np.int64), len(query)
     rows = np.flatnonzero((texts.length > 0) & (m > 0))
     if not len(rows):
@@ -142,16 +190,17 @@ def weighted_scores(query: str, texts: Texts) -> np.ndarray:
     some, sorted_query = texts.take(rows), token_sort(query)
     factor = np.maximum(some.length, m) / np.minimum(some.length, m)
     best = ratio_scores(query, some).astype(np.float64)
+    sets = lambda at, windows: np.array([token_set_score(query, some.strings[i], windows) for i in at], dtype=np.float64)
     near = np.flatnonzero(factor < 1.5)
     if len(near):
         tokens = Texts([token_sort(some.strings[i]) for i in near])
-        best[near] = np.maximum(best[near], ratio_scores(sorted_query, tokens) * 0.95)
+        best[near] = np.maximum(best[near], np.maximum(ratio_scores(sorted_query, tokens), sets(near, False)) * 0.95)
     far = np.flatnonzero(factor >= 1.5)
     if len(far):
         scale = np.where(factor[far] > 8, 0.6, 0.9)
         tokens = Texts([token_sort(some.strings[i]) for i in far])
-        best[far] = np.maximum(best[far], np.maximum(partial_scores(query, some.take(far)) * scale,
-                                                     partial_scores(sorted_query, tokens) * 0.95 * scale))
+        token_best = np.maximum(partial_scores(sorted_query, tokens, query_first=True), sets(far, True))
+        best[far] = np.maximum(best[far], np.maximum(partial_scores(query, some.take(far), query_first=True) * scale, token_best * 0.95 * scale))
     out[rows] = np.rint(best).astype(np.int64)
     return out
 
@@ -169,19 +218,25 @@ def scorer(name: str) -> Callable[[str, Texts], np.ndarray]:
 def matches(name: str, query: str, texts: Texts, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and scores of the texts that score at least ``threshold``.
 
-    Exact: 100 * (characters in common) / (length of the shorter side, or half of
-    both for the ratio) bounds the score, and only texts whose bound reaches the
-    threshold are scored."""
+    Exact: the characters in common bound the score, and only texts whose bound
+    reaches the threshold are scored."""
     score = scorer(name)
     if threshold <= 0:
         return np.arange(len(texts.length)), score(query, texts)
-    if name == "weighted_ratio":  # sorted tokens may have fewer spaces than the text
-        words = texts.length - (texts.codes == ord(" ")).sum(axis=1)
-        size = np.maximum(1, np.minimum(len(query.replace(" ", "")), words))
+    common = texts.in_common(query)
+    shared = np.zeros(len(texts.length), dtype=bool)
+    if name == "weighted_ratio":  # sorted words have fewer spaces, sets of words each word once
+        own = set(query.split())
+        sets = [set(t.split()) for t in texts.strings]
+        shared = np.array([not own.isdisjoint(x) for x in sets], dtype=bool)  # common words alone may reach 95
+        words = np.array([sum(map(len, x)) for x in sets], dtype=np.int64)
+        short = np.minimum(sum(map(len, own)), words)
     else:
-        size = (len(query) + texts.length) / 2 if name == "ratio" else np.minimum(len(query), texts.length)
-    rows = np.flatnonzero((texts.length > 0) & (len(query) > 0) & (100.0 * texts.in_common(query) + 0.5 * size >= threshold * size))
-    found = score(query, texts.take(rows))
+        short = np.minimum(len(query), texts.length)
+    # a window may end with the longer string, and be as short as the characters in common
+    size = (len(query) + texts.length) / 2 if name == "ratio" else np.maximum(1, short + np.minimum(common, short)) / 2
+    rows = np.flatnonzero((texts.length > 0) & (len(query) > 0) & (shared | (100.0 * common + 0.5 * size >= threshold * size)))
+    found = score(query, texts.take(rows), threshold) if name == "partial_ratio" else score(query, texts.take(rows))
     keep = found >= threshold
     return rows[keep], found[keep]
 
@@ -208,7 +263,8 @@ def partial_ratio(a: Column | str, b: Column | str) -> Column:
 
 
 def normalise(c: Column | str) -> Column:
-    """Default processing of the search library: non-word characters become
-    spaces, lower case, trimmed."""
+    """Default processing of the search library: characters U+0080 to U+00FF are left
+    out, every other character that is no letter, digit or underscore becomes a space;
+    lower case, trimmed."""
     col = c if isinstance(c, Column) else F.col(c)
-    return F.trim(F.regexp_replace(F.lower(col), r"(?U)[^\w]+", " "))
+    return F.trim(F.lower(F.regexp_replace(F.regexp_replace(col, r"[\u0080-\u00FF]", ""), r"(?U)\W", " ")))

@@ -10,7 +10,7 @@ from shelfwise.operators import analytics, hybrid, prepare, recommend, search
 from shelfwise.plans.content import book_metadata, catalog_of
 from shelfwise.plans.registry import register
 from shelfwise.plans.search import _TITLES, _WORDS, title_words
-from shelfwise.plans.sql_common import CELLS, FEATURES, INTERACTIONS, META as META_ONLY, UNIT, content_knn_sql, duck_partial, knn_sql
+from shelfwise.plans.sql_common import CELLS, FEATURES, INTERACTIONS, META as META_ONLY, UNIT, content_knn_sql, knn_sql, partial_ctes
 from shelfwise.session import cut_lineage
 from shelfwise.sources import fixtures
 
@@ -154,7 +154,7 @@ def title_hybrid_sql(weights, n, n_cand) -> str:
   {UNIT}, {FEATURES}, {_TITLES}, {_WORDS},
   wq AS (SELECT query, CAST(ROW_NUMBER() OVER (ORDER BY query) - 1 AS BIGINT) AS query_id FROM words),
   spairs AS (SELECT w.query_id, lower(w.query) AS a, t.title, t.item_id, lower(t.title) AS b FROM wq w, titles t),
-  sscored AS (SELECT query_id, item_id, {duck_partial("a", "b")} AS score FROM spairs),
+  {partial_ctes("spairs", "sscored", SEARCH_THRESHOLD)},
   best AS (SELECT query_id, item_id FROM (
              SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS r
              FROM sscored WHERE score >= {SEARCH_THRESHOLD}) WHERE r = 1),
@@ -194,7 +194,7 @@ SWEEP_SQL = title_hybrid_sql(SWEEP_WEIGHTS, SWEEP_N, SWEEP_CANDIDATES) + """,
 
 
 @register("sweep_list_metrics", "R11 A21 A22 A23 Q36 Q37", f"""
-WITH {SWEEP_SQL}
+WITH RECURSIVE {SWEEP_SQL}
 SELECT * FROM lm
 """)
 def q_sweep_list_metrics(spark, sf_dir):
@@ -202,7 +202,7 @@ def q_sweep_list_metrics(spark, sf_dir):
 
 
 @register("sweep_summary", "A26 A27", f"""
-WITH {SWEEP_SQL},
+WITH RECURSIVE {SWEEP_SQL},
 means AS (SELECT recommender, ROUND(AVG(mean_score), 3) AS mean_score, ROUND(AVG(genre_uniqueness), 3) AS genre_uniqueness,
                  ROUND(AVG(coverage), 3) AS coverage, ROUND(AVG(novelty), 3) AS novelty FROM lm GROUP BY recommender),
 t AS (SELECT recommender, 'mean_score' AS metric, mean_score AS value FROM means UNION ALL
@@ -218,7 +218,7 @@ def q_sweep_summary(spark, sf_dir):
 
 
 @register("sweep_genre_diversity", "A19 J16 T4", f"""
-WITH {SWEEP_SQL},
+WITH RECURSIVE {SWEEP_SQL},
 gl AS (SELECT r.recommender, r.query_id, r.rank, list_distinct(g.genres) AS g FROM recs r JOIN genres g USING (item_id)),
 d AS (SELECT a.recommender, a.query_id,
              1.0 - len(list_intersect(a.g, b.g)) / CAST(len(list_distinct(list_concat(a.g, b.g))) AS DOUBLE) AS d
@@ -234,7 +234,7 @@ def q_sweep_genre_diversity(spark, sf_dir):
 
 
 @register("sweep_genre_counts", "A20", f"""
-WITH {SWEEP_SQL},
+WITH RECURSIVE {SWEEP_SQL},
 gc AS (SELECT r.recommender, r.query_id, trim(x.g) AS genre, CAST(COUNT(*) AS BIGINT) AS n
        FROM recs r JOIN (SELECT item_id, unnest(genres) AS g FROM genres) x USING (item_id)
        GROUP BY r.recommender, r.query_id, trim(x.g))
@@ -247,7 +247,7 @@ def q_sweep_genre_counts(spark, sf_dir):
 
 
 @register("sweep_filtered", "P14 J12 Q30", f"""
-WITH {SWEEP_SQL}
+WITH RECURSIVE {SWEEP_SQL}
 SELECT r.recommender, r.query_id, CAST(r.rank AS BIGINT) AS rank, r.item_id, ROUND(r.score, 6) AS score, ROUND(r.collab_score, 6) AS collab_score,
        ROUND(r.content_score, 6) AS content_score
 FROM recs r LEFT JOIN meta m USING (item_id)
@@ -261,7 +261,7 @@ def q_sweep_filtered(spark, sf_dir):
 
 
 @register("sweep_score_breakdown", "P15 P17 P19", f"""
-WITH {SWEEP_SQL}
+WITH RECURSIVE {SWEEP_SQL}
 SELECT recommender, query_id, CAST(rank AS BIGINT) AS rank, item_id, ROUND(collab_score * 100, 6) AS collab_pct,
        ROUND(content_score * 100, 6) AS content_pct
 FROM recs WHERE rank <= 10
@@ -290,7 +290,7 @@ FROM {lists} r JOIN wq w USING (query_id) LEFT JOIN part p ON p.p_partkey = r.it
 
 
 @register("recommend_by_title", "R7 F2 J6 J12 P16 R3", f"""
-WITH {title_hybrid_sql([(0.6, 0.4)], 5, 15)}
+WITH RECURSIVE {title_hybrid_sql([(0.6, 0.4)], 5, 15)}
 {_TITLED.format(lists="recs", score="r.score", collab="r.collab_score", content="r.content_score",
                 more=", m.authors, array_to_string(string_split(m.shelves, ',')[1:3], ', ') AS top_shelves")}
 LEFT JOIN meta m ON m.item_id = r.item_id
@@ -302,7 +302,7 @@ def q_recommend_by_title(spark, sf_dir):
 
 
 @register("recommend_by_title_collaborative", "R7 P17", f"""
-WITH {title_hybrid_sql([(0.6, 0.4)], 5, 15)},
+WITH RECURSIVE {title_hybrid_sql([(0.6, 0.4)], 5, 15)},
 lists AS (SELECT b.query_id, k.neighbor_id AS item_id, k.rank, k.similarity FROM best b JOIN knn k ON k.item_id = b.item_id WHERE k.rank <= 5)
 {_TITLED.format(lists="lists", score="r.similarity", collab="r.similarity", content="0.0", more="")}
 """)
@@ -311,7 +311,7 @@ def q_recommend_by_title_collaborative(spark, sf_dir):
 
 
 @register("recommend_by_title_content", "R7 P17", f"""
-WITH {title_hybrid_sql([(0.6, 0.4)], 5, 15)},
+WITH RECURSIVE {title_hybrid_sql([(0.6, 0.4)], 5, 15)},
 lists AS (SELECT b.query_id, k.neighbor_id AS item_id, k.rank, k.similarity FROM best b JOIN cknn k ON k.item_id = b.item_id WHERE k.rank <= 5)
 {_TITLED.format(lists="lists", score="r.similarity", collab="0.0", content="r.similarity", more="")}
 """)
@@ -320,7 +320,7 @@ def q_recommend_by_title_content(spark, sf_dir):
 
 
 @register("sweep_filter_stats", "A24 P14", f"""
-WITH {SWEEP_SQL},
+WITH RECURSIVE {SWEEP_SQL},
 kept AS (SELECT r.* FROM recs r LEFT JOIN meta m USING (item_id)
          WHERE (m.average_rating IS NULL OR m.average_rating = 0 OR m.average_rating >= 2.5)
            AND (m.publication_year IS NULL OR m.publication_year = 0 OR m.publication_year <= 1993))
@@ -335,7 +335,7 @@ def q_sweep_filter_stats(spark, sf_dir):
 
 
 @register("sweep_pivot", "A25", f"""
-WITH {SWEEP_SQL},
+WITH RECURSIVE {SWEEP_SQL},
 t AS ({" UNION ALL ".join(f"SELECT recommender, query_id, '{m}' AS metric, {m} AS value FROM lm" for m in LIST_METRICS)})
 SELECT query_id, metric, {", ".join(f"MAX(value) FILTER (WHERE recommender = '{c}') AS {chr(34)}{c}{chr(34)}" for c in sorted(SWEEP_NAMES))}
 FROM t GROUP BY query_id, metric
@@ -345,7 +345,7 @@ def q_sweep_pivot(spark, sf_dir):
 
 
 @register("score_histogram", "A9", f"""
-WITH {SWEEP_SQL},
+WITH RECURSIVE {SWEEP_SQL},
 b AS (SELECT MIN(score) AS lo, MAX(score) AS hi FROM recs),
 binned AS (SELECT CAST(CASE WHEN b.hi = b.lo THEN 0 ELSE LEAST(FLOOR((r.score - b.lo) / ((b.hi - b.lo) / {analytics.SCORE_BINS})),
                        {analytics.SCORE_BINS - 1}) END AS INTEGER) AS bin, b.lo, (b.hi - b.lo) / {analytics.SCORE_BINS} AS width FROM recs r, b)
@@ -373,7 +373,7 @@ _CONFIGS = sorted(SWEEP_NAMES)
 
 
 @register("config_comparison", "R12", f"""
-WITH {SWEEP_SQL},
+WITH RECURSIVE {SWEEP_SQL},
 cells5 AS (SELECT r.query_id, r.rank, r.recommender,
                   COALESCE(p.p_name, 'Book ID: ' || CAST(r.item_id AS VARCHAR)) ||
                   CASE WHEN COALESCE(m.shelves, '') <> ''

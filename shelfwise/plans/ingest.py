@@ -15,7 +15,7 @@ from shelfwise.plans.content import book_metadata, catalog_of
 from shelfwise.plans.evaluation import HOLDOUTS_SQL, MIN_INTERACTIONS, N_USERS, SEED
 from shelfwise.plans.registry import register
 from shelfwise.plans.search import _TITLES, _WORDS, title_words
-from shelfwise.plans.sql_common import CELLS, FEATURES, INTERACTIONS, META, duck_weighted
+from shelfwise.plans.sql_common import CELLS, FEATURES, INTERACTIONS, META, weighted_ctes
 from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.sources import fixtures, readers
 
@@ -100,16 +100,16 @@ def q_holdout_positives(spark, sf_dir):
     return ev.holdout_positives(cells, ev.sample_holdouts(cells, N_USERS, MIN_INTERACTIONS, SEED))
 
 
-_PROC = "trim(regexp_replace(lower({x}), '[^\\w]+', ' ', 'g'))"
+_PROC = "trim(lower(regexp_replace(regexp_replace({x}, '[\\x{{80}}-\\x{{FF}}]', '', 'g'), '[^\\pL\\pM\\pN_]', ' ', 'g')))"
 
 
 @register("smart_search", "F4 L5", f"""
-WITH {_TITLES}, {_WORDS},
+WITH RECURSIVE {_TITLES}, {_WORDS},
 spairs AS (SELECT w.query, {_PROC.format(x="w.query")} AS a, t.title, t.item_id, {_PROC.format(x="t.title")} AS b
            FROM words w, titles t),
-sscored AS (SELECT query, title, item_id, {duck_weighted("a", "b")} AS score FROM spairs),
+{weighted_ctes("spairs", "sscored", 70)},
 ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY query ORDER BY score DESC, item_id) AS rank FROM sscored)
-SELECT query, CAST(rank AS BIGINT) AS rank, title, item_id, score FROM ranked WHERE rank <= 10 AND score >= 70
+SELECT query, CAST(rank AS BIGINT) AS rank, title, item_id, score FROM ranked WHERE rank <= 10
 """)
 def q_smart_search(spark, sf_dir):
     words = title_words(spark, sf_dir)

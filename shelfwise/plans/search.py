@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import search
 from shelfwise.plans.registry import register
-from shelfwise.plans.sql_common import INTERACTIONS, duck_partial, duck_ratio
+from shelfwise.plans.sql_common import INTERACTIONS, duck_ratio, partial_ctes
 from shelfwise.session import cut_lineage
 from shelfwise.sources import fixtures
 
@@ -32,33 +32,37 @@ _WORDS = ("words AS (SELECT DISTINCT query FROM (SELECT unnest(string_split(p_na
           "WHERE query <> '')")
 
 
-def _search_sql(score_sql: str, threshold: int, max_results: int) -> str:
+def _search_sql(scored: str, max_results: int, columns: str = "query, CAST(rank AS BIGINT) AS rank, title, item_id, score") -> str:
+    """``scored``: CTEs that give ``sscored``, the matches, from ``spairs``."""
     return f"""
-WITH {_TITLES}, {_WORDS},
+WITH RECURSIVE {_TITLES}, {_WORDS},
 spairs AS (SELECT w.query, lower(w.query) AS a, t.title, t.item_id, lower(t.title) AS b FROM words w, titles t),
-sscored AS (SELECT query, title, item_id, {score_sql} AS score FROM spairs),
-ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY query ORDER BY score DESC, item_id) AS rank
-           FROM sscored WHERE score >= {threshold})
-SELECT query, CAST(rank AS BIGINT) AS rank, title, item_id, score FROM ranked WHERE rank <= {max_results}
+{scored},
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY query ORDER BY score DESC, item_id) AS rank FROM sscored)
+SELECT {columns} FROM ranked WHERE rank <= {max_results}
 """
 
 
-@register("title_search", "F1 F1b J17 L5 Q28 Q29", _search_sql(duck_partial("a", "b"), THRESHOLD, MAX_RESULTS))
+def _partial_sql(threshold: int) -> str:
+    return partial_ctes("spairs", "pscored", threshold) + f", sscored AS (SELECT * FROM pscored WHERE score >= {threshold})"
+
+
+@register("title_search", "F1 F1b J17 L5 Q28 Q29", _search_sql(_partial_sql(THRESHOLD), MAX_RESULTS))
 def q_title_search(spark, sf_dir):
     titles = fixtures.title_table(spark, sf_dir)
     words = title_words(spark, sf_dir)
     return _with_text(words, search.search_titles(titles, words, THRESHOLD, MAX_RESULTS, "partial_ratio"))
 
 
-@register("title_search_ratio", "F1a", _search_sql(duck_ratio("a", "b"), 40, MAX_RESULTS))
+@register("title_search_ratio", "F1a", _search_sql(
+    f"sscored AS (SELECT * FROM (SELECT *, {duck_ratio('a', 'b')} AS score FROM spairs) WHERE score >= 40)", MAX_RESULTS))
 def q_title_search_ratio(spark, sf_dir):
     titles = fixtures.title_table(spark, sf_dir)
     words = title_words(spark, sf_dir)
     return _with_text(words, search.search_titles(titles, words, 40, MAX_RESULTS, "ratio"))
 
 
-@register("best_title_match", "F2 F3", _search_sql(duck_partial("a", "b"), 80, 1).replace(
-    "SELECT query, CAST(rank AS BIGINT) AS rank, title, item_id, score", "SELECT query, title, item_id, score"))
+@register("best_title_match", "F2 F3", _search_sql(_partial_sql(80), 1, "query, title, item_id, score"))
 def q_best_title_match(spark, sf_dir):
     titles = fixtures.title_table(spark, sf_dir)
     words = title_words(spark, sf_dir)
@@ -72,11 +76,11 @@ words AS (SELECT DISTINCT query FROM (SELECT array_to_string(string_split(title,
 
 
 @register("page_title_search", "F1 F1b J17 L5 Q28 Q29", f"""
-WITH {_PAGE_TITLES},
+WITH RECURSIVE {_PAGE_TITLES},
 spairs AS (SELECT w.query, lower(w.query) AS a, t.title, t.item_id, lower(t.title) AS b FROM words w, titles t),
-sscored AS (SELECT query, title, item_id, {duck_partial("a", "b")} AS score FROM spairs)
+{_partial_sql(70)}
 SELECT query, CAST(ROW_NUMBER() OVER (PARTITION BY query ORDER BY score DESC, item_id) AS BIGINT) AS rank, title, item_id, score
-FROM sscored WHERE score >= 70
+FROM sscored
 """)
 def q_page_title_search(spark, sf_dir):
     """Real titles, whose number grows with the data: all matches of three words of

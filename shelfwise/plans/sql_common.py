@@ -157,27 +157,89 @@ def duck_ratio(a: str, b: str) -> str:
             f"(CAST(2 * {duck_lcs(a, b)} AS DOUBLE) / CAST(len({a}) + len({b}) AS DOUBLE)), 0) AS INTEGER) END")
 
 
-def duck_partial(a: str, b: str) -> str:
-    s = f"(CASE WHEN len({a}) <= len({b}) THEN {a} ELSE {b} END)"
-    l_ = f"(CASE WHEN len({a}) <= len({b}) THEN {b} ELSE {a} END)"
-    best = f"list_max(list_transform(range(1, len({l_}) - len({s}) + 2), lambda pos: {duck_lcs(s, f'substr({l_}, pos::BIGINT, len({s}))')}))"
-    return (f"CASE WHEN len({a}) = 0 OR len({b}) = 0 THEN 0 ELSE CAST(round_even(CAST(100 AS DOUBLE) * "
-            f"(CAST(2 * {best} AS DOUBLE) / CAST(2 * len({s}) AS DOUBLE)), 0) AS INTEGER) END")
-
-
-def duck_token_sort(a: str) -> str:
-    return f"array_to_string(list_sort(list_filter(string_split({a}, ' '), lambda x: x <> '')), ' ')"
-
-
-def duck_weighted(a: str, b: str) -> str:
-    """DuckDB restatement of functions.text.weighted_ratio_sql."""
-    la, lb = f"len({a})", f"len({b})"
-    lr = f"(CAST(greatest({la}, {lb}) AS DOUBLE) / CAST(least({la}, {lb}) AS DOUBLE))"
-    scale = f"(CASE WHEN {lr} > 8 THEN CAST(0.6 AS DOUBLE) ELSE CAST(0.9 AS DOUBLE) END)"
-    ta, tb = duck_token_sort(a), duck_token_sort(b)
-    p95 = "CAST(0.95 AS DOUBLE)"
-    partial = (f"greatest(CAST({duck_ratio(a, b)} AS DOUBLE), {duck_partial(a, b)} * {scale}, "
-               f"{duck_partial(ta, tb)} * {p95} * {scale})")
-    full = f"greatest(CAST({duck_ratio(a, b)} AS DOUBLE), {duck_ratio(ta, tb)} * {p95})"
-    return (f"CASE WHEN {la} = 0 OR {lb} = 0 THEN 0 "
-            f"ELSE CAST(round_even(CASE WHEN {lr} < 1.5 THEN {full} ELSE {partial} END, 0) AS INTEGER) END")
+def duck_window_bound(a: str, b: str) -> str:
+    """The best rounded ratio over all windows of the longer string, those that it ends included."""
+    s = f"(CASE WHEN len({a}) < len({b}) THEN {a} ELSE {b} END)"
+    l_ = f"(CASE WHEN len({a}) < len({b}) THEN {b} ELSE {a} END)"
+    window = f"substr({l_}, pos::BIGINT, len({s}))"
+    best = (f"list_max(list_transform(range(1, len({l_}) + 1), lambda pos: "
+            f"CAST(2 * {duck_lcs(s, window)} AS DOUBLE) / CAST(len({s}) + len({window}) AS DOUBLE)))")
+    return f"CASE WHEN len({a}) = 0 OR len({b}) = 0 THEN 0 ELSE CAST(round_even(CAST(100 AS DOUBLE) * {best}, 0) AS INTEGER) END"
+
+
+def partial_ctes(pairs: str, out: str, least: int, a: str = "a", b: str = "b") -> str:
+    """CTEs (after WITH RECURSIVE) that give ``out``: the rows of ``pairs`` with ``score``,
+    the ratio of the best block-aligned window of the longer string.
+
+    Blocks are found relationally: equal characters make diagonal runs; of the runs,
+    clipped to a box, the longest (earliest in the shorter, then in the longer string)
+    is the block, and leaves a box before and one after it.  Pairs whose best window
+    of all is below ``least`` are left out."""
+    return f"""
+{out}_c AS (SELECT *, row_number() OVER () AS pid, CASE WHEN len({a}) < len({b}) THEN {a} ELSE {b} END AS s,
+                   CASE WHEN len({a}) < len({b}) THEN {b} ELSE {a} END AS l
+            FROM (SELECT *, {duck_window_bound(a, b)} AS bound FROM {pairs}) WHERE bound >= {least} AND len({a}) > 0 AND len({b}) > 0),
+{out}_i AS (SELECT pid, l, substr(s, (i + 1)::BIGINT, 1) AS ch, i FROM (SELECT pid, s, l, unnest(range(0, len(s))) AS i FROM {out}_c)),
+{out}_x AS (SELECT pid, i, j FROM (SELECT pid, l, ch, i, unnest(range(0, len(l))) AS j FROM {out}_i) WHERE substr(l, (j + 1)::BIGINT, 1) = ch),
+{out}_r AS (SELECT pid, j - i AS d, MIN(i) AS i0, COUNT(*) AS n
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY pid, j - i ORDER BY i) AS g FROM {out}_x) GROUP BY pid, j - i, g),
+{out}_b AS (
+  SELECT c.pid, 0::BIGINT AS alo, len(c.s)::BIGINT AS ahi, 0::BIGINT AS blo, len(c.l)::BIGINT AS bhi,
+         arg_max({{'n': r.n, 'i': r.i0, 'j': r.i0 + r.d}}, r.n * 100000000 - r.i0 * 10000 - (r.i0 + r.d)) AS k
+  FROM {out}_c c JOIN {out}_r r ON r.pid = c.pid GROUP BY c.pid, c.s, c.l
+  UNION ALL
+  SELECT x.pid, x.alo, x.ahi, x.blo, x.bhi, arg_max({{'n': x.n, 'i': x.ci, 'j': x.ci + x.d}}, x.n * 100000000 - x.ci * 10000 - (x.ci + x.d)) AS k
+  FROM (SELECT q.*, r.d, greatest(r.i0, q.alo, q.blo - r.d) AS ci,
+               least(r.i0 + r.n, q.ahi, q.bhi - r.d) - greatest(r.i0, q.alo, q.blo - r.d) AS n
+        FROM (SELECT o.pid, CASE WHEN side = 0 THEN o.alo ELSE o.k.i + o.k.n END AS alo, CASE WHEN side = 0 THEN o.k.i ELSE o.ahi END AS ahi,
+                     CASE WHEN side = 0 THEN o.blo ELSE o.k.j + o.k.n END AS blo, CASE WHEN side = 0 THEN o.k.j ELSE o.bhi END AS bhi
+              FROM {out}_b o, (VALUES (0), (1)) v(side)) q JOIN {out}_r r ON r.pid = q.pid
+        WHERE q.alo < q.ahi AND q.blo < q.bhi) x
+  WHERE x.n > 0 GROUP BY x.pid, x.alo, x.ahi, x.blo, x.bhi),
+{out}_w AS (SELECT pid, greatest(0, k.j - k.i) AS at FROM {out}_b UNION SELECT pid, len(l) - len(s) AS at FROM {out}_c),
+{out}_s AS (SELECT c.pid, MAX(CAST(2 * {duck_lcs('c.s', 'substr(c.l, (w.at + 1)::BIGINT, len(c.s))')} AS DOUBLE)
+                              / CAST(len(c.s) + len(substr(c.l, (w.at + 1)::BIGINT, len(c.s))) AS DOUBLE)) AS best
+            FROM {out}_c c JOIN {out}_w w USING (pid) GROUP BY c.pid),
+{out} AS (SELECT c.* EXCLUDE (pid, s, l, bound), CAST(round_even(CAST(100 AS DOUBLE) * z.best, 0) AS INTEGER) AS score
+          FROM {out}_c c JOIN {out}_s z USING (pid))"""
+
+
+def duck_words(a: str) -> str:
+    return f"list_filter(string_split({a}, ' '), lambda x: x <> '')"
+
+
+def duck_joined(words: str) -> str:
+    return f"array_to_string(list_sort({words}), ' ')"
+
+
+def weighted_ctes(pairs: str, out: str, least: int) -> str:
+    """CTEs (after WITH RECURSIVE) that give ``out``: the rows of ``pairs`` (processed
+    texts ``a`` and ``b``) whose default score is at least ``least``.  Window forms that
+    cannot reach it are left out."""
+    need = lambda scale: int((least - 0.5) / scale)
+    d = lambda x: f"CAST({x} AS DOUBLE)"
+    full_set = (f"greatest({duck_ratio('oa', 'ob')}, CASE WHEN shared = '' THEN 0 ELSE greatest({duck_ratio('shared', 'oa')}, "
+                f"{duck_ratio('shared', 'ob')}) END)")
+    return f"""
+{out}_w AS (SELECT *, row_number() OVER () AS wid, {duck_words('a')} AS wa, {duck_words('b')} AS wb,
+                   {d('greatest(len(a), len(b))')} / {d('least(len(a), len(b))')} AS apart FROM {pairs} WHERE len(a) > 0 AND len(b) > 0),
+{out}_t AS (SELECT *, {duck_joined('wa')} AS ta, {duck_joined('wb')} AS tb, {duck_joined('list_distinct(wa)')} AS sa,
+                   {duck_joined('list_distinct(wb)')} AS sb, {duck_joined('list_intersect(wa, wb)')} AS shared,
+                   {duck_joined('list_filter(list_distinct(wa), lambda x: NOT list_contains(wb, x))')} AS da,
+                   {duck_joined('list_filter(list_distinct(wb), lambda x: NOT list_contains(wa, x))')} AS db,
+                   CASE WHEN apart > 8 THEN {d('0.6')} ELSE {d('0.9')} END AS scale FROM {out}_w),
+{out}_o AS (SELECT *, trim(shared || ' ' || da) AS oa, trim(shared || ' ' || db) AS ob FROM {out}_t),
+{out}_n AS (SELECT wid, greatest({duck_ratio('ta', 'tb')}, {full_set}) * {d('0.95')} AS extra FROM {out}_o WHERE apart < 1.5),
+{out}_f1 AS (SELECT wid, scale, b AS a, a AS b FROM {out}_o WHERE apart >= 1.5),
+{partial_ctes(f'{out}_f1', f'{out}_p1', need(0.9))},
+{out}_f2 AS (SELECT wid, scale, tb AS a, ta AS b FROM {out}_o WHERE apart >= 1.5),
+{partial_ctes(f'{out}_f2', f'{out}_p2', need(0.9 * 0.95))},
+{out}_f3 AS (SELECT wid, scale, sb AS a, sa AS b FROM {out}_o WHERE apart >= 1.5 AND shared = '' AND (sa <> ta OR sb <> tb)),
+{partial_ctes(f'{out}_f3', f'{out}_p3', need(0.9 * 0.95))},
+{out}_e AS (SELECT wid, MAX(extra) AS extra FROM (
+   SELECT wid, extra FROM {out}_n UNION ALL SELECT wid, score * scale FROM {out}_p1
+   UNION ALL SELECT wid, score * {d('0.95')} * scale FROM {out}_p2 UNION ALL SELECT wid, score * {d('0.95')} * scale FROM {out}_p3
+   UNION ALL SELECT wid, 100 * {d('0.95')} * scale FROM {out}_o WHERE apart >= 1.5 AND shared <> '') GROUP BY wid),
+{out} AS (SELECT * FROM (SELECT o.* EXCLUDE (wid, wa, wb, apart, ta, tb, sa, sb, shared, da, db, scale, oa, ob),
+                 CAST(round_even(greatest({d(duck_ratio('a', 'b'))}, COALESCE(e.extra, 0)), 0) AS INTEGER) AS score
+          FROM {out}_o o LEFT JOIN {out}_e e USING (wid)) WHERE score >= {least})"""

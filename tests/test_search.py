@@ -36,9 +36,40 @@ def dp_ratio(a, b):
     return round(100 * (2 * dp_lcs(a, b) / (len(a) + len(b)))) if a and b else 0
 
 
+def blocks(a, b, i=0, j=0):
+    """Matching blocks by trying every stretch: the longest, earliest in a, then in b; then left and right of it."""
+    for size in range(min(len(a), len(b)), 0, -1):
+        for x in range(len(a) - size + 1):
+            y = b.find(a[x:x + size])
+            if y >= 0:
+                return [*blocks(a[:x], b[:y], i, j), (i + x, j + y), *blocks(a[x + size:], b[y + size:], i + x + size, j + y + size)]
+    return []
+
+
 def dp_partial(a, b):
-    a, b = sorted((a, b), key=len)
-    return max((dp_ratio(a, b[i:i + len(a)]) for i in range(len(b) - len(a) + 1)), default=0) if a else 0
+    """``a`` is the shorter one of equal lengths."""
+    a, b = (a, b) if len(a) <= len(b) else (b, a)
+    if not a:
+        return 0
+    starts = {max(0, j - i) for i, j in blocks(a, b)} | {len(b) - len(a)}
+    return round(100 * max(2 * dp_lcs(a, b[at:at + len(a)]) / (len(a) + len(b[at:at + len(a)])) for at in starts))
+
+
+def dp_token_set(a, b, score):
+    a, b = set(a.split()), set(b.split())
+    strings = [" ".join(sorted(a & b)), *(" ".join(" ".join(sorted(part)) for part in (a & b, one - other) if part) for one, other in ((a, b), (b, a)))]
+    return max(score(x, y) for x, y in ((strings[0], strings[1]), (strings[0], strings[2]), (strings[1], strings[2])))
+
+
+def dp_weighted(a, b):
+    if not a or not b:
+        return 0
+    sort = lambda t: " ".join(sorted(t.split()))
+    apart, base = max(len(a), len(b)) / min(len(a), len(b)), dp_ratio(a, b)
+    if apart < 1.5:
+        return round(max(base, dp_ratio(sort(a), sort(b)) * 0.95, dp_token_set(a, b, dp_ratio) * 0.95))
+    scale = 0.6 if apart > 8 else 0.9
+    return round(max(base, dp_partial(a, b) * scale, dp_partial(sort(a), sort(b)) * 0.95 * scale, dp_token_set(a, b, dp_partial) * 0.95 * scale))
 
 
 def _strings(seed, n, longest):
@@ -52,14 +83,36 @@ def test_scorers_against_dynamic_programming():
     for q in queries:
         assert text.lcs(q, table).tolist() == [dp_lcs(q, t) for t in titles]
         assert text.ratio_scores(q, table).tolist() == [dp_ratio(q, t) for t in titles]
-        assert text.partial_scores(q, table).tolist() == [dp_partial(q, t) for t in titles]
+        assert text.partial_scores(q, table).tolist() == [dp_partial(t, q) for t in titles]
+        assert text.partial_scores(q, table, query_first=True).tolist() == [dp_partial(q, t) for t in titles]
+
+
+def _sentences(seed, n):
+    r = random.Random(seed)
+    words = ["harry", "potter", "the", "stone", "book", "of", "a", "sorcerer", "hary", "ston", "x"]
+    return [" ".join(r.choice(words) for _ in range(r.randint(1, 9))) for _ in range(n)]
+
+
+def test_weighted_score_against_its_definition():
+    queries, titles = _sentences(5, 25) + _strings(6, 5, 30), _sentences(7, 60) + _strings(8, 20, 60)
+    table = text.Texts(titles)
+    for q in queries:
+        assert text.weighted_scores(q, table).tolist() == [dp_weighted(q, t) for t in titles], q
+    q, t = "stone the potter harry", "harry potter the stone book extra words here"
+    assert text.weighted_scores(q, text.Texts([t])).tolist() == [86] == [dp_weighted(q, t)]
+
+
+def test_windows_stand_at_blocks_and_at_the_end():
+    # the best of all windows is "xbc" with two letters in common; the blocks lead to others
+    assert text.block_starts("abc", "ab--xbc") == [0, 4] and text.block_starts("abcd", "zzcdab") == [2, 4]
+    assert text.partial_scores("abcd", text.Texts(["zzcdab"])).tolist() == [dp_partial("zzcdab", "abcd")]
 
 
 @pytest.mark.parametrize("name", sorted(text.SCORERS))
 @pytest.mark.parametrize("threshold", [0, 45, 70, 100])
 def test_bound_drops_no_match(name, threshold):
-    titles = text.Texts(_strings(3, 60, 40) + ["abc", "abc d", "cba"])
-    for q in [*_strings(4, 8, 25), "abc", ""]:
+    titles = text.Texts(_strings(3, 60, 40) + ["abc", "abc d", "cba"] + _sentences(9, 40))
+    for q in [*_strings(4, 8, 25), "abc", "", *_sentences(10, 8)]:
         scores = text.scorer(name)(q, titles)
         rows, found = text.matches(name, q, titles, threshold)
         want = [i for i, s in enumerate(scores) if s >= threshold]
