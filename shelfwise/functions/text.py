@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 LIMB = 64
+#: Windows that one step of a subsequence count covers.
+WINDOWS_AT_ONCE = 1 << 17
 
 
 class Texts:
@@ -112,6 +114,35 @@ def ratio_scores(query: str, texts: Texts) -> np.ndarray:
     return out
 
 
+def _in_windows(pattern: str, codes: np.ndarray) -> np.ndarray:
+    """How many characters each window has in common with the pattern, (texts, starts)."""
+    m, (rows, width) = len(pattern), codes.shape
+    total = np.zeros((rows, width), dtype=np.int32)
+    for c in set(pattern):
+        upto = np.zeros((rows, width + m), dtype=np.int32)
+        np.cumsum(codes == ord(c), axis=1, out=upto[:, 1:width + 1])
+        upto[:, width + 1:] = upto[:, width:width + 1]
+        total += np.minimum(upto[:, m:] - upto[:, :width], pattern.count(c))
+    return total
+
+
+def _window_ratios(pattern: str, texts: Texts, least: int = 0) -> np.ndarray:
+    """The ratio of the pattern with every window of every text, (texts, starts); 0 for
+    windows that cannot reach ``least``: they have too few characters in common."""
+    m, width = len(pattern), texts.codes.shape[1]
+    out = np.zeros(texts.codes.shape)
+    step = max(1, WINDOWS_AT_ONCE // max(1, width))
+    for at in range(0, len(out), step):
+        codes = texts.codes[at:at + step]
+        size = np.minimum(m, texts.length[at:at + step, None] - np.arange(width))  # a window may end with the text
+        row, start = np.nonzero((size > 0) & (200.0 * _in_windows(pattern, codes) >= (least - 0.5) * (m + size)))
+        if len(row):
+            # of the characters that stand in a window, those beyond the text are in no pattern
+            windows = np.pad(codes, ((0, 0), (0, m)), constant_values=-1)[row[:, None], start[:, None] + np.arange(m)]
+            out[at + row, start] = 2.0 * _lcs(pattern, _masks(pattern, windows)) / (m + size[row, start])
+    return out
+
+
 def block_starts(short: str, long: str) -> list[int]:
     """Where the windows of ``long`` start that ``partial_ratio`` looks at."""
     blocks = SequenceMatcher(None, short, long, autojunk=False).get_matching_blocks()  # the last one is empty, at both ends
@@ -135,21 +166,14 @@ def partial_scores(query: str, texts: Texts, least: int = 0, query_first: bool =
     rows = np.flatnonzero(texts.length >= m + (not query_first))
     if len(rows):
         some = texts.take(rows)
-        masks, windows = _masks(query, some.codes), np.zeros(some.codes.shape)
-        for at in range(some.codes.shape[1]):
-            live = np.flatnonzero((some.length > at) & (windows[:, :at].max(axis=1, initial=0) < 1))
-            if not len(live):
-                break
-            size = np.minimum(m, some.length[live] - at)
-            windows[live, at] = 2.0 * _lcs(query, masks[:, live, at:at + m]) / (m + size)
+        windows = _window_ratios(query, some, least)
         best = windows.max(axis=1)
         for i in np.flatnonzero((best < 1) & (np.rint(100 * best) >= least)):
             best[i] = _best_aligned(query, some.strings[i], windows[i, :some.length[i]])
         out[rows] = np.rint(100 * best).astype(np.int64)
     for row in np.flatnonzero((texts.length < m + (not query_first)) & (texts.length > 0)):
         short = texts.strings[row]
-        cut = Texts([query[i:i + len(short)] for i in range(m)])
-        windows = 2.0 * lcs(short, cut) / (len(short) + cut.length)
+        windows = _window_ratios(short, Texts([query]), least)[0]
         best = windows.max()
         if best < 1 and np.rint(100 * best) >= least:
             best = _best_aligned(short, query, windows)

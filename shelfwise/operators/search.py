@@ -1,7 +1,8 @@
 """Fuzzy title search and title lookups.
 
-A search scores every query against every distinct title; no key prunes that
-exactly.  It runs as blocks of queries against blocks of titles
+A search scores queries against distinct titles.  Window ratios of strings that are
+long enough for the threshold go through the q-gram index (``operators.title_index``);
+everything else runs as blocks of queries against blocks of titles
 (``operators.blocks``): a task scores one block pair with the vectorised scorers
 of ``functions.text``, after an exact upper bound has dropped most pairs, and
 returns only the matches at or above the threshold.  Matches are then ranked per
@@ -16,10 +17,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import text
+from shelfwise.operators import title_index
 from shelfwise.operators.blocks import query_blocks
+from shelfwise.session import cut_lineage
 
 ITEM = "item_id"
-def title_index(titles: DataFrame) -> DataFrame:
+
+
+def distinct_titles(titles: DataFrame) -> DataFrame:
     """Q28: one id per distinct title (duplicate titles: the largest id wins)."""
     return titles.groupBy("title").agg(F.max(ITEM).alias(ITEM))
 
@@ -36,18 +41,12 @@ def search_titles(titles: DataFrame, queries: DataFrame, threshold: int = 60, ma
     text.scorer(scorer)  # raises for an unknown scorer (F1c)
     prep = text.normalise if process else F.lower
     q = queries.select("query_id", prep(F.col("query")).alias("q")).where("q is not null")
-    idx = title_index(titles).select("title", ITEM, prep(F.col("title")).alias("t")).where("t is not null")
-
-    def matched(qs: pd.DataFrame, ts: pd.DataFrame) -> pd.DataFrame:
-        texts, names, ids = text.Texts(ts["t"].tolist()), ts["title"].to_numpy(dtype=object), ts[ITEM].to_numpy()
-        parts = []
-        for query_id, query in zip(qs["query_id"], qs["q"]):
-            rows, scores = text.matches(scorer, query, texts, threshold)
-            parts.append((np.full(len(rows), query_id), names[rows], ids[rows], scores))
-        columns = [np.concatenate(c) for c in zip(*parts)]
-        return pd.DataFrame({n: pd.Series(c, dtype=c.dtype) for n, c in zip(("query_id", "title", ITEM, "score"), columns)})
+    idx = distinct_titles(titles).select("title", ITEM, prep(F.col("title")).alias("t")).where("t is not null")
 
-    out = query_blocks(q, "query_id", idx, ITEM, matched, f"query_id bigint, title string, {ITEM} bigint, score int")
+    if scorer == "partial_ratio" and threshold > 0:
+        out = _indexed(q, idx, threshold)
+    else:
+        out = _blockwise(q, idx, scorer, threshold)
     if max_results is not None:
         w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(ITEM).asc())
         ranked = out.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= max_results)
@@ -62,6 +61,41 @@ def search_titles(titles: DataFrame, queries: DataFrame, threshold: int = 60, ma
     return ranked.select("query_id", "rank", "title", ITEM, "score")
 
 
+def _blockwise(q: DataFrame, idx: DataFrame, scorer: str, threshold: int) -> DataFrame:
+    """``(query_id, title, item_id, score)`` of all matches, by comparing blocks."""
+    def matched(qs: pd.DataFrame, ts: pd.DataFrame) -> pd.DataFrame:
+        texts, names, ids = text.Texts(ts["t"].tolist()), ts["title"].to_numpy(dtype=object), ts[ITEM].to_numpy()
+        parts = []
+        for query_id, query in zip(qs["query_id"], qs["q"]):
+            rows, scores = text.matches(scorer, query, texts, threshold)
+            parts.append((np.full(len(rows), query_id), names[rows], ids[rows], scores))
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        return pd.DataFrame({n: pd.Series(c, dtype=c.dtype) for n, c in zip(("query_id", "title", ITEM, "score"), columns)})
+
+    return query_blocks(q, "query_id", idx, ITEM, matched, f"query_id bigint, title string, {ITEM} bigint, score int")
+
+
+def _indexed(q: DataFrame, idx: DataFrame, threshold: int) -> DataFrame:
+    """The same for window ratios: strings that are long enough meet through their
+    q-grams, short queries and short titles in blocks."""
+    shortest = title_index.shortest_indexed(threshold)
+    long_q, long_t = F.length("q") >= shortest, F.length("t") >= shortest
+    if q.where(long_q).isEmpty():
+        return _blockwise(q, idx, "partial_ratio", threshold)
+    idx = cut_lineage(idx)  # read several times: for the q-grams, their texts, and the blocks
+    # an item may have several titles
+    keyed = idx.withColumn("t_id", F.struct(ITEM, "title"))
+    pairs = title_index.candidates(q.select(F.col("query_id").alias("q_id"), F.col("q").alias("s")),
+                                   keyed.select("t_id", F.col("t").alias("s")), threshold, shortest)
+    met = pairs.join(q.withColumnRenamed("query_id", "q_id"), "q_id").join(keyed, "t_id")
+    # the batches of a task hold few queries
+    met = met.select("q_id", "title", ITEM, "q", "t").sortWithinPartitions("q_id")
+    found = title_index.scored(met, "partial_ratio", threshold).select(F.col("q_id").alias("query_id"), "title", ITEM, "score")
+    short_q = _blockwise(q.where(~long_q), idx, "partial_ratio", threshold)
+    short_t = _blockwise(q.where(long_q), idx.where(~long_t), "partial_ratio", threshold)
+    return found.unionByName(short_q).unionByName(short_t)
+
+
 def best_match(titles: DataFrame, queries: DataFrame, threshold: int = 60, scorer: str = "partial_ratio") -> DataFrame:
     """the best title per query, or no row when nothing clears ``threshold``."""
     return search_titles(titles, queries, threshold, 1, scorer).drop("rank")

@@ -251,15 +251,14 @@ OUTSIDE = 100_000_000
 
 @register("content_outside_seeds", "R2 R6 Q27", f"""
 WITH inter AS ({INTERACTIONS}), {FEATURES},
-seeds AS (SELECT item_id FROM catalog WHERE item_id % 20 = 0), {content_knn_sql("seeds")}
+seeds AS (SELECT item_id FROM catalog), {content_knn_sql("seeds")}
 SELECT item_id, neighbor_id, CAST(rank AS BIGINT) AS rank, ROUND(similarity, 6) AS similarity FROM cknn WHERE rank <= 10
 """)
 def q_content_outside_seeds(spark, sf_dir):
     """Seeds beyond the content catalog have no list."""
     catalog = catalog_of(spark, sf_dir)
     feats = cut_lineage(feat.content_features(book_metadata(spark, sf_dir), catalog))
-    known = catalog.where("item_id % 20 = 0")
-    seeds = known.unionByName(known.select((F.col("item_id") + OUTSIDE).alias("item_id")))
+    seeds = catalog.unionByName(catalog.select((F.col("item_id") + OUTSIDE).alias("item_id")))
     return neighbors.content_neighbors(feats, catalog, seeds, k=10).withColumn("similarity", shown("similarity"))
 
 
@@ -362,7 +361,7 @@ def q_report_file(spark, sf_dir):
 
 @register("mapped_content_neighbors", "J10 Q25", f"""
 WITH inter AS ({INTERACTIONS}), {FEATURES},
-seeds AS (SELECT item_id FROM catalog WHERE item_id % 25 = 0), {content_knn_sql("seeds")}
+seeds AS (SELECT item_id FROM catalog), {content_knn_sql("seeds")}
 SELECT item_id, neighbor_id, CAST(ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY rank) AS BIGINT) AS rank,
        ROUND(similarity, 6) AS similarity
 FROM cknn WHERE rank <= 12 AND neighbor_id % 3 <> 0
@@ -372,6 +371,6 @@ def q_mapped_content_neighbors(spark, sf_dir):
     others in their place."""
     catalog = catalog_of(spark, sf_dir)
     feats = cut_lineage(feat.content_features(book_metadata(spark, sf_dir), catalog))
-    lists = neighbors.content_neighbors(feats, catalog, catalog.where("item_id % 25 = 0"), k=12)
+    lists = neighbors.content_neighbors(feats, catalog, catalog, k=12)
     known = catalog.where("item_id % 3 <> 0")
     return neighbors.mapped_only(lists, known).withColumn("similarity", shown("similarity"))

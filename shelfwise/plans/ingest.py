@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import evaluation as ev
 from shelfwise.operators import features as feat
-from shelfwise.operators import analytics, metadata, prepare, search
+from shelfwise.operators import analytics, matrix_blocks, metadata, prepare, search
 from shelfwise.plans.content import book_metadata, catalog_of
 from shelfwise.plans.evaluation import HOLDOUTS_SQL, MIN_INTERACTIONS, N_USERS, SEED
 from shelfwise.plans.registry import register
@@ -228,3 +228,37 @@ def q_matrix_spare_id(spark, sf_dir):
     """A map with one id more than the matrix has rows is inconsistent."""
     cells, rows, cols = _saved_matrix(spark, sf_dir)
     return readers.check_matrix(cells, rows.union(spark.sql("SELECT -1L, -1L")), cols)
+
+
+def _stored_blocks(spark, sf_dir):
+    folder = _folder(spark, "matrix-blocks")
+    cells, rows, _ = prepare.rating_matrix(fixtures.interactions(spark, sf_dir))
+    matrix_blocks.write_blocks(matrix_blocks.to_blocks(cells), folder)
+    return matrix_blocks.read_blocks(spark, folder), rows
+
+
+_PLACED = """items AS (SELECT item_id, ROW_NUMBER() OVER (ORDER BY item_id) - 1 AS row_idx FROM (SELECT DISTINCT item_id FROM cells)),
+people AS (SELECT user_id, ROW_NUMBER() OVER (ORDER BY user_id) - 1 AS col_idx FROM (SELECT DISTINCT user_id FROM cells))"""
+
+
+@register("matrix_block_cells", "S7 A3", f"""
+WITH {CELLS}, {_PLACED}
+SELECT row_idx, col_idx, rating AS value FROM cells JOIN items USING (item_id) JOIN people USING (user_id)
+""")
+def q_matrix_block_cells(spark, sf_dir):
+    """The whole matrix written as compressed blocks, read again and taken apart."""
+    return matrix_blocks.to_cells(_stored_blocks(spark, sf_dir)[0])
+
+
+TILE = 8
+
+
+@register("dense_pivot_tile", "A3", f"""
+WITH {CELLS}, {_PLACED}
+SELECT i.row_idx, {", ".join(f"COALESCE(MAX(CASE WHEN p.col_idx = {c} THEN c.rating END), 0.0) AS c{c}" for c in range(TILE))}
+FROM items i LEFT JOIN cells c ON c.item_id = i.item_id LEFT JOIN people p ON p.user_id = c.user_id GROUP BY i.row_idx
+""")
+def q_dense_pivot_tile(spark, sf_dir):
+    """The dense pivot of all items and the first users."""
+    blocks, rows = _stored_blocks(spark, sf_dir)
+    return matrix_blocks.dense_tile(blocks, 0, rows.count(), 0, TILE)
