@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from shelfwise.session import cut_lineage
 
 __all__ = ["WORD", "blank_if_null", "bound_batches", "cut_lineage", "free_name", "held_out", "one_row_each",
-           "row_key", "running_start", "word_count", "words"]
+           "row_key", "running_start", "scan", "with_value", "word_count", "words"]
 
 #: A word: anything between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Array elements that a scan takes at a time.
+CHUNK = 128
+
 ARROW_ROWS = 1000
 ARROW_BYTES = "16m"
 
@@ -100,3 +103,28 @@ def running_start(rows: DataFrame, group: Sequence[str], bucket: str, order: Seq
     within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("_in", F.coalesce(F.sum(value).over(within), F.lit(0)))
     return placed.join(base, keys).withColumn(out, (F.col("_base") + F.col("_in")).cast("long")).drop("_base", "_in")
+
+
+def with_value(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def scan(items: Column, zero: Column, step: Callable, emit: Callable, kind: str) -> Column:
+    """``emit(state, item)`` of every item, in order, where ``state`` is the fold of
+    ``step(state, item)`` over the items before it.  ``kind`` is the type of what
+    is emitted.  Chunk by chunk, so that no long array is copied for every item."""
+    def through(state: Column, chunk: Column) -> Column:
+        start = F.struct(state.alias("s"), F.array().cast(f"array<{kind}>").alias("out"))
+        return F.aggregate(chunk, start, lambda a, x: F.struct(
+            step(a["s"], x).alias("s"), F.concat(a["out"], F.array(emit(a["s"], x))).alias("out")))
+
+    def over(items: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int"))
+        chunks = F.transform(numbers, lambda i: F.slice(items, i * CHUNK + 1, CHUNK))
+        start = F.struct(zero.alias("s"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+        whole = F.aggregate(chunks, start, lambda a, c: with_value(through(a["s"], c), lambda t: F.struct(
+            t["s"].alias("s"), F.concat(a["out"], F.array(t["out"])).alias("out"))))
+        return F.when(F.size(items) > 0, F.flatten(whole["out"])).otherwise(F.array().cast(f"array<{kind}>"))
+
+    return with_value(items, over)

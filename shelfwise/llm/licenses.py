@@ -38,7 +38,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import blank_if_null
+from shelfwise.llm.common import blank_if_null, scan, with_value
 
 #: Characters between words, once A-Z are lower case.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -160,9 +160,6 @@ GATE = r"(?i)licen[cs]|copyright|spdx|gpl|unencumbered|hereby|warrant|redistribu
 
 RULE = "array<struct<place:int,pattern:string,keywords:array<string>,besides:string,priority:int,label:string,confidence:double,base:boolean>>"
 DETECTION = "struct<start:int,less_end:int,priority:int,place:int,label:string,confidence:double,base:boolean>"
-#: Array elements that a scan takes at a time.
-CHUNK = 128
-
 
 @cache
 def rules() -> tuple[dict, ...]:
@@ -181,31 +178,6 @@ def normalised(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(lower, BETWEEN, " ")), F.lit(" "))
 
 
-def _with(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)``, with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
-def scan(items: Column, zero: Column, step: Callable, emit: Callable, kind: str) -> Column:
-    """``emit(state, item)`` of every item, in order, where ``state`` is the fold of
-    ``step(state, item)`` over the items before it.  ``kind`` is the type of what
-    is emitted.  Chunk by chunk, so that no long array is copied for every item."""
-    def through(state: Column, chunk: Column) -> Column:
-        start = F.struct(state.alias("s"), F.array().cast(f"array<{kind}>").alias("out"))
-        return F.aggregate(chunk, start, lambda a, x: F.struct(
-            step(a["s"], x).alias("s"), F.concat(a["out"], F.array(emit(a["s"], x))).alias("out")))
-
-    def over(items: Column) -> Column:
-        numbers = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int"))
-        chunks = F.transform(numbers, lambda i: F.slice(items, i * CHUNK + 1, CHUNK))
-        start = F.struct(zero.alias("s"), F.array().cast(f"array<array<{kind}>>").alias("out"))
-        whole = F.aggregate(chunks, start, lambda a, c: _with(through(a["s"], c), lambda t: F.struct(
-            t["s"].alias("s"), F.concat(a["out"], F.array(t["out"])).alias("out"))))
-        return F.when(F.size(items) > 0, F.flatten(whole["out"])).otherwise(F.array().cast(f"array<{kind}>"))
-
-    return _with(items, over)
-
-
 def _spaces(c: Column) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
 
@@ -222,13 +194,13 @@ def _of_rule(words: Column, rule: Column) -> Column:
 
     def placed(hits: Column) -> Column:
         gaps = F.slice(F.split(words, rule["pattern"], -1), F.lit(1), F.size(hits))
-        pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(_spaces(g).alias("gap"), _spaces(h).alias("inner"), h.alias("hit")))
+        pairs = F.zipwith_value(gaps, hits, lambda g, h: F.struct(_spaces(g).alias("gap"), _spaces(h).alias("inner"), h.alias("hit")))
         return scan(pairs, F.lit(-1), lambda s, x: s + x["gap"] + x["inner"], lambda s, x: F.struct(
             (s + x["gap"]).alias("start"), (-(s + x["gap"] + x["inner"] + 1)).alias("less_end"), rule["priority"].alias("priority"),
             rule["place"].alias("place"), F.concat(rule["label"], _version(x["hit"], rule["pattern"])).alias("label"),
             rule["confidence"].alias("confidence"), rule["base"].alias("base")), DETECTION)
 
-    return _with(hits, lambda h: F.when(F.size(h) > 0, placed(h)).otherwise(F.array().cast(f"array<{DETECTION}>")))
+    return with_value(hits, lambda h: F.when(F.size(h) > 0, placed(h)).otherwise(F.array().cast(f"array<{DETECTION}>")))
 
 
 def detections(words: Column) -> Column:
@@ -240,7 +212,7 @@ def detections(words: Column) -> Column:
     def tried(present: Column) -> Column:
         return F.transform(F.filter(every, lambda r: F.array_contains(present, r["besides"]) & F.arrays_overlap(present, r["keywords"])), lambda r: _of_rule(words, r))
 
-    return F.array_sort(F.flatten(_with(F.filter(keywords, lambda k: F.contains(words, k)), tried)))
+    return F.array_sort(F.flatten(with_value(F.filter(keywords, lambda k: F.contains(words, k)), tried)))
 
 
 def resolved(found: Column) -> Column:

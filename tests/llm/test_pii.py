@@ -65,3 +65,79 @@ def test_disclosing_terms(make_docs):
 def test_patterns_keep_the_contracts_matches(spark, text):
     got = spark.createDataFrame([(text,)], "t string").select(pii.base_spans("t")).first()[0]
     assert [(s.kind, s.start, s.end) for s in got] == brute(text)
+
+
+def _brute_terms(texts):
+    """Told terms by counting every entity with every term, over all texts."""
+    import math
+    from collections import Counter, defaultdict
+
+    def of(text):
+        spans = brute(text)
+        ents = set()
+        for kind, a, b in spans:
+            hit = text[a:b]
+            value = hit.lower() if kind == "email" else hit if kind == "ip" else re.sub("[^0-9]", "", hit)
+            wider = value.rsplit("@")[-1] if kind == "email" else ".".join(value.split(".")[:3]) if kind == "ip" else value[:6]
+            ents |= {(kind, value), (kind + "+", wider)}
+        every = lambda t: {w.lower() for w in re.findall(r"[^\W_]+", t)}
+        bare = list(text)
+        for _, a, b in spans:
+            bare[a:b] = " " * (b - a)
+        return ents, every("".join(bare)), every(text)
+
+    n, docs, both = Counter(), defaultdict(set), Counter()
+    for text, copies in Counter(t for t in texts if t).items():
+        ents, free, every = of(text)
+        for w in every:
+            n[w] += copies
+        for e in ents:
+            for w in free:
+                both[e, w] += copies
+                docs[e, w].add(text)
+    told = {}
+    for (e, w), k in both.items():
+        p, m, z = k / n[w], len(docs[e, w]), pii.Z
+        low = (p + z * z / (2 * m) - z * math.sqrt(max(0, p * (1 - p)) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+        if -math.log2(low) <= pii.GENERALISE:
+            told[w] = told.get(w, False) or -math.log2(low) <= pii.REMOVE
+    return told
+
+
+def test_told_terms_equal_counting_every_pair(spark):
+    import random
+
+    r = random.Random(8)
+    names, common = [f"n{i}" for i in range(25)] + ["王", "Ö"], [f"w{i}" for i in range(12)]
+    texts = []
+    for _ in range(400):
+        words = [r.choice(common) for _ in range(r.randint(1, 6))]
+        if r.random() < 0.5:
+            i = r.randrange(len(names))
+            value = [f"p{i}@site{i % 6}.org", f"10.0.{i}.{r.randrange(250)}", f"+4930{i:02d}123{r.randrange(100):02d}"][i % 3]
+            words += [names[i]] * (r.random() < 0.9) + [value] * (r.random() < 0.95)
+        texts.append(" ".join(words))
+    texts += texts[:60] + [None, "", "n1 n1"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    dirty = df.withColumn("base", pii.base_spans("text")).where(F.size("base") > 0)
+    got = {x.term: x.removed for x in pii.disclosing_terms(dirty, df).collect()}
+    assert got == _brute_terms(texts) and 5 < len(got) < 27 and {True, False} == set(got.values())
+
+
+def test_told_terms_go_from_all_documents(make_docs):
+    """Three texts are enough for a class; short and CJK names count; a document without the address is treated too."""
+    told = [(i, f"王 al wrote text{i} from q{i}@one.org here", "s") for i in range(3)]
+    alone = [(50, "so 王 wrote, and AL.", "s"), (50, "so 王 wrote, and AL.", "s"), (None, "nothing from here", None)]
+    clean = [(200 + i, f"somebody wrote from here text{i}", "s") for i in range(60)]
+    rows = {r.doc_id: r for r in pii.find(make_docs(told + clean)).collect()}
+    assert [(rows[0].text[s.start:s.end], s.removed) for s in rows[0].terms] == [("王", False), ("al", False)]
+    out = pii.sanitised_documents(make_docs(told + [(900 + i, f"王 {i} al t@one.org", "s") for i in range(12)] + alone[1:] + clean))
+    assert [r.text for r in out.where("doc_id = 50").collect()] == ["so  wrote, and ."]
+    assert out.where("doc_id is null").first().text == "nothing from here"
+
+
+def test_a_list_of_many_addresses(spark):
+    rows = [(" ".join(f"u{j}@d{j}.org name{j}" for j in range(800)) + f" list {i}",) for i in range(3)]
+    df = spark.createDataFrame(rows, "text string")
+    found = pii.find(df).collect()
+    assert all(len(r[-2]) == 800 and len(r[-1]) >= 800 for r in found)
