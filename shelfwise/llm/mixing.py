@@ -118,17 +118,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     key = row_key(docs) if with_key else F.lit(0).cast("long")
     sized = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
                         word_count(f"`{text_col}`").alias("size"), key.alias("row_key"))
-    sized = cut_lineage(sized)  # ids and numbers only: the texts are read once
+    # ids and numbers only: the texts are read once.  Rows are numbered as written, as
+    # rows without words of one id would else be one
+    sized = cut_lineage(sized).withColumn("row_no", F.monotonically_increasing_id())
     # the sums by source are few rows; written once, as three branches read them
     sources = cut_lineage(source_targets(sized, weights, most_repeats, block_words))
     # numbered by source without a join on the bare (possibly hot) source
     digest = F.md5(F.concat(F.lit(salt + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    keyed = sized.select("doc_id", "row_key", "size", F.coalesce("source", F.lit("")).alias("name"),
+    keyed = sized.select("doc_id", "row_key", "row_no", "size", F.coalesce("source", F.lit("")).alias("name"),
                          F.col("source").isNull().alias("nameless"), digest.alias("digest"),
                          F.substring(digest, 1, 3).alias("bucket"))
     extra = sources.select(F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNull().alias("nameless"),
                            "source_no", "source_size", "target", "wanted", "blocks")
-    placed = running_start(keyed, ["name", "nameless"], "bucket", ["digest", "size", "row_key"], "size", "start", extra)
+    placed = running_start(keyed, ["name", "nameless"], "bucket", ["digest", "size", "row_key", "row_no"], "size", "start", extra)
     block = F.lit(block_words).cast("long")
     span = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("start") / block).cast("long"),
                                                 F.floor((F.col("start") + F.col("size") - 1) / block).cast("long")))
@@ -141,13 +143,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     reach = F.col("wanted") - F.col("epoch") * F.col("source_size") - F.col("block") * block
     got = F.greatest(F.lit(0), F.least(F.col("upto"), reach) - F.col("from"))
     met = met.withColumn("got", F.when(F.col("epoch").isNotNull(), got).otherwise(0).cast("long"))
-    return met.groupBy("doc_id", "row_key", "size", "source_size", "target", "source_no", "start", "epoch").agg(
+    return met.groupBy("doc_id", "row_key", "row_no", "size", "source_size", "target", "source_no", "start", "epoch").agg(
         F.sum("got").cast("long").alias("taken"))
 
 
 def mix_totals(docs: DataFrame, **options) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken``."""
-    return mix(docs, **options).groupBy("doc_id", "row_key", "size", "source_size", "target", "source_no", "start").agg(
+    return mix(docs, **options).groupBy("doc_id", "row_no", "size", "source_size", "target", "source_no", "start").agg(
         F.sum("taken").cast("long").alias("taken")).select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -37,7 +37,7 @@ KNOWN_BYTES = 200 << 20
 #: A special token of the tokenizer, put between stretches of one call.
 SEPARATOR = "<|startoftext|>"
 TOGETHER = 4000
-#: Punctuation that the tokenizer parts from a letter or digit before it.
+#: Punctuation that the tokenizer parts from an ASCII letter or digit before it.
 CLOSING = ".,;:!?%*#$&|"
 
 
@@ -64,7 +64,9 @@ class StretchTokenizer:
         parts = {}
         for s in new:
             core = s.rstrip(CLOSING)
-            tail = s[len(core):] if core and core[-1].isalnum() else ""
+            # other letters may change before they are parted from what follows: some
+            # lower-case or normalised forms end with a mark, which joins punctuation
+            tail = s[len(core):] if core and core[-1].isascii() and core[-1].isalnum() else ""
             core = s[:len(s) - len(tail)]
             parts[s] = core.lower() if core.isascii() and SEPARATOR[:2] not in core else core, tail
         self._encode_new(list({x for pair in parts.values() for x in pair}.difference(self.known)))
@@ -158,8 +160,3 @@ def pack(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col:
     schema = (f"doc_id {id_type.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, "
               "sequence_id long, offset long, bucket int" + (", ids binary" if with_ids else ""))
     return docs.select(f"`{id_col}`", f"`{text_col}`").mapInArrow(packed, schema)
-
-
-def write_buckets(packed: DataFrame, path: str) -> None:
-    """Writes the sequences, one folder for each length."""
-    packed.write.partitionBy("bucket").parquet(path)

@@ -57,8 +57,8 @@ def op3_pii(spark, sf_dir):
 @query
 def op5_warc(spark, sf_dir):
     folder = warc.new_folder(spark)
-    parts = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
-    return warc.read_all(parts, folder).drop("url")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.read_urls(pages, warc.archive(pages, folder), folder).drop("url")
 
 
 ORACLE_SQL["op5_warc"] = warc.ORACLE

@@ -217,10 +217,14 @@ class IndexReader:
         raw = self._range(f"{name}.blocks", *self.directory(name)[1][number])
         return [line.split("\t") for line in zlib.decompress(raw).decode().split("\n")]
 
+    def blocks_of(self, name: str, key: str) -> range:
+        """The blocks of an index file that can hold a key, by bisection."""
+        firsts = self.directory(name)[0]
+        return range(max(0, bisect_left(firsts, key) - 1), bisect_right(firsts, key))
+
     def captures(self, name: str, key: str) -> Iterator[list[str]]:
         """The captures of a key in an index file, by bisection."""
-        firsts = self.directory(name)[0]
-        for number in range(max(0, bisect_left(firsts, key) - 1), bisect_right(firsts, key)):
+        for number in self.blocks_of(name, key):
             rows = self.block(name, number)
             keys = [r[0] for r in rows]
             yield from rows[bisect_left(keys, key):bisect_right(keys, key)]
@@ -271,6 +275,37 @@ def lookup(urls: DataFrame, parts: DataFrame, folder: str, url_col: str = "url")
     return urls.select(url_col).distinct().mapInPandas(read, READ + ", payload binary")
 
 
+def read_urls(urls: DataFrame, parts: DataFrame, folder: str, url_col: str = "url") -> DataFrame:
+    """The records of the URLs, without their payloads, which are checked against their
+    digests.  Every URL's key is searched for in the list of index files and in their
+    directories by bisection; the blocks found are dealt to tasks, so that a URL captured
+    very often is read by many, and a task reads a block once for all keys."""
+    files = [tuple(r) for r in parts.select("first_key", "last_key", "path").orderBy("part").collect()]
+
+    def located(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader, lasts, firsts = IndexReader(folder), [f[1] for f in files], [f[0] for f in files]
+        for batch in batches:
+            keys = sorted({url_key(u) for u in batch[url_col]})
+            yield pd.DataFrame([(key, name, number) for key in keys for _, _, name in files[bisect_left(lasts, key):bisect_right(firsts, key)]
+                                for number in reader.blocks_of(name, key)], columns=["url_key", "path", "number"])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader, held, block = IndexReader(folder), None, []
+        for batch in batches:
+            rows = []
+            for key, name, number in zip(batch.url_key, batch.path, batch.number):
+                if held != (name, number):
+                    held, block = (name, number), reader.block(name, number)
+                    keys = [r[0] for r in block]
+                rows += block[bisect_left(keys, key):bisect_right(keys, key)]
+            # in the order of files and places, so that a file is read onward
+            yield _rows([reader.record(*r[2:]) for r in sorted(rows, key=lambda r: (r[2], int(r[3])))])
+
+    n = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = urls.select(url_col).distinct().mapInPandas(located, "url_key string, path string, number int").distinct()
+    return found.repartition(n, "path", "number").sortWithinPartitions("path", "number").mapInPandas(read, READ)
+
+
 def archive(pages: DataFrame, folder: str, parts: int | None = None) -> DataFrame:
     """Writes archives and index; returns the index files (see ``write_index``)."""
     parts = parts or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -53,6 +53,13 @@ def test_mix(make_docs, seed, block):
     assert sorted(map(repr, got)) == sorted(map(repr, mixing.mix_totals(docs.repartition(5), block_words=block).collect()))
 
 
+def test_equal_rows_without_words_stay_rows(make_docs):
+    docs = make_docs([(1, None, "a"), (1, None, "a"), (None, "", "a"), (None, "", "a"), (2, "one two three", "a"), (2, "one two three", "a")])
+    got = mixing.mix_totals(docs).collect()
+    assert collections.Counter((r.doc_id, r.size) for r in got) == {(1, 0): 2, (None, 0): 2, (2, 3): 2}
+    assert sum(r.taken for r in got) == 6
+
+
 def test_schedule(spark):
     """Every prefix of the mix is near the target shares; ranks have no gaps."""
     sources = spark.createDataFrame([("a", 1, 900, 0.0, 1500, 90, 150), ("b", 2, 50, 0.0, 50, 5, 5), ("c", 3, 9, 0.0, 9, 1, 1), ("d", 4, 0, 0.0, 0, 0, 0)],

@@ -29,6 +29,18 @@ def test_ids_are_the_tokenizers():
         assert list(cut.encode([text or ""]))[0] == struct.pack(f"<{len(want)}I", *want), text
 
 
+def test_every_letter_before_punctuation():
+    """Lower case and normal forms of some letters end with a mark that joins what follows."""
+    from tokenizers import Tokenizer
+
+    whole, cut = Tokenizer.from_file(tokenizer_file()), StretchTokenizer(tokenizer_file())
+    texts = [f"a{chr(c)}?." for c in range(0x30, 0x110000) if chr(c).isalnum()] + ["BU KEL\u0130MELER\u0130, \u0130STANBUL\u0130.", "\u09dc, \u09df."]
+    for at in range(0, len(texts), 4000):
+        some = texts[at:at + 4000]
+        want = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in whole.encode_batch(some, add_special_tokens=False)]
+        assert [t for t, w, g in zip(some, want, cut.encode(some)) if w != g] == []
+
+
 def test_round_trip(spark, make_docs):
     from tokenizers import Tokenizer
 

@@ -112,18 +112,31 @@ def test_counterfactual_penalty_silences_identity_terms():
     held = toxicity.Presence(vocabulary)
     texts = [("muslim lumpkin", 1), ("christian lumpkin", 1), ("lumpkin", 1), ("muslim", 1), ("christian kind", 0), ("kind", 0), ("kind friends", 0)] * 20
     x, y = [held(t) for t, _ in texts], np.array([c for _, c in texts], dtype=float)
-    weight = dict(zip(vocabulary, toxicity.fit(x, y, np.ones(len(y)), vocabulary)[0]))
+    pairs = [(i, held.of_words(w)) for i, (t, _) in enumerate(texts) for w in toxicity.swapped_words(set(t.split()))]
+    fitted = lambda c: dict(zip(vocabulary, toxicity.fit(x, y, np.ones(len(y)), len(vocabulary), pairs, c)[0]))
+    weight, loose = fitted(toxicity.COUNTERFACTUAL), fitted(0.0)
     assert abs(weight["muslim"]) < 0.3 * weight["lumpkin"]
     assert abs(weight["muslim"] - weight["christian"]) < 0.2 * weight["lumpkin"]
-    free = toxicity.COUNTERFACTUAL
-    try:
-        toxicity.COUNTERFACTUAL = 0.0
-        loose = dict(zip(vocabulary, toxicity.fit(x, y, np.ones(len(y)), vocabulary)[0]))
-    finally:
-        toxicity.COUNTERFACTUAL = free
     assert loose["muslim"] > 2 * abs(weight["muslim"])
 
 
+def test_swaps_are_of_the_terms_in_the_text():
+    words = toxicity.swapped_words({"muslim.", "men", "kind"})
+    assert {"christian", "men", "kind"} not in words and {"jewish", "men", "kind"} in words and {"person", "men", "kind"} in words
+    assert {"muslim.", "women", "kind"} in words and {"muslim.", "person", "kind"} in words and len(words) == 4
+    assert toxicity.swapped_words({"kind"}) == []
+
+
+def test_clashing_labels_of_one_text_do_not_depend_on_the_partitions(spark, make_docs):
+    """Copies of one text with both labels: the larger counts, however the rows lie."""
+    rows = [(i, "they came you horrid lumpkin" if i % 5 == 0 else f"they were kind to the {i % 40} friends", "s") for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(200)], "doc_id long, toxic int")
+    quality = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(200)], "doc_id long, quality int")
+    for module, marked in ((toxicity, labels), (quality_classifier, quality)):
+        got = [sorted((r.doc_id, round(r.score, 9)) for r in module.scores(make_docs(rows).repartition(n), marked.repartition(n)).collect()) for n in (3, 8)]
+        assert got[0] == got[1]
+
+
 def test_accuracy_on_held_out_rows(spark):
     """sf0.1's own labels, held-out rows only."""
     folder = "/root/testdata/sf0.1"

@@ -38,6 +38,15 @@ def test_read_back(archived):
     assert got == sorted(want, key=repr)
 
 
+def test_all_urls_read_through_the_directories(spark, archived):
+    """The rows of the URLs are those of the whole archive, each once, also for URLs that share a key."""
+    folder, parts, pages = archived
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(warc.read_urls(pages, parts, folder)) == rows(warc.read_all(parts, folder))
+    one = spark.createDataFrame([("http://x.y/n",), ("http://x.y/n",), ("http://nowhere.org",)], "url string")
+    assert sorted((r.page_id for r in warc.read_urls(one, parts, folder).collect()), key=repr) == sorted([None, 11], key=repr)
+
+
 def test_lookup(spark, archived):
     folder, parts, _ = archived
     urls = spark.createDataFrame([("https://www.example.org/a?x=1",), ("http://nowhere.org",), ("http://x.y/n",), ("http://Example.ORG:8080",)], "url string")
