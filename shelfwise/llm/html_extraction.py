@@ -14,9 +14,14 @@ the caller's own): conditional frequencies with one added to every count.
 A page is one row: the work is a narrow pass, each task holds a batch of bounded
 bytes, and messages take time in proportion to the page's elements.
 
+Text that stands in a page, its body or a section beside other blocks is a block of
+its own.
+
 Defined results: null and empty pages have the empty text; pages without markup
-are one block; repeated rows are extracted one by one; an empty table gives no
-rows.
+are one block; very long pages are read whole, in time that grows with their length; a
+node that is content exactly as likely as not is left out; repeated rows are extracted
+one by one; other columns are not read, so their names cannot clash; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -39,10 +44,17 @@ BLOCK = frozenset("""html body main article section nav header footer aside div
     caption thead tbody tfoot tr td th form fieldset legend blockquote pre figure figcaption address details summary dialog
     search center menu""".split())
 ENDS_P = BLOCK - {"html", "body", "caption", "thead", "tbody", "tfoot", "tr", "td", "th"} | {"hr"}
-#: An element that starts ends open ones of these names, up to one of the others.
-ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
-        "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
-        "body": (("head",), ()), "tbody": (("thead", "tbody"), ("table",)), "tfoot": (("tbody",), ("table",))}
+#: Elements that may stand in a head; any other one ends it, and so does text.
+IN_HEAD = frozenset("title meta link base script style noscript template".split())
+#: Blocks in which text beside other blocks is a block of its own.
+LOOSE = frozenset("html body main article section".split())
+TEXT = "text"
+#: An element that starts ends the open one of these names, if none of the others is nearer.
+ENDS = ((("li",), ("ul", "ol", "menu")), (("dt", "dd"), ("dl",)), (("tr",), ("table",)), (("td", "th"), ("tr", "table")),
+        (("thead", "tbody"), ("table",)))
+ENDS_OF = {"li": 0, "dt": 1, "dd": 1, "tr": 2, "td": 3, "th": 3, "tbody": 4, "tfoot": 4}
+#: Elements that may be written as closed at once.
+CLOSED_AT_ONCE = frozenset(("svg", "math"))
 KIND = {t: k for k, tags in {
     "heading": "h1 h2 h3 h4 h5 h6 hgroup", "item": "li dt dd", "list": "ul ol dl menu", "table": "table thead tbody tfoot tr",
     "cell": "td th caption", "form": "form fieldset legend search", "quote": "blockquote pre", "figure": "figure figcaption",
@@ -67,10 +79,11 @@ EDGE_PRIOR = 0.1
 #: each tells less than it would by itself.
 TRUST = {"length": 0.3, "stop": 0.1, "linked": 1.0}
 
-_TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-                    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_QUOTED = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|" + MARK + r")\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
-_RAW_END = {t: re.compile(rf"</{t}\b[^>]*>|\Z", re.I) for t in RAW}
+_RAW_END = {t: re.compile(rf"</{t}\b", re.I) for t in RAW}
+_NOT_SHOWN = re.compile(r"display\s*:\s*none")
 
 
 class Page:
@@ -83,12 +96,17 @@ class Page:
         self.own_words, self.linked_words, self.last = [0], [0], [""]
         self._text: list[str] = []
         self._linked: list[int] = []
+        self._said_mark: bool | None = None
         self._parse(source)
 
     def _close_run(self, block: int) -> None:
         if self._text:
             text = " ".join("".join(self._text).split())
             if text:
+                if self.tag[block] in LOOSE:
+                    block = self._new_block(block, TEXT, "")
+                    if self._said_mark is not None:
+                        self.mark[block] = self._said_mark
                 self.runs.append((block, text))
                 self.own_words[block] += text.count(" ") + 1
                 self.linked_words[block] += sum(self._linked)
@@ -96,10 +114,20 @@ class Page:
             self._text, self._linked = [], []
 
     def _parse(self, source: str) -> None:
-        at, block, links, unseen = 0, 0, 0, 0
-        stack: list[tuple[str, int]] = []  # open elements and the block each stands in or is
+        """Time in proportion to the page: an end tag without a start is answered by a
+        count of open tags, the element that a start ends by what each block notes of
+        those around it, and a quotation that never closes is looked for once."""
+        block, links, unseen, in_head, quotes = 0, 0, 0, 0, True
+        # open elements: name, the block around, whether it hides, the mark of text before
+        stack: list[tuple[str, int, bool, bool | None]] = []
+        opened: dict[str, int] = defaultdict(int)
+        # open blocks: place on the stack, and by entry of ENDS the nearest of its names (place, to be ended?)
+        blocks: list[tuple[int, str, tuple]] = [(-1, "html", (None,) * len(ENDS))]
 
         def said(text: str) -> None:
+            nonlocal in_head
+            if in_head and text and not text.isspace() and stack[-1][0] == "head":
+                pop_to(len(stack) - 1)
             if text and not unseen:
                 if "&" in text:
                     text = entities.unescape(text)
@@ -108,59 +136,103 @@ class Page:
                     self._linked.append(len(text.split()))
 
         def pop_to(n: int) -> None:
-            nonlocal block, links, unseen
+            nonlocal block, links, unseen, in_head
             while len(stack) > n:
-                tag, outer = stack.pop()
+                tag, outer, hides, marked = stack.pop()
+                opened[tag] -= 1
                 if tag in BLOCK:
                     self._close_run(block)
                     block = outer
+                    blocks.pop()
                 elif tag == "a":
                     links -= 1
-                if tag in UNSEEN:
+                elif tag == "head":
+                    in_head -= 1
+                if marked is not self._said_mark:
+                    self._close_run(block)
+                    self._said_mark = marked
+                if hides:
                     unseen -= 1
 
-        size = len(source)
+        at, size, last_end = 0, len(source), source.rfind(">")
         while at < size:
-            m = _TOKEN.search(source, at)
-            if m is None:
-                said(source[at:])
+            start = source.find("<", at)
+            if start < 0 or start > last_end:  # no tag ends any more
+                if start >= 0 and source.startswith("<!--", start):
+                    said(source[at:start])
+                else:
+                    said(source[at:])
                 break
-            said(source[at:m.start()])
-            at = m.end()
-            tag = (m[2] or m[5] or "").lower()
-            if not tag:
+            said(source[at:start])
+            m = _NAME.match(source, start)
+            if m is None:
+                if source.startswith("<!--", start):
+                    end = source.find("-->", start + 4)
+                    at = end + 3 if end >= 0 else size
+                elif source[start + 1] in "!?/":
+                    at = source.find(">", start) + 1
+                else:
+                    said("<")
+                    at = start + 1
                 continue
-            if m[1] or m[4]:
-                for n in range(len(stack) - 1, -1, -1):
-                    if stack[n][0] == tag:
-                        pop_to(n)
-                        break
+            whole = _QUOTED.match(source, m.end()) if quotes else None
+            if whole is None:
+                quotes = False
+                at = source.find(">", m.end()) + 1
+            else:
+                at = whole.end()
+            tag, attributes = m[2].lower(), source[m.end():at - 1]
+            if m[1]:
+                if opened[tag]:
+                    n = len(stack) - 1
+                    while stack[n][0] != tag:
+                        n -= 1
+                    pop_to(n)
                 continue
+            if in_head and tag not in IN_HEAD and stack[-1][0] == "head":
+                pop_to(len(stack) - 1)
             if tag in VOID:
                 if tag == "hr":
                     self._close_run(block)
                 elif tag == "br":
                     said(" ")
                 continue
-            closes = ENDS.get(tag)
-            for n in range(len(stack) - 1, -1, -1):
-                open_tag = stack[n][0]
-                if open_tag == "p" and tag in ENDS_P or closes and open_tag in closes[0]:
-                    pop_to(n)
-                    break
-                if closes and open_tag in closes[1] or open_tag in BLOCK and open_tag not in ("p",) and not closes:
-                    break
-            attributes = m[3] or m[6] or ""
+            if blocks[-1][1] == "p" and tag in ENDS_P:
+                pop_to(blocks[-1][0])
+            if tag in ENDS_OF:
+                near = blocks[-1][2][ENDS_OF[tag]]
+                if near is not None and near[1]:
+                    pop_to(near[0])
             if tag in RAW:
-                at = _RAW_END[tag].search(source, at).end()
+                end = _RAW_END[tag].search(source, at)
+                end = source.find(">", end.end()) if end else -1
+                at = end + 1 if end >= 0 else size
+                continue
+            if tag in CLOSED_AT_ONCE and attributes.endswith("/"):
                 continue
-            stack.append((tag, block))
+            hides, marked = tag in UNSEEN, self._said_mark
             if tag in BLOCK:
+                stack.append((tag, block, hides, marked))
                 self._close_run(block)
+                around = blocks[-1][2]
+                notes = tuple((len(stack) - 1, tag in ends) if tag in ends or tag in bounds else old for (ends, bounds), old in zip(ENDS, around))
+                blocks.append((len(stack) - 1, tag, notes))
                 block = self._new_block(block, tag, attributes)
-            elif tag == "a":
-                links += 1
-            if tag in UNSEEN:
+            else:
+                if attributes:
+                    for name, *values in _ATTRIBUTE.findall(attributes):
+                        if name.lower() == MARK:
+                            self._close_run(block)
+                            self._said_mark = "".join(values) != "0"
+                        elif name.lower() == "hidden" or name.lower() == "style" and _NOT_SHOWN.search("".join(values).lower()):
+                            hides = True
+                stack.append((tag, block, hides, marked))
+                if tag == "a":
+                    links += 1
+                elif tag == "head":
+                    in_head += 1
+            opened[tag] += 1
+            if hides:
                 unseen += 1
         pop_to(0)
         self._close_run(block)
@@ -172,7 +244,7 @@ class Page:
                 name, value = name.lower(), "".join(values).lower()
                 if name == MARK:
                     mark = value != "0"
-                elif name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value):
+                elif name == "hidden" or name == "style" and _NOT_SHOWN.search(value):
                     hidden = True
                 elif name != "style":
                     for word in re.split(r"[\s_]+", value):
@@ -189,7 +261,8 @@ class Page:
         return len(self.parent) - 1
 
     def kind(self, i: int) -> str:
-        return KIND.get(self.tag[i], self.tag[i])
+        kind = KIND.get(self.tag[i], self.tag[i])
+        return "named" if kind == "plain" and self.hint[i] else kind
 
     def states(self) -> list[int]:
         """The labels of a labelled page's nodes."""
@@ -270,7 +343,7 @@ class Model:
         if not source:
             return ""
         page = Page(source)
-        if len(page.parent) == 1:             # no block markup: one block
+        if all(tag == TEXT for tag in page.tag[1:]):  # no block markup: one block
             return " ".join(text for _, text in page.runs)
         content = self.marginals(page)
         return " ".join(text for block, text in page.runs if content[block] > 0.5 and not page.hidden[block])

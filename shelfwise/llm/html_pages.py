@@ -14,6 +14,7 @@ import re
 
 PAGES = 400
 SEED = 11
+BARE = 4
 _WORDS = ("the river had risen in the night and by morning the lower fields lay under water while people "
           "carried what they could to the church hall where tea was made for everyone who came").split()
 _M, _N = ' data-main="1"', ' data-main="0"'
@@ -131,6 +132,38 @@ class _Maker:
             return f"<div{_M}>{c}</div>"
         return ""  # no element of its own
 
+    def loose(self) -> str:
+        """Content without an element that says so: text in the body, in plain blocks, between line breaks."""
+        sentences = lambda n: [self.words(3, 60) for _ in range(self.r.randint(1, n))]
+        broken = lambda: self.one("<br>", "<br><br>", " ", "<br/>\n").join(sentences(8))
+        text = lambda t: f"<span{_M}>{t}</span>"
+        head = self.maybe(0.4, lambda: f"<h1{_M}>{self.words(1, 9, '')}</h1>")
+        kind = self.r.random()
+        if kind < 0.3:
+            return head + text(broken())
+        if kind < 0.55:
+            return head + "".join(f"<div{_M}>{x}</div>" for x in sentences(6))
+        if kind < 0.65:
+            return head + f"<section{_M}>{broken()}</section>"
+        if kind < 0.72:
+            return head + f"<center{_M}>{broken()}</center>"
+        if kind < 0.79:
+            return head + f"<pre{_M}>{self.words(3, 60)}\n{self.words(3, 60)}</pre>"
+        if kind < 0.86:
+            return head + f"<div{_M}>{broken()}</div>"
+        return head + text(self.words(1, 30)) + "".join(f"<p{_M}>{x}</p>" for x in sentences(5)) + self.maybe(0.4, lambda: text(self.words(1, 30)))
+
+    def bare_page(self) -> str:
+        """A page that leaves out what may be left out."""
+        parts = [self.loose()]
+        if self.r.random() < 0.5:
+            parts = [self.maybe(0.3, self.notice), self.maybe(0.4, self.header), self.maybe(0.5, self.menu), *parts, self.maybe(0.2, self.advert),
+                     self.maybe(0.2, self.comments), self.maybe(0.2, self.related), self.maybe(0.6, self.footer)]
+        if self.r.random() < 0.1:
+            parts.insert(0, f'<a href="#x">{self.words(1, 3, "")}</a> | <a href="/">{self.words(1, 2, "")}</a>')
+        start = self.one("", "<html><head><title>x</title></head><body>", "<html><head><title>x</title>", "<head><meta charset=utf-8><title>x</title>", "<body>", "<!DOCTYPE html><title>x</title><body>")
+        return start + "".join(parts) + self.one("", "</body></html>")
+
     def page(self) -> str:
         before = [self.maybe(p, part) for p, part in ((0.3, self.notice), (0.55, self.header), (0.75, self.menu), (0.3, self.advert), (0.1, self.form))]
         after = [self.maybe(p, part) for p, part in ((0.25, self.related), (0.4, self.comments), (0.4, self.side), (0.25, self.advert), (0.2, self.form), (0.1, self.notice), (0.8, self.footer))]
@@ -143,9 +176,10 @@ class _Maker:
 
 
 def labelled_pages(n: int = PAGES, seed: int = SEED) -> list[str]:
-    """``n`` pages drawn by rule; the same for the same seed."""
-    maker = _Maker(seed)
-    return [maker.page() for _ in range(n)]
+    """``n`` pages drawn by rule, and one without the usual elements for every ``BARE``; the same
+    for the same seed."""
+    maker, bare = _Maker(seed), _Maker(seed + 1000)
+    return [maker.page() for _ in range(n)] + [bare.bare_page() for _ in range(n // BARE)]
 
 
 LABELLED = labelled_pages()

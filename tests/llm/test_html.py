@@ -66,3 +66,43 @@ def test_column(spark):
     pages = spark.createDataFrame(rows, "page_id long, html string")
     assert [r[0] for r in pages.select(main_text(pages.html)).collect()] == ["Text.", "Text.", ""]
     assert pages.limit(0).select(main_text(pages.html)).count() == 0
+
+
+S = "The river had risen in the night and by morning the fields lay under water."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<body>{S}</body>", S), (f"<body><section>{S}</section>", S), (f"<div>{S}</div>", S), (f"<div>{S}</div><div>{S}</div>", f"{S} {S}"),
+    (f"<center>{S}</center>", S), (f"<pre>{S}</pre>", S), (f"<div>{S}<br>{S}</div>", f"{S} {S}"),
+    (f"<html><head><title>T</title><h1>Heading</h1><p>{S}</p>", f"Heading {S}"), (f"<head><title>T</title>{S}<p>{S}", f"{S} {S}"),
+    (f"<article><p>{S}<svg/> More.</p></article>", f"{S} More."), (f"<body><h1>Title</h1>{S}<br>{S}</body>", f"Title {S} {S}"),
+    (f"Intro <b>x</b><p>{S}</p>", f"Intro x {S}"), ("<article><p>Seen <span style='display: none'>hidden</span>text.</p></article>", "Seen text."),
+    (f"<body><nav><a href=/>Home</a></nav>{S}<footer>(c) x</footer></body>", S), ("<article><p>a < b <3</p></article>", "a < b <3"),
+])
+def test_pages_without_the_usual_elements(model, page, text):
+    assert model.extract(page) == text
+
+
+def test_held_out_pages_without_the_usual_elements(model):
+    pages = labelled_pages(600, seed=41)[600:]
+    wrong = runs = 0
+    for source in pages:
+        page = Page(source)
+        found = model.marginals(page)
+        runs += len(page.runs)
+        wrong += sum((found[b] > 0.5) != bool(page.mark[b]) for b, _ in page.runs)
+    assert len(pages) == 150 and wrong < 0.03 * runs
+
+
+@pytest.mark.parametrize("start, unit", [("", "<a "), ("", '<a href="'), ("", '<a "x>"'), ("", "<b>"), ("", "</i>"), ("<script>", "</script "), ("", "<!--"),
+                                         ("<ul>" + "<div>" * 20000, "<li></li>"), ("<b>" * 50000, "<p></p>"), ("<b>" * 50000, "</i>")])
+def test_time_grows_with_the_page(model, start, unit):
+    import time
+
+    def seconds(size):
+        began = time.process_time()
+        Page(start + unit * (size // len(unit)) + "'")
+        return time.process_time() - began
+
+    seconds(10_000)
+    assert seconds(1_000_000) < 10 and seconds(1_000_000) < 4 * seconds(500_000) + 0.5
