@@ -118,7 +118,8 @@ def measured(text: Column) -> Column:
     def made(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield measures(list(texts))
-    return made(text)
+    # so marked, the planner does not run it again below a filter on its result
+    return made.asNondeterministic()(text)
 
 
 def _of(name: str):
