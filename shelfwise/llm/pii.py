@@ -60,6 +60,10 @@ REMOVE = 0.5
 Z = 1.5
 #: Digits of a number that name whom it belongs to.
 PREFIX = 6
+#: A written table of at most so many terms, or documents' lists of told terms, goes to
+#: every task, so that the documents' words and texts are not shuffled; a larger one
+#: is joined.
+BROADCAST_ROWS = 200_000
 
 
 def _digits(hit: Column) -> Column:
@@ -140,6 +144,11 @@ def wilson(k: Column, n: Column, evidence: Column, z: float = Z) -> Column:
     return (p + z * z / (2 * m) - half) / (1 + z * z / m)
 
 
+def _if_small(written: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it has few rows."""
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+
+
 def _terms(text: Column) -> Column:
     """A text's terms, each once."""
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
@@ -154,10 +163,11 @@ def _outside(text: Column, base: Column) -> Column:
     return F.concat(F.array_join(parts, " "), F.lit(" "), F.substring(text, last + 1, F.length(text)))
 
 
-def document_terms(docs: DataFrame, text_col: str) -> DataFrame:
-    """``term, n``: the number of documents that hold each term."""
+def document_terms(docs: DataFrame, text_col: str, among: DataFrame) -> DataFrame:
+    """``term, n``: the number of documents that hold each term of ``among``, a
+    written table."""
     terms = docs.select(F.explode(_terms(F.col(f"`{text_col}`"))).alias("term"))
-    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return terms.join(_if_small(among.select("term")), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _classes(held: DataFrame, key: str, *also: str) -> DataFrame:
@@ -187,7 +197,8 @@ def disclosing_terms(dirty: DataFrame, docs: DataFrame, text_col: str = "text",
     some = alike.join(met.select("text_key").distinct(), "text_key", "left_semi")
     said = some.select("text_key", "copies", F.explode("terms").alias("term"))
     often = said.groupBy("term").agg(F.count(F.lit(1)).alias("m"), F.sum("copies").alias("d")).where(F.col("m") >= least)
-    counts = document_terms(docs, text_col).join(often, "term").where(F.col("n") <= F.col("d") * 2.0**bits).select("term", "n")
+    often = cut_lineage(often)
+    counts = document_terms(docs, text_col, often).join(often, "term").where(F.col("n") <= F.col("d") * 2.0**bits).select("term", "n")
     counts = cut_lineage(counts)
     classed = _classes(said.join(counts, "term"), "term", "n").select("term", F.col("cls").alias("t_cls"), "n")
     classed = cut_lineage(classed)
@@ -251,9 +262,9 @@ def find(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame:
     told = cut_lineage(disclosing_terms(dirty, docs, text_col, **thresholds))
     keyed = docs.withColumn(own, row_key(docs))
     # the told terms that each document holds; rows alike share a key
-    holds = keyed.select(F.col(own).alias(key), F.explode(_terms(text)).alias("term")).join(told, "term")
+    holds = keyed.select(F.col(own).alias(key), F.explode(_terms(text)).alias("term")).join(_if_small(told), "term")
     holds = cut_lineage(holds.groupBy(key).agg(F.collect_set(F.struct("term", "removed")).alias(told_col)))
-    met = keyed.join(holds, F.col(own) == F.col(key), "left")
+    met = keyed.join(_if_small(holds), F.col(own) == F.col(key), "left")
     spanned = met.withColumn(base, base_spans(f"`{text_col}`"))
     spanned = spanned.withColumn(terms, F.when(F.col(told_col).isNull(), F.array().cast(TERM_SPANS)).otherwise(
         _told_spans(text, F.col(base), F.col(told_col))))

@@ -141,3 +141,11 @@ def test_a_list_of_many_addresses(spark):
     df = spark.createDataFrame(rows, "text string")
     found = pii.find(df).collect()
     assert all(len(r[-2]) == 800 and len(r[-1]) >= 800 for r in found)
+
+
+def test_joins_beyond_the_broadcast_bound(make_docs, monkeypatch):
+    docs = make_docs([(i, f"Quarlo wrote text{i} from q@x.org here", "s") for i in range(6)] + [(200 + i, f"somebody wrote from here {i}", "s") for i in range(60)])
+    rows = lambda: sorted(map(repr, pii.span_digest(pii.find(docs)).collect()))
+    small = rows()
+    monkeypatch.setattr(pii, "BROADCAST_ROWS", 0)
+    assert rows() == small and any("term:" in r for r in small)
