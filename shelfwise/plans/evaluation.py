@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.common import shown
 from shelfwise.operators import evaluation as ev
 from shelfwise.operators import hybrid, neighbors, prepare
+from shelfwise.operators.coverage_bitmaps import bitmap_coverage, item_bitmaps, merged_bitmaps
 from shelfwise.plans.content import book_metadata, catalog_of
 from shelfwise.operators import features as feat
 from shelfwise.plans.registry import REGISTRY, register
@@ -278,6 +279,39 @@ def q_coverage_of_recommenders(spark, sf_dir):
     return ev.coverage(recs, size, 3, ["own best", "silent"]).withColumn("catalog_coverage", shown("catalog_coverage"))
 
 
+COVERAGE_KS = (1, 3, 10)
+_cover_ks = ", ".join(f"({k})" for k in COVERAGE_KS)
+
+
+@register("coverage_at_k", "E6 A17 T5", f"""
+WITH {CELLS},
+r AS (SELECT item_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS best,
+             ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY rating, item_id) AS worst FROM cells),
+recs AS (SELECT 'own best' AS recommender, item_id, best AS rank FROM r UNION ALL SELECT 'own worst', item_id, worst FROM r),
+ks AS (SELECT * FROM (VALUES {_cover_ks}) t(k))
+SELECT recommender, k, COUNT(DISTINCT item_id) AS n_distinct,
+       ROUND(COUNT(DISTINCT item_id) / (SELECT CAST(COUNT(DISTINCT item_id) AS DOUBLE) FROM cells), 6) AS catalog_coverage
+FROM recs JOIN ks ON rank <= k GROUP BY recommender, k
+UNION ALL SELECT 'silent', k, 0, 0.0 FROM ks
+""")
+def q_coverage_at_k(spark, sf_dir):
+    """Two runs, one for users of even and one for users of odd id, stored as bitmaps
+    and merged: coverage at every cutoff without the lists."""
+    cells = cut_lineage(prepare.rating_cells(fixtures.interactions(spark, sf_dir)))
+    places = cut_lineage(prepare.index_ids(cells, "item_id"))
+    folder = f"{ensure_checkpoint_dir(spark)}/bitmaps-{uuid.uuid4().hex}"
+    for odd in (0, 1):
+        run, lists = cells.where(F.abs("user_id") % 2 == odd), None
+        for name, order in (("own best", F.col("rating").desc()), ("own worst", F.col("rating").asc())):
+            w = Window.partitionBy("user_id").orderBy(order, "item_id")
+            own = run.select(F.lit(name).alias("recommender"), "item_id", F.row_number().over(w).alias("rank"))
+            lists = own if lists is None else lists.unionByName(own)
+        item_bitmaps(lists, places, COVERAGE_KS).write.parquet(f"{folder}/run={odd}")
+    merged = merged_bitmaps(spark.read.parquet(folder))
+    covered = bitmap_coverage(merged, places.count(), ["own best", "own worst", "silent"], COVERAGE_KS)
+    return covered.withColumn("catalog_coverage", shown("catalog_coverage"))
+
+
 @register("evaluator_popular", "E9 E10 E13", f"""
 WITH {HOLDOUTS_SQL},
 pop AS (SELECT item_id, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, item_id) AS place FROM cells GROUP BY item_id),
