@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators.metadata import split_list
 from shelfwise.operators.ordering import global_index
+from shelfwise.operators.selection import exact_quantiles
 
 USER, ITEM, RATING = "user_id", "item_id", "rating"
 
@@ -53,14 +54,9 @@ def item_popularity(cells: DataFrame, popularity: str = "rating_sum") -> DataFra
     return cells.groupBy(ITEM).agg(agg.alias("popularity"))
 
 
-def exact_median(values: DataFrame, col: str, key: str) -> DataFrame:
-    """Exact median of ``col`` (mean of the two middle values), without
-    gathering the column into one task: rows are numbered by a range sort."""
-    idx = global_index(values.select(col, key), [F.col(col).asc(), F.col(key).asc()], "_pos")
-    n = values.select(F.count(F.lit(1))).scalar()
-    lo = F.floor((n - 1) / 2)
-    hi = F.ceil((n - 1) / 2)
-    return idx.where((F.col("_pos") == lo) | (F.col("_pos") == hi)).agg(F.avg(col).alias("median"))
+def exact_median(values: DataFrame, col: str) -> DataFrame:
+    """Exact median of ``col`` (mean of the two middle values) by counting passes."""
+    return exact_quantiles(values, col, [0.5]).select(F.col("value").alias("median"))
 
 
 def side_profile(cells: DataFrame, side: str = ITEM, popularity: str = "rating_sum") -> DataFrame:
@@ -78,7 +74,7 @@ def side_profile(cells: DataFrame, side: str = ITEM, popularity: str = "rating_s
         F.min("v").alias("min"),
         F.max("v").alias("max"),
     )
-    med = exact_median(per, "v", side)
+    med = exact_median(per, "v")
     return stats.select(F.lit(side).alias("side"), "*", med.select("median").scalar().alias("median"))
 
 

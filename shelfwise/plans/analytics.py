@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.common import shown
 from shelfwise.operators import analytics, hybrid, prepare, recommend, search
+from shelfwise.operators.selection import exact_quantiles
 from shelfwise.plans.content import book_metadata, catalog_of
 from shelfwise.plans.registry import register
 from shelfwise.plans.search import _TITLES, _WORDS, title_words
@@ -43,6 +44,20 @@ def q_item_profile(spark, sf_dir):
     return analytics.side_profile(cells, "item_id").unionByName(analytics.side_profile(cells, "user_id"))
 
 
+QUANTILES = (0.0, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)
+
+
+@register("user_mean_quantiles", "A8", f"""
+WITH {CELLS},
+per_user AS (SELECT user_id, CAST(SUM(rating) AS DOUBLE) / COUNT(*) AS v FROM cells GROUP BY user_id)
+{" UNION ALL ".join(f"SELECT CAST({p} AS DOUBLE) AS probability, ROUND(QUANTILE_CONT(v, {p}), 6) AS value FROM per_user" for p in QUANTILES)}
+""")
+def q_user_mean_quantiles(spark, sf_dir):
+    """Quantiles of the users' mean cell by counting passes."""
+    per_user = _cells(spark, sf_dir).groupBy("user_id").agg((F.sum("rating") / F.count(F.lit(1))).alias("v"))
+    return exact_quantiles(per_user, "v", QUANTILES).withColumn("value", shown("value"))
+
+
 @register("popularity_histogram", "A9", f"""
 WITH {CELLS},
 pop AS (SELECT item_id, CAST(SUM(rating) AS DOUBLE) AS popularity FROM cells GROUP BY item_id),
