@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.common import RANK_DIGITS
 from shelfwise.operators.blocks import query_blocks
+from shelfwise.session import cut_lineage
 
 ITEM = "item_id"
 SEED_BLOCK = 256
@@ -30,24 +31,25 @@ DENSE_CELLS = 4_000_000
 
 
 def _entries(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers, keys and values of the rows' (key, value) lists."""
-    sizes = rows["entries"].map(len).to_numpy()
-    flat = [e for cell in rows["entries"] for e in cell]
-    return (np.repeat(np.arange(len(rows)), sizes), np.array([e["key"] for e in flat], dtype=object),
-            np.array([e["value"] for e in flat], dtype=np.float64))
+    """Row numbers, keys and values of the rows' parallel key and value lists."""
+    sizes = rows["keys"].map(len).to_numpy(dtype=np.int64)
+    if not sizes.sum():
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=object), np.zeros(0)
+    return (np.repeat(np.arange(len(rows)), sizes), np.concatenate(rows["keys"].to_numpy()),
+            np.concatenate(rows["values"].to_numpy()).astype(np.float64))
 
 
 def block_top_k(seeds: pd.DataFrame, items: pd.DataFrame, k: int) -> pd.DataFrame:
     """The ``k`` best items of the block for each seed of the block."""
     seed_row, seed_key, seed_value = _entries(seeds)
-    column = {key: i for i, key in enumerate(dict.fromkeys(seed_key))}
+    seed_column, column = pd.factorize(seed_key)
     matrix = np.zeros((len(column), len(seeds)))
-    np.add.at(matrix, ([column[x] for x in seed_key], seed_row), seed_value)
+    np.add.at(matrix, (seed_column, seed_row), seed_value)
     matrix *= seeds["scale"].to_numpy(dtype=np.float64)
     items = items.sort_values(ITEM, ignore_index=True)
     ids, seed_ids = items[ITEM].to_numpy(dtype=np.int64), seeds[ITEM].to_numpy(dtype=np.int64)
     row, key, value = _entries(items)
-    known = np.fromiter((column.get(x, -1) for x in key), dtype=np.int64, count=len(key))
+    known = pd.Index(column).get_indexer(key)  # -1: no seed has the feature
     scores = np.zeros((len(items), len(seeds)))
     step = max(1, DENSE_CELLS // max(1, len(column)))
     for start in range(0, len(items), step):
@@ -70,16 +72,23 @@ def sparse_cosine_topk(entries: DataFrame, scale: DataFrame, catalog: DataFrame,
     ``scale``: (item_id, scale) with 1 / |vector| (0 for an empty vector).
     ``catalog``: (item_id) every candidate item.  ``seeds``: (item_id).
     """
-    gathered = entries.groupBy(ITEM).agg(F.collect_list(F.struct("key", "value")).alias("entries"))
-    empty = F.array().cast("array<struct<key:string,value:double>>")
-    vectors = gathered.join(scale, ITEM)
-
-    def rows(ids: DataFrame) -> DataFrame:
-        asked = ids.select(F.col(ITEM).alias("_asked")).distinct()  # ids may stem from the vectors themselves
-        return asked.join(vectors, F.col("_asked") == F.col(ITEM), "left").select(
-            F.col("_asked").alias(ITEM), F.coalesce("entries", empty).alias("entries"), F.coalesce("scale", F.lit(0.0)).alias("scale"))
-
-    found = query_blocks(rows(seeds), ITEM, rows(catalog), ITEM, lambda q, r: block_top_k(q, r, k),
+    entry = F.collect_list(F.struct("key", "value"))
+    gathered = entries.groupBy(ITEM).agg(entry.alias("entries")).select(F.col(ITEM).alias("_item"), "entries")
+    scales = scale.select(F.col(ITEM).alias("_scaled"), "scale")
+    # every id once, with the sides that it is on; written once, as both sides and their sizes are read from it
+    ids = catalog.select(ITEM, F.lit(True).alias("listed"), F.lit(False).alias("asked")).unionByName(
+        seeds.select(ITEM, F.lit(False).alias("listed"), F.lit(True).alias("asked")))
+    ids = ids.groupBy(ITEM).agg(F.max("listed").alias("listed"), F.max("asked").alias("asked"))
+    vectors = cut_lineage(
+        ids.join(gathered, F.col(ITEM) == F.col("_item"), "left").join(scales, F.col(ITEM) == F.col("_scaled"), "left").select(
+            ITEM, "listed", "asked", F.coalesce("entries.key", F.array().cast("array<string>")).alias("keys"),
+            F.coalesce("entries.value", F.array().cast("array<double>")).alias("values"),
+            F.coalesce("scale", F.lit(0.0)).alias("scale")))
+
+    def side(name: str) -> DataFrame:
+        return vectors.where(F.col(name)).select(ITEM, "keys", "values", "scale")
+
+    found = query_blocks(side("asked"), ITEM, side("listed"), ITEM, lambda q, r: block_top_k(q, r, k),
                          "seed_id bigint, neighbor_id bigint, similarity double", SEED_BLOCK, CATALOG_BLOCK)
     w = Window.partitionBy("seed_id").orderBy(F.col("similarity").desc(), F.col("neighbor_id").asc())
     return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -233,11 +233,11 @@ def q_hybrid_recs(spark, sf_dir):
     return shown_lists(EvalInputs(spark, sf_dir).hybrid_recs())
 
 
-CLOSE_WEIGHTS = ((0.65, 0.35), (0.7, 0.3), (0.66, 0.34))
+CLOSE_WEIGHTS = tuple(hybrid.parse_weights(w) for w in ("0.65:0.35", "0.7:0.3", "0.66:0.34"))
 _close = ", ".join(f"('{hybrid.weight_name(a, b)}', CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))" for a, b in CLOSE_WEIGHTS)
 
 
-@register("hybrid_close_weights", "R4 R11", f"""
+@register("hybrid_close_weights", "R4 R11 P18", f"""
 WITH {CANDIDATES_SQL.replace(_grid, _close)}
 SELECT recommender, user_id, CAST(rank AS BIGINT) AS rank, item_id, ROUND(score, 6) AS score,
        ROUND(collab_score, 6) AS collab_score, ROUND(content_score, 6) AS content_score FROM hyb
