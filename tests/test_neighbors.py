@@ -153,3 +153,15 @@ def test_small_sub_blocks_equal_one(spark, monkeypatch):
     whole = sorted(nb.content_neighbors(feats, catalog, seeds, k=5).collect())
     monkeypatch.setattr(vector_knn, "DENSE_CELLS", 10)
     assert sorted(nb.content_neighbors(feats, catalog, seeds, k=5).collect()) == whole
+
+
+def test_seeds_and_items_on_one_side_only(spark):
+    entries = spark.createDataFrame([(1, "a", 1.0), (2, "a", 0.6), (2, "b", 0.8), (9, "b", 1.0)], "item_id bigint, key string, value double")
+    scale = entries.select("item_id").distinct().withColumn("scale", F.lit(1.0))
+    catalog = spark.createDataFrame([(1,), (2,), (3,)], "item_id bigint")  # 3 has no entries
+    seeds = spark.createDataFrame([(9,), (9,), (3,), (1,)], "item_id bigint")  # 9 is not in the catalog, and asked twice
+    got = as_lists(vector_knn.sparse_cosine_topk(entries, scale, catalog, seeds, 2))
+    assert got == {9: [(2, 0.8), (1, 0.0)], 3: [(1, 0.0), (2, 0.0)], 1: [(2, 0.6), (3, 0.0)]}
+    assert vector_knn.sparse_cosine_topk(entries, scale, catalog.limit(0), seeds, 2).count() == 0
+    assert vector_knn.sparse_cosine_topk(entries, scale, catalog, seeds.limit(0), 2).count() == 0
+    assert vector_knn.sparse_cosine_topk(entries.limit(0), scale.limit(0), catalog, seeds, 1).count() == 3
