@@ -165,3 +165,54 @@ def test_seeds_and_items_on_one_side_only(spark):
     assert vector_knn.sparse_cosine_topk(entries, scale, catalog.limit(0), seeds, 2).count() == 0
     assert vector_knn.sparse_cosine_topk(entries, scale, catalog, seeds.limit(0), 2).count() == 0
     assert vector_knn.sparse_cosine_topk(entries.limit(0), scale.limit(0), catalog, seeds, 1).count() == 3
+
+
+def test_tiles_meet_dense_columns_lists_and_ties(monkeypatch):
+    """A block's best, where tiles cut seeds and items, some columns are in most
+    vectors and others in few, and scores tie: those of all pairs."""
+    import numpy as np
+    import pyarrow as pa
+
+    from shelfwise.operators import vector_knn
+
+    draw = np.random.default_rng(3)
+
+    def block(ids):
+        keys = [[0, 1, *draw.choice(np.arange(2, 400), size=n, replace=False).tolist()] if n else [] for n in draw.integers(0, 6, len(ids))]
+        values = [draw.integers(1, 4, len(x)).astype(float).tolist() for x in keys]
+        scale = [1 / np.linalg.norm(v) if v else 0.0 for v in values]
+        return pa.table({"item_id": pa.array(ids, pa.int64()), "keys": pa.array(keys, pa.list_(pa.int64())),
+                         "values": pa.array(values, pa.list_(pa.float64())), "scale": pa.array(scale, pa.float64())})
+
+    items = block(draw.permutation(300).tolist())
+    seeds = items.slice(20, 90)
+    vectors = {r["item_id"]: dict(zip(r["keys"], np.array(r["values"]) * r["scale"])) for r in items.to_pylist()}
+    want = []
+    for s in seeds.column("item_id").to_pylist():
+        scored = [(-round(sum(x * vectors[i].get(c, 0.0) for c, x in vectors[s].items()), 9), i) for i in vectors if i != s]
+        want += [(s, i) for _, i in sorted(scored)[:7]]
+    for tile, cells, products in ((2048, 4_000_000, 4_000_000), (32, 32 * 25, 50), (32, 32 * 3, 1)):
+        monkeypatch.setattr(vector_knn, "TILE", tile)
+        monkeypatch.setattr(vector_knn, "DENSE_CELLS", cells)
+        monkeypatch.setattr(vector_knn.products, "__defaults__", (products,))
+        got = vector_knn.block_top_k(seeds, items, 7).to_pylist()
+        assert sorted((r["seed_id"], r["neighbor_id"]) for r in got) == sorted(want)
+
+
+def test_blocks_part_both_sides(spark, monkeypatch):
+    """All pairs of many rows: an item is repeated for few blocks of seeds, with numbers for keys."""
+    import pyarrow as pa
+
+    from shelfwise.operators import blocks, vector_knn
+
+    seen = []
+    whole = blocks.query_blocks
+    monkeypatch.setattr(vector_knn, "query_blocks", lambda q, *a, **kw: seen.append(q.schema["keys"].dataType.simpleString()) or whole(q, *a, **kw))
+    feats = spark.createDataFrame([(i, "shelf", str(i % 7), 1.0) for i in range(2000)], "item_id bigint, block string, feature string, value double")
+    catalog = feats.select("item_id")
+    assert nb.content_neighbors(feats, catalog, catalog, k=2).count() == 4000
+    assert seen == ["array<bigint>"]
+    rows = spark.range(40_000).select(F.col("id").alias("item_id"))
+    count = lambda q, r: pa.table({"n": pa.array([len(r)], pa.int64())})
+    dealt = blocks.query_blocks(rows, "item_id", rows, "item_id", count, "n bigint", 32_768, 32_768, arrow=True)
+    assert dealt.agg(F.sum("n")).first()[0] <= 40_000 * 9
