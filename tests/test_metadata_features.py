@@ -108,3 +108,16 @@ def test_numeric_block(spark):
     assert got[(1, "log_ratings_count")] == pytest.approx(raw[0] / n)
     assert got[(1, "year_offset")] == pytest.approx(raw[2] / n) and got[(1, "year_offset")] < 0
     assert (1, "log_pages") not in got and not any(k[0] == 2 for k in got)
+
+
+def test_a_tasks_share_of_a_shuffle_does_not_grow_with_the_tables(spark):
+    """Shuffles of the features have many partitions, whatever number the session sets."""
+    import re
+
+    from conftest import SF
+    from shelfwise.plans.content import book_metadata
+
+    plan = book_metadata(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    sizes = [int(n) for n in re.findall(r"hashpartitioning\([^)]*, (\d+)\)", plan)]
+    assert sizes and min(sizes) >= 1024
+    assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 16 << 20
