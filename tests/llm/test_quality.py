@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.llm import quality_classifier, quality_rules, toxicity
 from shelfwise.llm.labelled import fit_rows
@@ -150,3 +151,21 @@ def test_accuracy_on_held_out_rows(spark):
         ranks = pd.Series(got.score.to_numpy()).rank().to_numpy()
         n1, n0 = (truth == 1).sum(), (truth == 0).sum()
         assert (ranks[truth == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * n0) > 0.97
+
+
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    """All rows are dealt, whatever their number, and every bucket has both classes."""
+    monkeypatch.setattr(quality_classifier, "BUCKET", 50)
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), *[F.lit(0.5).alias(f) if f != "digits" else F.col("id").cast("double").alias(f) for f in quality_classifier.FEATURES],
+                                    (F.col("id") % 600 == 0).cast("int").alias("y"))
+    got = quality_classifier.dealt(rows, 5, 2995).collect()
+    of = lambda x: [int(v) for v in x[len(quality_classifier.FEATURES) - 1::len(quality_classifier.FEATURES)]]
+    assert len(got) == 60 and all(sorted(of(r.good)) == [0, 600, 1200, 1800, 2400] for r in got)
+    assert {i for r in got for i in of(r.bad)} == {i for i in range(3000) if i % 600}
+
+
+def test_measures_hold_few_words_at_a_time():
+    texts = ["ab " * 10, "", "x" * 90, "y z"]
+    assert list(quality_rules.parts(texts, 40)) == [["ab " * 10, ""], ["x" * 90], ["y z"]]
+    assert [len(x) for x in quality_rules.parts(["a b " * 250_000] * 3)] == [1, 1, 1]
+    assert quality_rules.measures(texts).n_words.tolist() == [10, 0, 1, 2] and len(quality_rules.measures([])) == 0
