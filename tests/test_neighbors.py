@@ -216,3 +216,24 @@ def test_blocks_part_both_sides(spark, monkeypatch):
     count = lambda q, r: pa.table({"n": pa.array([len(r)], pa.int64())})
     dealt = blocks.query_blocks(rows, "item_id", rows, "item_id", count, "n bigint", 32_768, 32_768, arrow=True)
     assert dealt.agg(F.sum("n")).first()[0] <= 40_000 * 9
+
+
+def test_all_pairs_shuffle_no_pairs(spark, monkeypatch):
+    """Blocks, seeds with more products than are held at a time, and the plan: ratings
+    are grouped by blocks of items, pairs are not."""
+    draw = random.Random(5)
+    cells = [(i, u, float(draw.randint(0, 5))) for u in range(40) for i in draw.sample(range(60), 12)]
+    cells += [(i, 99, 1.0) for i in range(60)]
+    df = spark.createDataFrame(list({(i, u): (i, u, r) for i, u, r in cells}.values()), CELL)
+    want = brute([tuple(r) for r in df.collect()], 5)
+    assert as_lists(nb.item_neighbors(df, k=5)) == want
+    items = nb.unit_ratings(df).groupBy("item_id").agg(F.collect_list("user_id").alias("users"), F.collect_list("w").alias("ws"))
+    table = items.select(F.lit(0).alias("left"), F.lit(0).alias("right"), F.lit(True).alias("own"), "*").toArrow()
+    whole = nb.block_pair_lists(table, 5).to_pylist()
+    for limit in (200, 7):
+        monkeypatch.setattr(nb, "PRODUCTS", limit)
+        monkeypatch.setattr(nb.products, "__defaults__", (limit,))
+        assert nb.block_pair_lists(table, 5).to_pylist() == whole
+    plan = nb.all_pairs_lists(nb.unit_ratings(df), 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "FlatMapGroupsInArrow" in plan and "(i#" not in plan
+    assert "Join" not in plan.split("FlatMapGroupsInArrow")[0]
