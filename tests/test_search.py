@@ -190,3 +190,20 @@ def test_many_blocks(spark, monkeypatch):
     one = find(spark, titles, *queries, threshold=80)
     monkeypatch.setattr(blocks.query_blocks, "__defaults__", (2, 10))
     assert find(spark, titles, *queries, threshold=80) == one and len(one) > 20
+
+
+def test_all_matches_are_found_once_and_in_many_tasks(spark, monkeypatch):
+    """The ranking of all matches does not search again, and block pairs are not merged
+    into few tasks by their bytes."""
+    from shelfwise import session
+
+    titles = spark.createDataFrame([(i, f"title {i % 37} of book {i}") for i in range(3000)], "item_id bigint, title string")
+    queries = spark.createDataFrame([(1, "book"), (2, "title 3")], "query_id bigint, query string")
+    seen = []
+    monkeypatch.setattr(session, "BEFORE_CUT", [lambda df: seen.append(df.rdd.getNumPartitions() if "CoGroup" in df._jdf.queryExecution().executedPlan().toString() else 0)])
+    found = search.search_titles(titles, queries, 70)
+    assert "CoGroup" not in found._jdf.queryExecution().executedPlan().toString()
+    assert max(seen) >= 8
+    ranks = found.where("query_id = 2").orderBy("rank").collect()
+    assert [r["rank"] for r in ranks] == list(range(1, len(ranks) + 1))
+    assert [(-r.score, r.item_id) for r in ranks] == sorted((-r.score, r.item_id) for r in ranks)
