@@ -52,6 +52,9 @@ BROADCAST_HOSTS = 100_000
 #: A shrunken failure rate at which a host is rejected as a whole.
 BLOCK_RATE = 0.80
 
+#: Characters of texts whose words are held at a time (some 20 times as many bytes).
+CHARACTERS = 1_000_000
+
 MEASURES = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long, n_letters long, n_capitals long"
 
 
@@ -96,9 +99,24 @@ def letters(text: str) -> tuple[int, int]:
     return int((low != up).sum()), int((own != low).sum())
 
 
+def parts(texts: list[str], most: int = CHARACTERS) -> Iterator[list[str]]:
+    """The texts in order, in lists of at most ``most`` characters or of one text."""
+    part, size = [], 0
+    for t in texts:
+        if part and size + len(t) > most:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += len(t)
+    yield part
+
+
 def measures(texts: list[str | None]) -> pd.DataFrame:
-    """The measures of some texts, a row each."""
-    texts = [t or "" for t in texts]
+    """The measures of some texts, a row each; words are held for a part of them."""
+    return pd.concat([_measures(x) for x in parts([t or "" for t in texts])], ignore_index=True)
+
+
+def _measures(texts: list[str]) -> pd.DataFrame:
     lists = [words(t) for t in texts]
     rows = []
     for t, w in zip(texts, lists):
