@@ -121,3 +121,24 @@ def test_a_tasks_share_of_a_shuffle_does_not_grow_with_the_tables(spark):
     sizes = [int(n) for n in re.findall(r"hashpartitioning\([^)]*, (\d+)\)", plan)]
     assert sizes and min(sizes) >= 1024
     assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 16 << 20
+
+
+def test_features_are_dealt_by_number_of_items(spark, monkeypatch):
+    """A task's items are set by their number, and the aligned metadata is not joined with
+    the catalog again; repeated and null items and items without metadata count as before."""
+    import re
+
+    rows = [(i, "t", f"fantasy,shelf-{i % 3}", f"{i % 4}", 1, i, 4.0, 2000, 100) for i in range(40)]
+    rows += [(5, "other", "fantasy,fantasy", "1", 1, 3, 2.0, 1990, 50), (None, "none", "fantasy", "1", 1, 1, 1.0, 1990, 10)]
+    meta = spark.createDataFrame(rows, "item_id bigint, title string, shelves string, author_ids string, num_authors bigint,"
+                                 "ratings_count bigint, average_rating double, publication_year bigint, num_pages bigint")
+    catalog = spark.createDataFrame([(i,) for i in [*range(42), 3, None]], "item_id bigint")
+    blocks = feat.shelf_block(meta, catalog), feat.author_block(meta, catalog), feat.numeric_block(meta, catalog)
+    want = sorted((*r[:3], round(r.value, 9)) for b in blocks for r in b.collect())
+    monkeypatch.setattr(feat, "ITEMS_OF_TASK", 10)
+    made = feat.content_features(meta, catalog)
+    assert sorted((*r[:3], round(r.value, 9)) for r in made.collect()) == want
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    # 42 catalog items, item 5 twice, the null item
+    assert set(re.findall(r"RepartitionByExpression \[item_id#\d+L\], (\d+)", plan)) == {"5"}
+    assert "LeftOuter" not in plan
