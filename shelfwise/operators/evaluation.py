@@ -31,6 +31,8 @@ DEFAULT_MIN_INTERACTIONS = 10
 DEFAULT_K_VALUES = (5, 10, 20)
 DEFAULT_SEED = 42
 DEFAULT_HYBRID_WEIGHTS = ((0.3, 0.7), (0.5, 0.5), (0.6, 0.4), (0.7, 0.3))
+# Rows of lists whose items are sent to every task, at most.
+MOST_SENT = 500_000
 
 
 def _md5_key(seed: int, *cols: str) -> F.Column:
@@ -119,9 +121,13 @@ def list_diversity(recs: DataFrame, features: DataFrame, max_k: int) -> DataFram
     with fewer than two valid items has no pairs and scores 0 downstream (Q33).
     The entries of a list meet on (list, feature); the products of two items'
     entries add up to their cosine, and pairs that share no feature have distance
-    1, so only the number of all pairs is needed for them.
+    1, so only the number of all pairs is needed for them.  Up to ``MOST_SENT`` rows of
+    lists: the features of other items are left out before anything is shuffled.
     """
     per_list = ["recommender", USER]
+    if recs.count() <= MOST_SENT:
+        listed = recs.where(F.col("rank") <= max_k).select(F.col(ITEM).alias("_listed")).distinct()
+        features = features.join(F.broadcast(listed), F.col(ITEM) == F.col("_listed"), "left_semi")
     blocks = features.groupBy(ITEM).agg(F.countDistinct("block").alias("blocks"))
     items = recs.where(F.col("rank") <= max_k).select(*per_list, ITEM).distinct().join(blocks, ITEM)
     entries = items.join(features.select(ITEM, "block", "feature", "value"), ITEM).select(

@@ -58,7 +58,8 @@ class EvalInputs:
 
     @property
     def positives(self):
-        return ev.holdout_positives(self.cells, self.holdouts)
+        # N_USERS rows at most: sent to the cells, which are not shuffled by user
+        return ev.holdout_positives(self.cells, F.broadcast(self.holdouts))
 
     def _seeds(self):
         return self.holdouts.select(F.col("seed_item").alias("item_id"))
